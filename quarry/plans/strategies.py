@@ -10,6 +10,13 @@ prefix sums.  All of them are plain DataFrame compositions.
   ``n`` slices, each slice is numbered locally, and an ``n``-row offset table (the
   only thing that is broadcast) shifts the local numbers.  A hot key is split across
   range slices by the order columns, so no slice holds more than its share.
+
+  The sorted slices are written once with a reliable ``checkpoint()`` (into the
+  shared ``spark.checkpoint.dir``).  Two consumers of one ``repartitionByRange``
+  would otherwise each sample their own range bounds (the sample seed depends on
+  the RDD id), so slice counts and slice rows could disagree.  After the checkpoint
+  the slices and their row order are fixed, also when a task is re-run after an
+  executor loss.
 """
 
 from __future__ import annotations
@@ -39,13 +46,12 @@ def _num_slices(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _ranged(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    # An explicit partition count keeps AQE from coalescing these slices, so the
-    # partition id seen by every consumer of the exchange is the same.
-    return (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-    )
+    """Range-sorted slices, materialised once so every consumer sees the same ones."""
+    from quarry.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    fixed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    return fixed.withColumn("_pid", F.spark_partition_id())
 
 
 def _offsets(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
