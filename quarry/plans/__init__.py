@@ -1,3 +1,3 @@
 """Query plans over the driver tables.  Importing this package registers them all."""
 
-from quarry.plans import q_aggregate, q_evaluate, q_features, q_models, q_relational, q_scalar, q_sources, q_topn  # noqa: F401
+from quarry.plans import q_aggregate, q_evaluate, q_features, q_models, q_relational, q_scalar, q_sources, q_streaming, q_topn  # noqa: F401
