@@ -1,3 +1,6 @@
-"""Query plans over the driver tables.  Importing this package registers them all."""
+"""Query plans over the driver tables and shared physical-shape helpers.
 
-from quarry.plans import q_aggregate, q_evaluate, q_features, q_models, q_relational, q_scalar, q_sources, q_streaming, q_topn  # noqa: F401
+Query modules register themselves when ``quarry.plans.catalog`` is imported
+(``registry.all_queries`` does that), so helpers here can be imported by operators
+without pulling in every query.
+"""

@@ -41,6 +41,6 @@ def query(name: str, ids: str, sql: str | None = None, check: str | None = None)
 
 
 def all_queries() -> dict[str, QuerySpec]:
-    from quarry import plans  # noqa: F401  (imports register every query module)
+    from quarry.plans import catalog  # noqa: F401  (imports register every query module)
 
     return dict(REGISTRY)
