@@ -34,7 +34,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.strategies import global_position
+from quarry.plans.strategies import broadcast_if_small, global_position
 
 
 def default_stop_words() -> list[str]:
@@ -89,7 +89,9 @@ def tf_idf(tf: DataFrame, id_col: str, n_docs: Column | None = None) -> DataFram
     m = n_docs if n_docs is not None else tf.select(F.count_distinct(id_col)).scalar()
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
-    return tf.join(dfreq, "term").select(
+    # one row per term: broadcast when the vocabulary is proven small, else a shuffle
+    # join whose hot terms AQE splits
+    return tf.join(broadcast_if_small(dfreq), "term").select(
         id_col, "term", "tf", "doc_freq", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf")
     )
 

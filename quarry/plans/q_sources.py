@@ -166,7 +166,7 @@ def q_sink_csv_roundtrip(spark, sf_dir):
 
 @query(
     "cut_lineage",
-    "K07 K06",
+    "K07 K06 S13",
     "select o_orderkey, o_custkey, o_totalprice from orders where o_orderstatus = 'O'",
 )
 def q_cut_lineage(spark, sf_dir):

@@ -71,7 +71,7 @@ a as (select event_id, case when code = 4 then 0.0 else 1.0 end as label, cast(u
 
 @query(
     "stream_etl",
-    "R01 R02 R03 R12 R13 F08 B7",
+    "R01 R02 R03 R12 R13 F08 B7 S15 S16",
     _ACTIVITY_SQL + " select event_id, label, x1, x2, x3, x4 from a",
 )
 def q_stream_etl(spark, sf_dir):

@@ -40,7 +40,7 @@ with rev as (
 
 @query(
     "top_n_within_group",
-    "T06 T08 A14",
+    "T06 T08 A14 D02 D03",
     _REVENUE_SQL
     + """
 select l_suppkey, l_partkey, revenue, rank from (
@@ -95,7 +95,7 @@ def q_top_n_within_group_list(spark, sf_dir):
 
 @query(
     "top_ips",
-    "T01 A10 O02 O03 X05",
+    "T01 A10 O02 O03 X05 P12",
     r"""
 select ip, count(*) as n from (
   select unnest(regexp_extract_all(text, '\d+\.\d+\.\d+\.\d+')) as ip from documents)
