@@ -34,7 +34,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.plans.strategies import broadcast_if_small, global_position
+from quarry.functions.text import jvm_split
+from quarry.plans.strategies import global_position
 
 
 def default_stop_words() -> list[str]:
@@ -71,6 +72,38 @@ def hashing_tf(df: DataFrame, col: str, num_features: int = 1 << 18, out: str =
     return HashingTF(inputCol=col, outputCol=out, numFeatures=num_features).transform(df)
 
 
+def whitespace_tokens(col: Column | str) -> Column:
+    """Built-in twin of ``Tokenizer``: lower-case, JVM split on single whitespace.
+
+    Plain column expressions (codegen, no UDF), for pipelines that only need the
+    tokens and not an ML stage.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return jvm_split(F.lower(c), "\\s")
+
+
+def exploded_terms(
+    df: DataFrame, id_col: str, tokens: Column, stop_words: Sequence[str] | None = None
+) -> DataFrame:
+    """``(id, term)`` rows; stop words removed by a broadcast ``left_anti`` join.
+
+    ``explode_outer`` + a null filter instead of ``explode``: ``explode`` makes
+    Catalyst infer a ``size(tokens) > 0`` filter that evaluates the tokenizer a
+    second time.  The stop-word table is a fixed list (bounded, so broadcast).
+    """
+    terms = df.select(id_col, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+    if stop_words:
+        spark = df.sparkSession
+        stop = spark.createDataFrame([(w,) for w in dict.fromkeys(stop_words)], "term string")
+        terms = terms.join(F.broadcast(stop), "term", "left_anti")
+    return terms
+
+
+def term_counts(terms: DataFrame, id_col: str) -> DataFrame:
+    """``(id, term, tf)`` from ``(id, term)`` rows (partial aggregate)."""
+    return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def term_frequency(df: DataFrame, id_col: str, tokens: str) -> DataFrame:
     """Exact term counts per document, long form ``(id, term, tf)`` (E06 twin)."""
     return (
@@ -83,15 +116,16 @@ def term_frequency(df: DataFrame, id_col: str, tokens: str) -> DataFrame:
 def tf_idf(tf: DataFrame, id_col: str, n_docs: Column | None = None) -> DataFrame:
     """TF-IDF in long form with Spark's ``IDF`` formula ``ln((m + 1) / (df + 1))``.
 
-    ``m`` is the number of documents (a scalar subquery when not given), ``df`` the
-    number of documents holding the term.
+    ``m`` is the number of documents -- pass it (e.g. ``docs.select(count).scalar()``,
+    which also counts documents without any term, as ``IDF`` does); by default the
+    documents present in ``tf``.  ``df`` is the number of documents holding the term.
     """
     m = n_docs if n_docs is not None else tf.select(F.count_distinct(id_col)).scalar()
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
     idf = F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))
-    # one row per term: broadcast when the vocabulary is proven small, else a shuffle
-    # join whose hot terms AQE splits
-    return tf.join(broadcast_if_small(dfreq), "term").select(
+    # one row per term: AQE broadcasts it at runtime when its measured size is small,
+    # else keeps the shuffle join and splits hot terms
+    return tf.join(dfreq, "term").select(
         id_col, "term", "tf", "doc_freq", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf")
     )
 

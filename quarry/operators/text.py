@@ -37,7 +37,8 @@ def word_count_filtered(
     """Word count split on ``illegal_chars`` + space, JVM-trimmed, lower-cased,
     without stop words or empty tokens (A09, F07)."""
     sep = char_class(illegal_chars + " ")
-    toks = F.transform(F.split(F.col(col), sep), lambda t: F.lower(jvm_trim(t)))
+    # lower-casing is per character, so lowering the text once equals lowering tokens
+    toks = F.transform(F.split(F.lower(F.col(col)), sep), lambda t: jvm_trim(t))
     stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))]).cast("array<string>")
     kept = F.filter(toks, lambda t: (F.length(t) > 0) & ~F.array_contains(stop, t))
     return count_tokens(df, kept)

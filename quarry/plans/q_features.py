@@ -106,8 +106,9 @@ def q_hashing_tf(spark, sf_dir):
 
 
 def _filtered_tf(spark, sf_dir):
-    toks = fe.remove_stop_words(fe.tokenize(_docs(spark, sf_dir), "text"), "tokens")
-    return fe.term_frequency(toks, "doc_id", "filtered")
+    # built-in tokens (same rule as Tokenizer) + broadcast anti join on the stop words
+    terms = fe.exploded_terms(_docs(spark, sf_dir), "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
+    return fe.term_counts(terms, "doc_id")
 
 
 _TF_SQL = f"""with tf as (
@@ -125,14 +126,15 @@ def q_term_frequency(spark, sf_dir):
     "tf_idf",
     "E07",
     _TF_SQL
-    + """, m as (select count(distinct doc_id) as m from tf),
+    + """, m as (select count(*) as m from documents),
   d as (select term, count(*) as doc_freq from tf group by term)
 select doc_id, term, tf, doc_freq, round(tf * ln((m + 1.0) / (doc_freq + 1.0)), 6) as tfidf
 from tf join d using (term), m""",
     check="T",
 )
 def q_tf_idf(spark, sf_dir):
-    out = fe.tf_idf(_filtered_tf(spark, sf_dir), "doc_id")
+    n_docs = _docs(spark, sf_dir).select(F.count(F.lit(1))).scalar()
+    out = fe.tf_idf(_filtered_tf(spark, sf_dir), "doc_id", n_docs=n_docs)
     return out.select("doc_id", "term", "tf", "doc_freq", F.round("tfidf", 6).alias("tfidf"))
 
 
