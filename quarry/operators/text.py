@@ -17,8 +17,11 @@ from quarry.plans.strategies import broadcast_if_small
 
 def count_tokens(df: DataFrame, token_array: Column, alias: str = "word") -> DataFrame:
     """Count every element of ``token_array`` over all rows."""
+    # explode_outer + null filter: a plain explode makes Catalyst infer a
+    # size(tokens) > 0 filter that splits every text a second time
     return (
-        df.select(F.explode(token_array).alias(alias))
+        df.select(F.explode_outer(token_array).alias(alias))
+        .where(F.col(alias).isNotNull())
         .groupBy(alias)
         .agg(F.count(F.lit(1)).alias("n"))
     )
