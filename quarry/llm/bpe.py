@@ -88,22 +88,53 @@ def cut_words(text: str) -> list[str]:
 
 
 class WordMemo(dict):
-    """word -> its ids as little-endian uint32 bytes; emptied when it holds ``most`` words."""
+    """word -> its ids as little-endian uint32 bytes; emptied when it holds ``most`` words.
 
-    def __init__(self, tokenizer, most: int = 600_000):
+    New words are encoded many at a time: joined into one text whose cuts are known, with the
+    pieces that end (or start) a word telling them apart.  Words without that property, and
+    texts that do not come apart into as many words, are encoded one by one.
+    """
+
+    JOINED = 2_000
+
+    def __init__(self, tokenizer, kind: str = "other", most: int = 1_000_000):
         super().__init__()
-        self.tokenizer, self.most = tokenizer, most
+        self.tokenizer, self.kind, self.most = tokenizer, kind, most
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        marks = (p.endswith("</w>") if kind == "word" else p.startswith("Ġ") for p in vocabulary)
+        self.mark = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.mark[np.fromiter(vocabulary.values(), np.int64)] = np.fromiter(marks, bool)
+        self.joins = {"word": re.compile(f"[{LETTERS}]+"), "byte": re.compile(f" [{BYTE_LETTERS}]+")}.get(kind)
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > self.most:
             self.clear()
             new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        alone = [w for w in new if not self.joins or not self.joins.fullmatch(w)]
+        if self.joins and len(alone) < len(new):
+            left = set(alone)
+            together = [w for w in new if w not in left]
+            for at in range(0, len(together), self.JOINED):
+                part = together[at : at + self.JOINED]
+                if not self._learn_joined(part):
+                    alone += part
+        for at in range(0, len(alone), 20_000):
+            part = alone[at : at + 20_000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self[w] = _le32(e.ids)
 
+    def _learn_joined(self, words: list[str]) -> bool:
+        text = (" " if self.kind == "word" else "").join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        at = np.nonzero(self.mark[ids])[0] * 4
+        if len(at) != len(words):
+            return False
+        raw = ids.tobytes()
+        cuts = [0, *(at + 4).tolist()] if self.kind == "word" else [*at.tolist(), len(raw)]
+        self.update(zip(words, (raw[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)), strict=True))
+        return True
+
 
 _ENCODERS: dict[int, TextEncoder] = {}
 
@@ -121,7 +152,7 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = _kind(spec)
-        self.memo = WordMemo(self.tokenizer)
+        self.memo = WordMemo(self.tokenizer, self.kind)
 
     @classmethod
     def of(cls, spec: str) -> TextEncoder:
