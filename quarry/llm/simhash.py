@@ -252,10 +252,10 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that come first (smallest id) in their component."""
     spark, columns = docs.sparkSession, docs.columns
-    inner = {c: f"c{i}" for i, c in enumerate(columns)}  # columns may have any names
-    own = docs.toDF(*inner.values())
+    inner = [f"c{i}" for i in range(len(columns))]  # columns may have any names
+    own = docs.toDF(*inner)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields)
-    text_at = inner[text]
+    id_at, text_at = inner[columns.index(doc_id)], inner[columns.index(text)]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,6 +264,6 @@ def near_dedup(
 
     path = scratch_path(spark, "simhash")
     own.mapInArrow(add, f"{schema}, fp long").withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path).withColumn("doc_id", F.col(inner[doc_id]))
+    rows = spark.read.parquet(path).withColumn("doc_id", F.col(id_at))
     kept = _grouped(rows.select("doc_id", "fp", "_row"), max_bits, salts).where(F.col("_row") == F.col("first._row"))
-    return rows.join(kept.select("_row"), "_row", "left_semi").select(*[F.col(i).alias(c) for c, i in inner.items()])
+    return rows.join(kept.select("_row"), "_row", "left_semi").select(*inner).toDF(*columns)
