@@ -39,6 +39,10 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(slow)
 
 
+def hashed(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
 def directory(hashes: DataFrame, capacity: int, min_depth: int, max_depth: int) -> DataFrame:
     """``(cell, depth, bucket)`` for each occupied ``max_depth``-bit prefix of column ``h``."""
     cells = hashes.groupBy(F.shiftrightunsigned("h", 64 - max_depth).alias("cell")).agg(F.count_distinct("h").alias("keys"))
@@ -66,7 +70,7 @@ def build_index(
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text_ = normalised(F.col(text))
     docs.select(
-        F.xxhash64(text_).alias("h"),
+        hashed(text_).alias("h"),
         F.unhex(F.sha2(text_.cast("binary"), 256)).alias("sha"),
         F.col(doc_id).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
@@ -87,7 +91,7 @@ def _chains(docs: DataFrame, index: DataFrame, text: str) -> DataFrame:
     """``(h, sha, chain)`` for each different text among those that share a hash."""
     shared = index.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     text_ = normalised(F.col(text))
-    texts = docs.select(text_.alias("t")).withColumn("h", F.xxhash64("t")).where(may_contain(bloom(shared, "h"), F.col("h")))
+    texts = docs.select(text_.alias("t")).withColumn("h", hashed(F.col("t"))).where(may_contain(bloom(shared, "h"), F.col("h")))
     links = texts.join(shared, "h", "left_semi").groupBy("h", "t").agg(F.count(F.lit(1)).alias("n"))
     place = F.row_number().over(Window.partitionBy("h").orderBy("t")) - 1
     return links.select("h", F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("sha"), place.alias("chain"))
