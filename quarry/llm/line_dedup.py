@@ -9,9 +9,10 @@ between lines of ``near_chars`` or more, where a segment is long enough to be se
    edits at least one segment of the shorter line survives in the longer one, near its
    place.  Index rows hold (segment number, length, segment); probe rows hold, for every
    admissible length, the substrings whose place the remaining edits admit.
-3. Index and probe meet by one equality join on a 64-bit key.  A letter-parity signature
-   (an edit changes at most two bits) is part of the join's condition, so lines that share a
-   segment and differ elsewhere are no candidates and a group of them emits no pairs.
+3. Index and probe meet by one equality join on a 64-bit key.  The counts of some letters
+   (an edit changes them by two in sum at most) are part of the join's condition, so lines
+   that share a segment and differ elsewhere are no candidates and a group of them emits no
+   pairs.
 4. Candidates are verified: equal ends are stripped by doubling steps, the rest goes through
    a banded bit-parallel edit distance (``2 * threshold + 2`` bits, one step a column).
 5. Linked lines form classes (components); a class keeps its first occurrence.
@@ -34,7 +35,7 @@ from quarry.session import scratch_path
 THRESHOLD = 2
 MIN_CHARS = 20
 NEAR_CHARS = 40
-SIGNATURE_LETTERS = "etaonrishdlcufgm"
+SIGNATURE_LETTERS = "etaonrih"
 #: strips up to 2 ** 21 - 1 equal characters from either end
 STEPS = [1 << k for k in range(20, -1, -1)]
 
@@ -139,45 +140,68 @@ def edit_distance_within(a: Column, b: Column, k: int) -> Column:
 # ---- candidates ------------------------------------------------------------------------
 
 
-def _segments(length: Column, k: int) -> list[tuple[Column, Column]]:
-    """(start, size) of the ``k + 1`` even segments of a line of ``length`` characters."""
+def _segment(length: Column, i: Column, k: int) -> tuple[Column, Column]:
+    """(start, size) of segment ``i`` of the ``k + 1`` even ones of a line of ``length``."""
     parts = k + 1
-    size, extra = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    out = []
-    for i in range(parts):
-        longer = F.greatest(F.lit(i + 1) - (F.lit(parts) - extra), F.lit(0))  # the last ``extra`` segments
-        before = F.greatest(F.lit(i) - (F.lit(parts) - extra), F.lit(0))
-        out.append((size * i + before + 1, size + longer - before))
-    return out
+    extra = F.pmod(length, F.lit(parts))  # so many last segments have one character more
+    size = ((length - extra) / parts).cast("int")
+    before = F.greatest(i - (F.lit(parts) - extra), F.lit(0))
+    return size * i + before + 1, size + F.when(i >= F.lit(parts) - extra, 1).otherwise(0)
 
 
-def _key(i: int, length: Column, part: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, part)
+def _segments(length: Column, k: int) -> list[tuple[Column, Column]]:
+    return [_segment(length, F.lit(i), k) for i in range(k + 1)]
+
+
+def _key(i: Column, length: Column, part: Column) -> Column:
+    return F.xxhash64(i, length, part)
 
 
 def _index_rows(k: int) -> Column:
     line, n = F.col("line"), F.col("n")
-    return F.array(*[_key(i, n, F.substring(line, p, q)) for i, (p, q) in enumerate(_segments(n, k))])
+    return F.array(*[_key(F.lit(i), n, F.substring(line, p, q)) for i, (p, q) in enumerate(_segments(n, k))])
+
+
+def _probe_places(k: int) -> Column:
+    """Every (gap, segment, shift) at which a segment of a line of ``gap`` characters less can
+    have stayed: ``i`` segments stand before it and ``k - i`` behind, each lost to an edit."""
+    return F.array(
+        *[
+            F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+            for gap in range(k + 1)
+            for i in range(k + 1)
+            for shift in range(max(-i, gap - (k - i)), min(i, gap + (k - i)) + 1)
+        ]
+    )
 
 
-def _probe_rows(k: int, near_chars: int) -> Column:
-    """Keys at which a line of at most ``k`` characters less may have left a segment."""
-    line, n = F.col("line"), F.col("n")
-    keys = []
-    for gap in range(k + 1):
-        length = n - gap
-        for i, (p, q) in enumerate(_segments(length, k)):
-            for off in range(max(-i, gap - (k - i)), min(i, gap + (k - i)) + 1):
-                key = _key(i, length, F.substring(line, p + off, q))
-                keys.append(F.when(length >= near_chars, key) if gap else key)
-    return F.array_compact(F.array(*keys))
+def _probe(rows: DataFrame, k: int, near_chars: int) -> DataFrame:
+    """(key, id2, sig2, gap): one row for each place, so that the expression stays short."""
+    places = rows.select("line", "id", "sig", "n", F.explode(_probe_places(k)).alias("at"))
+    shorter = places.select("line", "id", "sig", (F.col("n") - F.col("at.gap")).alias("n"), "at").where(F.col("n") >= near_chars)
+    start, size = _segment(F.col("n"), F.col("at.i"), k)
+    part = F.substring("line", start + F.col("at.shift"), size)
+    return shorter.select(
+        _key(F.col("at.i"), F.col("n"), part).alias("key"), F.col("id").alias("id2"), F.col("sig").alias("sig2"), "at.gap"
+    )
 
 
 def _signature(line: Column) -> Column:
-    out = F.lit(0)
+    """Counts of the letters modulo 256, a byte each."""
+    out = F.lit(0).cast("long")
     for i, c in enumerate(SIGNATURE_LETTERS):
-        odd = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))) % 2
-        out = out + F.shiftleft(odd.cast("int"), i)
+        times = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
+        out = out.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(255)), 8 * i))
+    return out
+
+
+def _counts_apart(a: Column, b: Column) -> Column:
+    """At most the sum of the differences of the letters' counts."""
+    out = F.lit(0)
+    for i in range(len(SIGNATURE_LETTERS)):
+        x, y = (F.shiftrightunsigned(v, 8 * i).bitwiseAND(F.lit(255)) for v in (a, b))
+        apart = F.abs(x - y)
+        out = out + F.least(apart, F.lit(256) - apart)
     return out
 
 
@@ -195,18 +219,19 @@ def near_links(lines: DataFrame, threshold: int = THRESHOLD, near_chars: int = N
     """``(a, b, distance)`` for all pairs of different lines (column ``line``) of at least
     ``near_chars`` characters within ``threshold`` edits; ``a`` and ``b`` are md5 digests."""
     n = F.char_length("line")
-    own = lines.select("line").where(n >= near_chars).distinct()
-    rows = own.select("line", n.alias("n"), F.xxhash64("line").alias("id"), _signature(F.col("line")).alias("sig"))
+    long_lines = lines.select("line").where(n >= near_chars)
+    own = long_lines.withColumn("sig", _signature(F.col("line"))).distinct()
+    rows = own.select("line", "sig", n.alias("n"), F.xxhash64("line").alias("id"))
     index = rows.select(F.explode(_index_rows(threshold)).alias("key"), "id", "sig")
-    probe = rows.select(
-        F.explode(_probe_rows(threshold, near_chars)).alias("key"), F.col("id").alias("id2"), F.col("sig").alias("sig2")
-    )
-    differ = F.bit_count(F.col("sig").bitwiseXOR(F.col("sig2"))) <= 2 * threshold
-    met = index.join(probe, (index.key == probe.key) & (F.col("id") != F.col("id2")) & differ)
-    pairs = met.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct().checkpoint()
+    probe = _probe(rows, threshold, near_chars)
+    once = (F.col("gap") > 0) | (F.col("id") < F.col("id2"))  # of lines of one length either may be the probe
+    close = _counts_apart(F.col("sig"), F.col("sig2")) <= 2 * threshold
+    met = index.join(probe, (index.key == probe.key) & once & (F.col("id") != F.col("id2")) & close)
+    pairs = met.select("id", "id2").distinct().checkpoint()
 
     either = pairs.select("id").union(pairs.select("id2"))
-    wanted = own.withColumn("id", F.xxhash64("line")).where(may_contain(bloom(either, "id"), F.col("id")))
+    wanted = long_lines.withColumn("id", F.xxhash64("line")).where(may_contain(bloom(either, "id"), F.col("id")))
+    wanted = wanted.distinct().checkpoint()
     first = pairs.join(wanted.select("id", F.col("line").alias("line_a")), "id")
     both = first.join(wanted.select(F.col("id").alias("id2"), F.col("line").alias("line_b")), "id2")
     distance = edit_distance_within(F.col("line_a"), F.col("line_b"), threshold)
