@@ -164,6 +164,69 @@ def q_sink_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, header=True, schema=schema)
 
 
+@query(
+    "sink_csv_text",
+    "K01 S09",
+    "select doc_id, text, lang from documents",
+)
+def q_sink_csv_text(spark, sf_dir):
+    """Free text with line breaks and quotes through CSV and back."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = sinks.write_csv(docs, scratch_path(spark, "sink"))
+    return files.read_csv(spark, path, schema="doc_id BIGINT, text STRING, lang STRING", multi_line=True)
+
+
+def _labelled_lines(sep, features_first, inner=None):
+    nums = [F.col(c).cast("string") for c in ("l_quantity", "l_discount", "l_tax")]
+    # every tenth supplier's rows have a field that is no number
+    broken = F.when(F.col("l_suppkey") % 10 == 0, F.lit("?")).otherwise(F.col("l_linenumber").cast("string"))
+    features = F.concat_ws(inner or sep, *nums)
+    parts = (features, broken) if features_first else (broken, features)
+    return F.concat_ws(sep, *parts).alias("line")
+
+
+def _labelled_sql(label):
+    return f"""select l_orderkey, l_suppkey, {label} as label, l_quantity as f0, l_discount as f1, l_tax as f2, false as rejected
+               from lineitem where l_suppkey % 10 <> 0
+               union all select l_orderkey, l_suppkey, null, null, null, null, true from lineitem where l_suppkey % 10 = 0"""
+
+
+def _labelled_rows(spark, sf_dir, line, **shape):
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", line)
+    keep = ["l_orderkey", "l_suppkey"]
+    parsed, rejects = parse.parse_labelled(li, "line", keep=keep, **shape)
+    good = parsed.select(*keep, "label", *[F.get("features", i).alias(f"f{i}") for i in range(3)], F.lit(False).alias("rejected"))
+    none = [F.lit(None).cast("double").alias(c) for c in ("label", "f0", "f1", "f2")]
+    return good.unionByName(rejects.select(*keep, *none, F.lit(True).alias("rejected")))
+
+
+@query("parse_label_features", "S14 P08", _labelled_sql("l_linenumber::double"))
+def q_parse_label_features(spark, sf_dir):
+    """``label|f1 f2 ...``"""
+    return _labelled_rows(spark, sf_dir, _labelled_lines("|", False, " "), sep=r"\|", label=0, feature_sep=" ")
+
+
+@query("parse_label_last", "S14 P08", _labelled_sql("l_linenumber::double"))
+def q_parse_label_last(spark, sf_dir):
+    """``f1,f2,...,label``: the label is the last field."""
+    return _labelled_rows(spark, sf_dir, _labelled_lines(",", True), sep=",", label=-1)
+
+
+@query(
+    "parse_label_tokens",
+    "S14 P08 X01",
+    "select doc_id, lang as label, regexp_split_to_array(regexp_replace(text, '[\\t\\n\\r\\\\]', ' ', 'g'), '[ ,]') as tokens from documents",
+)
+def q_parse_label_tokens(spark, sf_dir):
+    """``label<TAB>text`` with tokens cut at commas and blanks."""
+    flat = F.regexp_replace("text", r"[\t\n\r\\\\]", " ")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("\t", "lang", flat).alias("line"))
+    parsed, _ = parse.parse_labelled(
+        docs, "line", sep="\t", label=0, feature_sep="[ ,]", label_type="string", feature_type="string", out="tokens", keep=["doc_id"]
+    )
+    return parsed
+
+
 @query(
     "cut_lineage",
     "K07 K06 S13",

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quarry.session import scratch_path
+
 
 def read_json(
     spark: SparkSession, path: str, schema: StructType | str | None = None, sampling_ratio: float = 1.0
@@ -25,14 +27,21 @@ def read_json(
     return reader.load(path)
 
 
-def infer_json_schema(df: DataFrame, col: str, sample_rows: int = 1000) -> StructType:
-    """Infer a DDL schema from at most ``sample_rows`` JSON strings of ``col``."""
-    sample = df.where(F.col(col).isNotNull()).select(col).limit(sample_rows)
-    rows = [r[0] for r in sample.collect()]
-    if not rows:
-        raise ValueError(f"no JSON values in {col!r} to infer a schema from")
+def infer_json_schema(df: DataFrame, col: str, sampling_ratio: float = 1.0) -> StructType:
+    """Infer a schema from the JSON strings of ``col``: all of them, or a stated share.
+
+    The strings are written as lines to the shared scratch folder and inferred by
+    Spark's distributed JSON reader.  Line breaks are blanks in JSON, so each value
+    stays one line.
+    """
     spark = df.sparkSession
-    return spark.read.json(spark.sparkContext.parallelize(rows, 1)).schema
+    path = scratch_path(spark, "json-lines")
+    lines = F.regexp_replace(F.col(col), r"[\r\n]", " ").alias("value")
+    df.where(F.col(col).isNotNull()).select(lines).write.text(path)
+    schema = spark.read.option("samplingRatio", str(sampling_ratio)).json(path).schema
+    if not schema.fields:
+        raise ValueError(f"no JSON values in {col!r} to infer a schema from")
+    return schema
 
 
 def json_from_lines(df: DataFrame, col: str, schema: StructType | str | None = None) -> DataFrame:
@@ -63,9 +72,16 @@ def read_csv(
     delimiter: str = ",",
     infer_schema: bool = False,
     schema: StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV scan (S09 all strings, S10 inferred types)."""
+    """CSV scan (S09 all strings, S10 inferred types).
+
+    Quotes inside a quoted field are doubled.  ``multi_line`` admits line breaks inside
+    quoted fields (free text); a file is then read by one task, so write such data in
+    files of a size that one task can read.
+    """
     reader = spark.read.option("header", str(header).lower()).option("delimiter", delimiter)
+    reader = reader.option("escape", '"').option("multiLine", str(multi_line).lower())
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:

@@ -54,3 +54,37 @@ def parse_delimited(
     parsed = split.where(F.col("_ok")).select(*keep, *_typed(fields))
     rejects = split.where(~F.col("_ok")).select(*keep, F.col(col))
     return parsed, rejects
+
+
+def parse_labelled(
+    df: DataFrame,
+    col: str,
+    sep: str,
+    label: int = 0,
+    feature_sep: str | None = None,
+    label_type: str = "double",
+    feature_type: str = "double",
+    out: str = "features",
+    keep: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Parse ``col`` into a ``label`` and an array ``out`` of features.
+
+    ``label`` is the label's position among the fields, from the end if negative.  Without
+    ``feature_sep`` the features are all other fields; with it, the line has two fields and
+    the other one is cut again at ``feature_sep``.  Both separators are regexes.  A line
+    whose label or any feature is missing or does not cast is a reject and keeps its text.
+    """
+    fields = F.col("_f")
+    at = F.lit(label) if label >= 0 else F.size(fields) + label
+    raw_label = F.get(fields, at)
+    if feature_sep is None:
+        others = F.filter(F.transform(fields, lambda x, i: F.when(i != at, x)), lambda x: x.isNotNull())
+        shape = F.size(fields) >= 2
+    else:
+        others = F.split(F.get(fields, F.lit(1) - at), feature_sep)
+        shape = F.size(fields) == 2
+    cast = F.transform(others, lambda x: x.try_cast(feature_type))
+    ok = shape & raw_label.try_cast(label_type).isNotNull() & ~F.exists(cast, lambda x: x.isNull())
+    split = df.withColumn("_f", F.split(F.col(col), sep)).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+    parsed = split.where("_ok").select(*keep, raw_label.try_cast(label_type).alias("label"), cast.alias(out))
+    return parsed, split.where("not _ok").select(*keep, F.col(col))

@@ -14,9 +14,14 @@ from quarry.session import ensure_checkpoint_dir
 
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False, mode: str = "overwrite") -> str:
     """CSV sink (K01).  ``single_file`` funnels all rows through one task: only for
-    small outputs."""
+    small outputs.
+
+    Quotes inside a field are doubled; a field with a line break is quoted and is read
+    back with ``read_csv(multi_line=True)``.  Blanks at the ends of a field are kept.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", str(header).lower()).csv(path)
+    writer = out.write.mode(mode).option("header", str(header).lower()).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     return path
 
 
