@@ -30,21 +30,26 @@ def count_tokens(df: DataFrame, token_array: Column, alias: str = "word") -> Dat
 def word_count(df: DataFrame, col: str, pattern: str = "[ \n]", lower: bool = True) -> DataFrame:
     """Word count with map-side combine (A07/A08): split, drop empties, count."""
     c = F.lower(F.col(col)) if lower else F.col(col)
-    words = F.filter(F.split(c, pattern), lambda t: F.length(t) > 0)
-    return count_tokens(df, words)
+    return _count_words(df.select(F.explode_outer(F.split(c, pattern)).alias("word")))
+
+
+def _count_words(words: DataFrame) -> DataFrame:
+    return words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def word_count_filtered(
     df: DataFrame, col: str, illegal_chars: str, stop_words: Iterable[str]
 ) -> DataFrame:
-    """Word count split on ``illegal_chars`` + space, JVM-trimmed, lower-cased,
-    without stop words or empty tokens (A09, F07)."""
-    sep = char_class(illegal_chars + " ")
-    # lower-casing is per character, so lowering the text once equals lowering tokens
-    toks = F.transform(F.split(F.lower(F.col(col)), sep), lambda t: jvm_trim(t))
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))]).cast("array<string>")
-    kept = F.filter(toks, lambda t: (F.length(t) > 0) & ~F.array_contains(stop, t))
-    return count_tokens(df, kept)
+    """Word count split on ``illegal_chars`` + space, then JVM-trimmed and lower-cased
+    token by token, without stop words or empty tokens (A09, F07).
+
+    The text is split as it stands (a separator may be an upper-case letter), and
+    lower-casing sees one token at a time (a final sigma depends on its word).
+    """
+    raw = df.select(F.explode_outer(F.split(F.col(col), char_class(illegal_chars + " "))).alias("raw"))
+    words = raw.where(F.col("raw") != "").select(F.lower(jvm_trim("raw")).alias("word"))
+    stop = sorted(set(stop_words))
+    return _count_words(words.where(~F.col("word").isin(stop)) if stop else words)
 
 
 def pattern_frequency(df: DataFrame, col: str, pattern: str, alias: str = "match") -> DataFrame:
@@ -65,20 +70,24 @@ def dictionary_substitute(
     ``dictionary`` has ``(word, canonical, entry_order)``; for a word listed twice the
     entry with the smallest ``entry_order`` wins.  Unmatched all-digit tokens are
     dropped, other unmatched tokens kept; tokens are re-joined in their original
-    order, each prefixed by ``sep``.  Each document is regrouped on its own id, so a
-    group is never larger than the document it came from.
+    order, each prefixed by ``sep``.  Each row is regrouped on a number of its own (rows
+    may share an id), so a group is never larger than the document it came from.  The
+    compact documents are dealt by that number first: the broadcast join keeps the
+    partitioning, so regrouping the tokens needs no exchange.
     """
     first = (
         dictionary.groupBy("word")
         .agg(F.min_by("canonical", "entry_order").alias("canonical"))
     )
-    toks = docs.select(id_col, F.posexplode_outer(token_array).alias("pos", "word"))
+    rows = docs.select(id_col, token_array.alias("_toks"), F.monotonically_increasing_id().alias("_row"))
+    dealt = rows.repartition("_row")
+    toks = dealt.select(id_col, "_row", F.posexplode_outer("_toks").alias("pos", "word"))
     joined = toks.join(broadcast_if_small(first, max_rows=max_broadcast_rows), "word", "left")
     keep = F.col("canonical").isNotNull() | (
         F.col("word").isNotNull() & ~F.col("word").rlike(ALL_DIGITS)
     )
     item = F.when(keep, F.struct(F.col("pos"), F.coalesce("canonical", "word").alias("w")))
-    regrouped = joined.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_ws"))
+    regrouped = joined.groupBy("_row", id_col).agg(F.array_sort(F.collect_list(item)).alias("_ws"))
     text = F.concat(F.lit(sep), F.array_join(F.transform("_ws", lambda s: s["w"]), sep))
     # a document whose every token was dropped keeps its row, with an empty text
     return regrouped.select(
