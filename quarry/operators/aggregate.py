@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 _AGGS = {
     "min": F.min,
@@ -44,36 +45,45 @@ def agg_spec(df: DataFrame, group_cols: Sequence[str], spec: Mapping[str, str] |
     return df.groupBy(*group_cols).agg(*exprs)
 
 
-def describe_typed(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
-    """``describe()`` with typed double values (A01): count, mean, stddev (sample),
-    min, max per column, one row per statistic.  One aggregate job, then an unpivot.
+def describe_typed(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
+    """``describe()`` (A01): count, mean, stddev (sample), min, max per column, one row per
+    statistic.  One aggregate job, then an unpivot.
+
+    Numeric columns give typed doubles (rounded only if ``digits`` is given).  If any column
+    is not numeric, all values are strings, as in ``DataFrame.describe``: such a column has
+    a count, a smallest and a largest value and no moments.
     """
     stats = ["count", "mean", "stddev", "min", "max"]
+    numeric = {c for c in cols if isinstance(df.schema[c].dataType, NumericType)}
+    kind = "double" if len(numeric) == len(set(cols)) else "string"
     fns = {
-        "count": lambda c: F.count(c).cast("double"),
-        "mean": lambda c: F.avg(c),
-        "stddev": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
+        "count": F.count,
+        "mean": lambda c: F.avg(c) if c in numeric else F.lit(None),
+        "stddev": lambda c: F.stddev_samp(c) if c in numeric else F.lit(None),
+        "min": F.min,
+        "max": F.max,
     }
-    wide = df.agg(*[fns[s](F.col(c)).alias(f"{s}__{c}") for s in stats for c in cols])
+    wide = df.agg(*[fns[s](c).cast(kind).alias(f"{s}__{c}") for s in stats for c in cols])
     rows = [
         F.struct(F.lit(s).alias("summary"), *[F.col(f"{s}__{c}").alias(c) for c in cols])
         for s in stats
     ]
     out = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    if digits is not None:
+    if digits is not None and kind == "double":
         out = out.select("summary", *[F.round(c, digits).alias(c) for c in cols])
     return out
 
 
-def column_moments(df: DataFrame, cols: Sequence[str], exact_scale: int | None = 2, digits: int = 6) -> DataFrame:
+def column_moments(df: DataFrame, cols: Sequence[str], exact_scale: int | None = None, digits: int | None = None) -> DataFrame:
     """Per column: n, sum, sum of squares, mean, population stddev.
 
     With ``exact_scale`` the sums are taken in decimal (exact for data with that many
-    decimals) and shown as double.  Long form ``(column, n, total, total_sq, mean,
+    decimals at most: more are cut off) and shown as double; ``digits`` rounds the output.  Long form ``(column, n, total, total_sq, mean,
     stddev_pop)``.
     """
+    def rounded(c: Column) -> Column:
+        return c if digits is None else F.round(c, digits)
+
     def dec(c: str) -> Column:
         return F.col(c).cast(f"decimal(18,{exact_scale})") if exact_scale is not None else F.col(c)
 
@@ -91,10 +101,10 @@ def column_moments(df: DataFrame, cols: Sequence[str], exact_scale: int | None =
         F.struct(
             F.lit(c).alias("column"),
             F.col(f"n__{c}").alias("n"),
-            F.round(F.col(f"s__{c}"), digits).alias("total"),
-            F.round(F.col(f"q__{c}"), digits).alias("total_sq"),
-            F.round(F.col(f"m__{c}"), digits).alias("mean"),
-            F.round(F.col(f"d__{c}"), digits).alias("stddev_pop"),
+            rounded(F.col(f"s__{c}")).alias("total"),
+            rounded(F.col(f"q__{c}")).alias("total_sq"),
+            rounded(F.col(f"m__{c}")).alias("mean"),
+            rounded(F.col(f"d__{c}")).alias("stddev_pop"),
         )
         for c in cols
     ]

@@ -14,14 +14,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.features import standardize
-
 
 def single_center(df: DataFrame, cols: Sequence[str], prefix: str = "center_") -> DataFrame:
     """The k = 1 k-means centre: one row with the mean of every column, and ``n``."""
     return df.agg(*[F.avg(c).alias(f"{prefix}{c}") for c in cols], F.count(F.lit(1)).alias("n"))
 
 
+def standard_distance(df: DataFrame, cols: Sequence[str], alias: str = "distance") -> DataFrame:
+    """Squared distance of each row to the centre of the z-scores, in one pass over ``df``
+    for the statistics and one for the rows.
+
+    The centre of z-scores (population stddev) is zero, so no pass looks for it: the
+    distance is the sum of the squared z-scores.  All means and stddevs are one row of
+    one aggregate, read as one scalar subquery.
+    """
+    stats = df.select(
+        F.struct(
+            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+            *[F.stddev_pop(c).alias(f"d{i}") for i, c in enumerate(cols)],
+        ).alias("s")
+    ).scalar()
+    dist = F.lit(0.0)
+    for i, c in enumerate(cols):
+        sd = stats[f"d{i}"]
+        scale = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
+        dist = dist + F.pow((F.col(c) - stats[f"m{i}"]) / scale, 2)
+    return df.withColumn(alias, dist)
+
+
 def squared_distance(df: DataFrame, cols: Sequence[str], alias: str = "distance") -> DataFrame:
     """Squared Euclidean distance of each row to the column-mean centre."""
     dist = F.lit(0.0)
@@ -31,15 +51,9 @@ def squared_distance(df: DataFrame, cols: Sequence[str], alias: str = "distance"
     return df.withColumn(alias, dist)
 
 
-def _scored(df: DataFrame, cols: Sequence[str], alias: str) -> tuple[DataFrame, list[str]]:
-    z = standardize(df, cols, prefix="_z_")
-    zc = [f"_z_{c}" for c in cols]
-    return squared_distance(z, zc, alias), zc
-
-
 def distance_threshold(df: DataFrame, cols: Sequence[str], k: int = 2000):
     """The k-th largest squared distance as a scalar column (T09 over M11 scores)."""
-    scored, _ = _scored(df, cols, "_d")
+    scored = standard_distance(df, cols, "_d")
     return scored.select("_d").orderBy(F.desc("_d")).limit(k).select(F.min("_d")).scalar()
 
 
@@ -48,8 +62,8 @@ def anomaly_scores(
 ) -> DataFrame:
     """Rows with their distance, the threshold (k-th largest distance; with fewer than
     k rows the smallest) and ``is_anomaly = distance >= threshold``."""
-    scored, zc = _scored(df, cols, alias)
-    return scored.drop(*zc).withColumn("threshold", distance_threshold(df, cols, k)).withColumn(
+    scored = standard_distance(df, cols, alias)
+    return scored.withColumn("threshold", distance_threshold(df, cols, k)).withColumn(
         "is_anomaly", F.col(alias) >= F.col("threshold")
     )
 

@@ -54,11 +54,26 @@ def binary_curve(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def roc_curve(df: DataFrame, score: str, label: str) -> DataFrame:
+    """``(threshold, tp, fp, tpr, fpr)``: the points of ``binary_curve`` between the end
+    points (0, 0), where nothing is predicted positive, and (1, 1); their threshold is null."""
+    c = binary_curve(df, score, label)
+    points = c.select("threshold", "tp", "fp", "tpr", "fpr")
+    totals = score_counts(df, score, label).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    kind = points.schema["threshold"].dataType
+    zero, one = F.lit(0).cast("bigint"), F.lit(1.0)
+    start = F.struct(F.lit(None).cast(kind).alias("threshold"), zero.alias("tp"), zero.alias("fp"), (one * 0).alias("tpr"), (one * 0).alias("fpr"))
+    end = F.struct(F.lit(None).cast(kind).alias("threshold"), F.col("p").alias("tp"), F.col("n").alias("fp"), one.alias("tpr"), one.alias("fpr"))
+    ends = totals.select(F.explode(F.array(start, end)).alias("e")).select("e.*")
+    return points.unionByName(ends)
+
+
 def area_under_roc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Tie-aware AUC (V03, V12) as a one-row DataFrame."""
     c = binary_curve(df, score, label)
     contrib = F.col("pos") * ((F.col("_n") - F.col("fp")) + F.col("neg") * 0.5)
-    return c.agg(F.try_divide(F.sum(contrib), F.first("_p") * F.first("_n")).alias("auc"))
+    pairs = F.first("_p").cast("double") * F.first("_n").cast("double")  # beyond a bigint at scale
+    return c.agg(F.try_divide(F.sum(contrib), pairs).alias("auc"))
 
 
 def best_f1_threshold(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -112,22 +127,26 @@ def weighted_precision_recall(df: DataFrame, label: str, prediction: str) -> Dat
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """MSE, RMSE, MAE, r² and mean residual in one aggregate."""
+    """MSE, RMSE, MAE, r² and mean residual in one aggregate.
+
+    Rows with a null label or prediction have no residual and are left out.  The total
+    sum of squares comes from ``var_pop``, which stays exact where the values are large
+    and close together.
+    """
     res = F.col(label) - F.col(prediction)
     agg = df.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(res).alias("n"),
         F.sum(res * res).alias("ss_res"),
         F.sum(F.abs(res)).alias("sae"),
         F.sum(res).alias("sr"),
-        F.sum(F.col(label)).alias("sy"),
-        F.sum(F.col(label) * F.col(label)).alias("syy"),
+        F.var_pop(F.when(res.isNotNull(), F.col(label))).alias("var"),
     )
-    ss_tot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    mse = F.col("ss_res") / F.col("n")
+    ss_tot = F.col("var") * F.col("n")
+    mse = F.try_divide(F.col("ss_res"), F.col("n"))
     return agg.select(
         mse.alias("mse"),
         F.sqrt(mse).alias("rmse"),
-        (F.col("sae") / F.col("n")).alias("mae"),
+        F.try_divide(F.col("sae"), F.col("n")).alias("mae"),
         (F.lit(1.0) - F.try_divide(F.col("ss_res"), ss_tot)).alias("r2"),
-        (F.col("sr") / F.col("n")).alias("mean_residual"),
+        F.try_divide(F.col("sr"), F.col("n")).alias("mean_residual"),
     )

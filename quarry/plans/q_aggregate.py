@@ -30,7 +30,7 @@ union all select 'max', round(hi1, 6), round(hi2::double, 6) from s""",
     check="T",
 )
 def q_describe_typed(spark, sf_dir):
-    return agg.describe_typed(read_table(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"])
+    return agg.describe_typed(read_table(spark, sf_dir, "customer"), ["c_acctbal", "c_nationkey"], digits=6)
 
 
 @query("group_max", "A02", "select p_brand, max(p_size) as max_p_size from part group by p_brand")
@@ -141,7 +141,7 @@ def _moments_sql() -> str:
 
 @query("column_moments", "A16 A17 A18", _moments_sql(), check="T")
 def q_column_moments(spark, sf_dir):
-    return agg.column_moments(read_table(spark, sf_dir, "lineitem"), list(_MOMENT_COLS))
+    return agg.column_moments(read_table(spark, sf_dir, "lineitem"), list(_MOMENT_COLS), exact_scale=2, digits=6)
 
 
 @query(

@@ -39,11 +39,13 @@ t as (select sum(pos)::bigint as p_all, sum(neg)::bigint as n_all from g)"""
     "roc_curve",
     "V02",
     _CURVE_SQL + """
-select threshold, tp, fp, round(tp / p_all, 6) as tpr, round(fp / n_all, 6) as fpr from c, t""",
+select threshold, tp, fp, round(tp / p_all, 6) as tpr, round(fp / n_all, 6) as fpr from c, t
+union all select null, 0, 0, 0.0, 0.0
+union all select null, p_all, n_all, 1.0, 1.0 from t""",
     check="T",
 )
 def q_roc_curve(spark, sf_dir):
-    c = evaluate.binary_curve(_scored(spark, sf_dir), "score", "label")
+    c = evaluate.roc_curve(_scored(spark, sf_dir), "score", "label")
     return c.select("threshold", "tp", "fp", F.round("tpr", 6).alias("tpr"), F.round("fpr", 6).alias("fpr"))
 
 
@@ -158,15 +160,15 @@ def q_weighted_precision(spark, sf_dir):
     "V09 V14",
     """
 with a as (select count(*) as n, sum((y - p) * (y - p)) as ss_res, sum(abs(y - p)) as sae, sum(y - p) as sr,
-                  sum(y) as sy, sum(y * y) as syy
-           from (select l_extendedprice / 1000 as y, l_quantity * 1.5 as p from lineitem))
+                  var_pop(y) as var
+           from (select 1e9 + l_extendedprice / 1000 as y, 1e9 + l_quantity * 1.5 as p from lineitem))
 select round(ss_res / n, 6) as mse, round(sqrt(ss_res / n), 6) as rmse, round(sae / n, 6) as mae,
-       round(1 - ss_res / (syy - sy * sy / n), 6) as r2, round(sr / n, 6) as mean_residual from a""",
+       round(1 - ss_res / (var * n), 6) as r2, round(sr / n, 6) as mean_residual from a""",
     check="T",
 )
 def q_regression_metrics(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
-    df = li.select((F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_quantity") * 1.5).alias("p"))
+    df = li.select((1e9 + F.col("l_extendedprice") / 1000).alias("y"), (1e9 + F.col("l_quantity") * 1.5).alias("p"))
     m = evaluate.regression_metrics(df, "y", "p")
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
@@ -246,7 +248,7 @@ def _dictionary(spark, sf_dir):
     b = read_table(spark, sf_dir, "benchmark")
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORD), 0)
     t = b.select("item_id", F.get(words, 0).alias("canonical"), F.posexplode(words).alias("pos", "word"))
-    return t.select("word", "canonical", (F.col("item_id") * 1_000_000 + F.col("pos") + 1).alias("entry_order"))
+    return t.select("word", "canonical", F.struct("item_id", "pos").alias("entry_order"))
 
 
 @query(
@@ -255,7 +257,7 @@ def _dictionary(spark, sf_dir):
     rf"""
 with bt as (select item_id, regexp_extract_all(lower(text), '{_WORD}') as toks from benchmark),
 dict as (select unnest(toks) as word, toks[1] as canonical, unnest(range(1, len(toks) + 1)) as pos, item_id from bt),
-first_entry as (select word, arg_min(canonical, item_id * 1000000 + pos) as canonical from dict group by word),
+first_entry as (select word, arg_min(canonical, (item_id, pos)) as canonical from dict group by word),
 dt as (select doc_id, regexp_extract_all(lower(text), '{_TOKEN}') as toks from documents),
 tok as (select doc_id, unnest(toks) as w, unnest(range(1, len(toks) + 1)) as pos from dt),
 j as (select doc_id, pos, w, canonical from tok left join first_entry on w = word),
