@@ -3,8 +3,11 @@
 Every ranking uses an explicit total order so that ties give the same rows on every
 run.  Grouped top-N is a ``row_number`` filter: Catalyst turns it into a partial
 ``WindowGroupLimit`` before the shuffle and a final one after it, so a hot group
-ships at most ``n`` rows per map task instead of all of its rows.  Global top-N uses
-``orderBy().limit()`` (``TakeOrderedAndProject``).  Modes that must return *all*
+ships at most ``n`` rows per map task instead of all of its rows.  Spark plans that only
+below ``spark.sql.optimizer.windowGroupLimitThreshold``; from there on the ranking always
+runs in two stages, the first over hash-salted parts of the groups.  Global top-N uses
+``orderBy().limit()`` (``TakeOrderedAndProject``), whose ``n`` rows meet in one task: for
+an ``n`` of many millions sort and number the rows instead.  Modes that must return *all*
 rows of the winning keys first pick the bounded key set, then broadcast-join it back,
 so the result stays distributed.
 """
@@ -20,6 +23,9 @@ from quarry.plans.strategies import broadcast_if_small
 
 ColumnOrName = Column | str
 
+# parts of a group in the first stage when Spark sets no limit before the shuffle
+LARGE_N_SALTS = 64
+
 
 def _cols(cols: Sequence[ColumnOrName] | ColumnOrName) -> list[Column]:
     if isinstance(cols, (str, Column)):
@@ -64,6 +70,9 @@ def top_n_within_group(
     The result is identical with or without salt.
     """
     group = list(group_cols)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if not salt_buckets and n >= limit:
+        salt_buckets = LARGE_N_SALTS
     if salt_buckets:
         salt_on = _cols(salt_cols or df.columns)
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salt_buckets)))
@@ -104,17 +113,21 @@ def top_n_unique(
     """Top ``n`` distinct keys, one row per key.
 
     The row kept for a key is the one with the largest ``tiebreak`` ("last seen wins").
-    Dedupe is a grouped ``max_by`` (partial aggregate, skew safe), then a global
-    ``orderBy().limit()``.
+    The keys are found first (a partial distinct and a limit); a grouped ``max_by``, which
+    sorts its input, then sees the rows of ``n`` keys only.
     """
     best = F.max_by(F.struct(*[F.col(c) for c in payload]), F.col(tiebreak))
-    deduped = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+    present = df.where(F.col(key).isNotNull())
+    # the n winning keys by a hash aggregate; rows are picked among theirs only
+    keys = present.select(key).distinct().orderBy(F.desc(key)).limit(n)
+    rows = present.join(broadcast_if_small(keys, max(n, 1)), key, "left_semi")
+    return (
+        rows.groupBy(key)
         .agg(best.alias("_row"))
         .select(key, *[F.col(f"_row.{c}").alias(c) for c in payload])
+        .orderBy(F.desc(key))
+        .limit(n)
     )
-    return deduped.orderBy(F.desc(key)).limit(n)
 
 
 def top_n_keys_with_rows(

@@ -74,8 +74,37 @@ def relative_to_range_avg(
     before: float = 10,
     after: float = 10,
     alias: str = "relative",
+    block: float | None = None,
 ) -> DataFrame:
     """``value`` minus the average over rows whose ``order_value`` lies within
-    ``[v - before, v + after]`` in the same group (W02, value-range frame)."""
-    w = Window.partitionBy(*group_cols).orderBy(F.col(order_value)).rangeBetween(-before, after)
-    return df.withColumn(alias, F.col(value) - F.avg(value).over(w))
+    ``[v - before, v + after]`` in the same group (W02, value-range frame).
+
+    Rows of one group and order value are added up first (a partial aggregate), so a hot
+    value is one row.  The order axis is cut into blocks of ``block`` (by default 16 frame
+    widths), rows within a frame of a block's edge are copied to the neighbour, and the
+    window runs per (group, block): one group's blocks lie in many tasks.  Sums and counts
+    are joined back by group and order value.  Rows with a null order value are one frame.
+    """
+    block = block or 16 * max(before + after, 1e-9)
+    if block < max(before, after):
+        raise ValueError("block must be at least as wide as either side of the frame")
+    group, v = list(group_cols), F.col("_v")
+    rows = df.withColumn("_v", F.col(order_value))
+    cells = rows.groupBy(*group, "_v").agg(F.sum(value).alias("_sum"), F.count(value).alias("_cnt"))
+    home = F.floor(v / F.lit(block))
+    copies = F.array(
+        F.struct(home.alias("blk"), F.lit(True).alias("home")),
+        F.when(F.floor((v + before) / block) > home, F.struct((home + 1).alias("blk"), F.lit(False).alias("home"))),
+        F.when(F.floor((v - after) / block) < home, F.struct((home - 1).alias("blk"), F.lit(False).alias("home"))),
+    )
+    spread = cells.select(*group, "_v", "_sum", "_cnt", F.explode(F.filter(copies, lambda s: s.isNotNull())).alias("_c"))
+    w = Window.partitionBy(*group, "_c.blk").orderBy("_v").rangeBetween(-before, after)
+    framed = spread.select(
+        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
+        F.col("_v").alias("_w"),
+        F.try_divide(F.sum("_sum").over(w), F.sum("_cnt").over(w)).alias("_avg"),
+        F.col("_c.home").alias("_home"),
+    ).where("_home")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    joined = rows.join(framed, [*same, F.col("_v").eqNullSafe(F.col("_w"))])
+    return joined.select(*df.columns, (F.col(value) - F.col("_avg")).alias(alias))
