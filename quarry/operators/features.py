@@ -143,21 +143,28 @@ def vocabulary(tf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return ranked.select("term", (F.col("_p") - 1).alias("term_index"), "corpus_count", "doc_freq")
 
 
-def count_vectorizer_model(df: DataFrame, col: str, out: str = "counts", vocab_size: int = 1 << 18, min_df: float = 1.0):
-    """Fitted ``CountVectorizer`` (sparse count vectors for model input)."""
+def count_vectorizer_model(df: DataFrame, col: str, out: str = "counts", vocab_size: int | None = None, min_df: float = 1.0):
+    """Fitted ``CountVectorizer`` (sparse count vectors for model input).
+
+    Without ``vocab_size`` the vocabulary is as large as the number of distinct terms: the
+    ML default keeps 262,144 and drops the rest without a word.  The model holds its
+    vocabulary on the driver; for an unbounded one use ``hashing_tf`` or the long form.
+    """
+    if vocab_size is None:
+        vocab_size = max(1, df.select(F.explode_outer(col).alias("t")).agg(F.count_distinct("t")).first()[0])
     return CountVectorizer(inputCol=col, outputCol=out, vocabSize=vocab_size, minDF=min_df).fit(df)
 
 
-def word2vec_model(df: DataFrame, col: str, size: int = 100, min_count: int = 1, max_iter: int = 1, seed: int = 42, out: str = "w2v"):
+def word2vec_model(df: DataFrame, col: str, size: int = 100, min_count: int = 1, max_iter: int = 1, seed: int = 42, out: str = "w2v", partitions: int = 8):
     """``Word2Vec``; a document vector is the mean of its word vectors.
 
-    Training runs in as many partitions as the session's default parallelism
-    (Spark's default of one partition would put the whole corpus in one task).
+    Training runs in ``partitions`` parts, a parameter of the model: the result depends on
+    it and must not change with the number of cores.  (Spark's default of one would put the
+    whole corpus in one task.)  Its vocabulary lives on the driver; ``min_count`` bounds it.
     """
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     return Word2Vec(
         inputCol=col, outputCol=out, vectorSize=size, minCount=min_count, maxIter=max_iter,
-        seed=seed, numPartitions=parts,
+        seed=seed, numPartitions=partitions,
     ).fit(df)
 
 

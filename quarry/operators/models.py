@@ -20,7 +20,7 @@ from pyspark.ml.clustering import LDA
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.sampling import hash_split_flag
+from quarry.functions.sampling import hash_bucket, hash_split_flag
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -46,40 +46,41 @@ def logistic(max_iter: int = 100, reg: float = 0.0, elastic: float = 0.0, featur
     return LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=elastic, featuresCol=features, labelCol=label)
 
 
-def naive_bayes_exact(
-    tf: DataFrame,
-    labels: DataFrame,
+def naive_bayes_fit_score(
+    train: DataFrame,
+    train_labels: DataFrame,
+    test: DataFrame,
+    test_docs: DataFrame,
     id_col: str,
     label_col: str,
     classes: Sequence,
     smoothing: float = 1.0,
+    value: str = "tf",
 ) -> DataFrame:
-    """Train multinomial naive Bayes on ``tf`` ⋈ ``labels`` and score the labelled
-    documents (M05).  Returns ``(id, label, prediction, score_<c>...)``.
+    """Fit multinomial naive Bayes on ``train`` (id, term, value) with ``train_labels`` and
+    score the documents of ``test_docs`` by their rows in ``test`` (M05).
 
     ``pi_c = ln(n_c + λ) - ln(n + Kλ)``; ``theta_cj = ln(N_cj + λ) - ln(N_c + λV)``
-    with ``V`` the number of distinct training terms.  A term absent from a class
-    contributes ``ln(λ) - ln(N_c + λV)``, so the per-class term table is pivoted
-    once and joined on the term.
+    with ``V`` the number of distinct training terms; values may be counts or weights.
+    Terms that no training document has are left out of a score.  A term absent from a
+    class contributes ``ln(λ) - ln(N_c + λV)``, so the per-class term table is pivoted once
+    and joined on the term.  Returns the columns of ``test_docs``, ``score_<i>`` and
+    ``prediction``; a document without known terms is scored by the class sizes alone.
     """
-    lam = float(smoothing)
-    k = len(classes)
-    lt = tf.join(labels.select(id_col, label_col), id_col)
-    v = lt.select(F.count_distinct("term")).scalar()
-    n = labels.select(F.count(F.lit(1))).scalar()
-    per_term = lt.groupBy("term").pivot(label_col, list(classes)).agg(F.sum("tf"))
-    sums = [
-        F.sum(F.col("tf") * F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + F.lit(lam))).alias(f"_s{i}")
-        for i, c in enumerate(classes)
-    ]
-    doc = lt.select(id_col, "term", "tf").join(per_term, "term").groupBy(id_col).agg(
-        *sums, F.sum("tf").alias("_tot")
+    lam, k = float(smoothing), len(classes)
+    lt = train.join(train_labels.select(id_col, label_col), id_col)
+    per_term = lt.groupBy("term").pivot(label_col, list(classes)).agg(F.sum(value))
+    logs = [F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + F.lit(lam)).alias(f"_l{i}") for i, c in enumerate(classes)]
+    known = per_term.select("term", *logs)
+    doc = test.join(known, "term").groupBy(id_col).agg(
+        *[F.sum(F.col(value) * F.col(f"_l{i}")).alias(f"_s{i}") for i in range(k)], F.sum(value).alias("_tot")
     )
-    scored = labels.select(id_col, label_col).join(doc, id_col, "left")
-    out = scored
+    v = lt.select(F.count_distinct("term")).scalar()
+    n = train_labels.select(F.count(F.lit(1))).scalar()
+    out = test_docs.join(doc, id_col, "left")
     for i, c in enumerate(classes):
-        n_c = labels.where(F.col(label_col) == F.lit(c)).select(F.count(F.lit(1))).scalar()
-        big_n = lt.where(F.col(label_col) == F.lit(c)).select(F.sum("tf")).scalar()
+        n_c = train_labels.where(F.col(label_col) == F.lit(c)).select(F.count(F.lit(1))).scalar()
+        big_n = lt.where(F.col(label_col) == F.lit(c)).select(F.sum(value)).scalar()
         pi = F.log(n_c + F.lit(lam)) - F.log(n + F.lit(k * lam))
         denom = F.log(F.coalesce(big_n, F.lit(0)) + F.lit(lam) * v)
         score = pi + F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) - F.coalesce(F.col("_tot"), F.lit(0)) * denom
@@ -93,13 +94,56 @@ def naive_bayes_exact(
     return out.withColumn("prediction", best).drop(*[f"_s{i}" for i in range(k)], "_tot")
 
 
+def naive_bayes_exact(
+    tf: DataFrame, labels: DataFrame, id_col: str, label_col: str, classes: Sequence, smoothing: float = 1.0
+) -> DataFrame:
+    """Naive Bayes on counts, fitted on and scoring the labelled documents themselves."""
+    docs = labels.select(id_col, label_col)
+    return naive_bayes_fit_score(tf, docs, tf, docs, id_col, label_col, classes, smoothing)
+
+
 def naive_bayes_ml(smoothing: float = 1.0, features: str = "counts", label: str = "label") -> NaiveBayes:
     return NaiveBayes(smoothing=smoothing, modelType="multinomial", featuresCol=features, labelCol=label)
 
 
-def lda(k: int = 3, max_iter: int = 5, features: str = "counts", seed: int = 1) -> LDA:
-    """Online LDA with symmetric priors."""
-    return LDA(k=k, maxIter=max_iter, optimizer="online", featuresCol=features, seed=seed, checkpointInterval=10)
+def lda(
+    k: int = 3,
+    max_iter: int = 5,
+    features: str = "counts",
+    seed: int = 1,
+    doc_concentration: Sequence[float] | None = None,
+    topic_concentration: float | None = None,
+    sampling: float = 1.0,
+) -> LDA:
+    """Online LDA (M08).  ``sampling`` is the share of documents an iteration sees (Spark's
+    default is 5 %, so a few iterations would leave most of the corpus unread); the
+    concentrations are Spark's defaults (``1 / k``) unless given."""
+    est = LDA(
+        k=k, maxIter=max_iter, optimizer="online", featuresCol=features, seed=seed, checkpointInterval=10,
+        subsamplingRate=sampling,
+    )
+    if doc_concentration is not None:
+        est = est.setDocConcentration(list(doc_concentration))
+    if topic_concentration is not None:
+        est = est.setTopicConcentration(topic_concentration)
+    return est
+
+
+def hash_folds(df: DataFrame, key: str, folds: int, seed: int, out: str = "fold") -> DataFrame:
+    """A fold number per row from a hash of its key, for ``CrossValidator(foldCol=...)``:
+    the same folds on every layout of the data (M13)."""
+    return df.withColumn(out, hash_bucket(key, seed, folds).cast("int"))
+
+
+def validated_sweep(train: DataFrame, validation: DataFrame, estimators: Sequence, evaluator, parallelism: int = 4) -> list[float]:
+    """The metric of each estimator, fitted on ``train``, on ``validation``."""
+    return parallel_fits([lambda e=e: float(evaluator.evaluate(e.fit(train).transform(validation))) for e in estimators], parallelism)
+
+
+#: smoothing values of the naive Bayes sweep: 0.01, 0.02, ... 1.00
+SMOOTHING_GRID = tuple(round(0.01 * i, 2) for i in range(1, 101))
+#: iteration counts of the LDA sweep
+ITERATION_GRID = tuple(range(5, 45, 5))
 
 
 def parallel_fits(jobs, parallelism: int = 4) -> list:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import features as fe
 from quarry.operators import text
 from quarry.plans.registry import query
+from quarry.session import ensure_checkpoint_dir
 from quarry.tables import read_table
 
 # Extra (non-English) stop words of the custom list.
@@ -134,7 +135,9 @@ from tf join d using (term), m""",
 )
 def q_tf_idf(spark, sf_dir):
     n_docs = _docs(spark, sf_dir).select(F.count(F.lit(1))).scalar()
-    out = fe.tf_idf(_filtered_tf(spark, sf_dir), "doc_id", n_docs=n_docs)
+    ensure_checkpoint_dir(spark)
+    tf = _filtered_tf(spark, sf_dir).checkpoint()  # texts are tokenised once, for tf and for df
+    out = fe.tf_idf(tf, "doc_id", n_docs=n_docs)
     return out.select("doc_id", "term", "tf", "doc_freq", F.round("tfidf", 6).alias("tfidf"))
 
 

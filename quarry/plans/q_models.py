@@ -5,25 +5,28 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IndexToString, StopWordsRemover, Tokenizer, VectorAssembler, Word2Vec
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import IndexToString, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from quarry.functions.sampling import hash_split_sql
 from quarry.operators import features as fe
 from quarry.operators import models, sgd
 from quarry.plans.q_features import _TF_SQL
 from quarry.plans.registry import query
+from quarry.session import ensure_checkpoint_dir
 from quarry.tables import read_table
 
 # Model parameters as stated for each program.
-SGD_ITERATIONS = 20
+SGD_ITERATIONS = 50
 SGD_STEP = 1.0
 LR_ELASTIC = dict(max_iter=50, reg=0.01, elastic=0.01)
 LIN_ELASTIC = dict(maxIter=10, regParam=0.3, elasticNetParam=0.8)
 MLP_LAYERS = [100, 6, 5, 2]
+MLP_WORD2VEC_PARTITIONS = 8
 
 
 def _embeddings(spark, sf_dir):
@@ -49,16 +52,40 @@ def _lineitem_xy(spark, sf_dir):
     return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(df)
 
 
-@query("logistic_sgd", "M01 R06")
+def _sgd_sql() -> str:
+    """One chained step per iteration: gradient sums over the rows at the weights so far."""
+    steps = [
+        """with e as (select case when event_type = 'purchase' then 1.0 else 0.0 end as y, value / 100 as x1,
+                             cast(json_extract(props, '$.k') as double) / 100 as x2 from events),
+w0 as (select 0.0::double as a, 0.0::double as b)"""
+    ]
+    for t in range(1, SGD_ITERATIONS + 1):
+        steps.append(
+            f"""w{t} as materialized (
+  select any_value(a) - {SGD_STEP} / sqrt({t}) * sum(err * x1) / count(*) as a,
+         any_value(b) - {SGD_STEP} / sqrt({t}) * sum(err * x2) / count(*) as b
+  from (select e.*, a, b, 1 / (1 + exp(-(a * x1 + b * x2))) - y as err from e, w{t - 1}))"""
+        )
+    rows = " union all ".join(
+        f"select {t}::integer as iteration, round(a, 8) as w_x1, round(b, 8) as w_x2 from w{t}" for t in range(1, SGD_ITERATIONS + 1)
+    )
+    return ",\n".join(steps) + "\n" + rows
+
+
+@query("logistic_sgd", "M01 R06", _sgd_sql(), check="T")
 def q_logistic_sgd(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     df = ev.select(
         (F.col("event_type") == "purchase").cast("double").alias("y"),
         (F.col("value") / 100).alias("x1"),
         (F.get_json_object("props", "$.k").cast("double") / 100).alias("x2"),
-    )
-    hist = sgd.sgd_steps(df, ["x1", "x2"], "y", [0.0, 0.0], SGD_ITERATIONS, SGD_STEP, loss="logistic")
-    return spark.createDataFrame([(i + 1, w[0], w[1]) for i, w in enumerate(hist)], "iteration int, w_x1 double, w_x2 double")
+    ).persist()
+    try:
+        hist = sgd.sgd_steps(df, ["x1", "x2"], "y", [0.0, 0.0], SGD_ITERATIONS, SGD_STEP, loss="logistic")
+    finally:
+        df.unpersist()
+    rows = [(i + 1, round(w[0], 8), round(w[1], 8)) for i, w in enumerate(hist)]
+    return spark.createDataFrame(rows, "iteration int, w_x1 double, w_x2 double")
 
 
 @query("logistic_elastic", "M02 M10")
@@ -75,20 +102,18 @@ def q_training_history(spark, sf_dir):
     return models.objective_history(spark, models.logistic(**LR_ELASTIC).fit(train))
 
 
-def _text_stages(out="counts"):
-    return [
-        Tokenizer(inputCol="text", outputCol="tokens"),
-        StopWordsRemover(inputCol="tokens", outputCol="filtered", stopWords=fe.default_stop_words()),
-        fe.CountVectorizer(inputCol="filtered", outputCol=out),
-    ]
+def _tokens(docs):
+    toks = fe.tokenize(docs, "text")
+    return fe.remove_stop_words(toks, "tokens")
 
 
 @query("text_classify_lr", "M03 M09")
 def q_text_classify_lr(spark, sf_dir):
-    docs = _labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double"))
+    docs = _tokens(_labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double")))
     train, test = models.hash_split(docs, "doc_id", 0.7, 777)
-    pipe = Pipeline(stages=[*_text_stages(), models.logistic(features="counts")])
-    return pipe.fit(train).transform(test).select("doc_id", "label", "prediction")
+    counts = fe.count_vectorizer_model(train, "filtered")  # the vocabulary of the training part, whole
+    model = models.logistic(features="counts").fit(counts.transform(train))
+    return model.transform(counts.transform(test)).select("doc_id", "label", "prediction")
 
 
 @query("linear_elastic", "M04 M10")
@@ -128,37 +153,50 @@ def q_linear_ols(spark, sf_dir):
 
 
 def _nb_sql() -> str:
-    return _TF_SQL + """,
-lab as (select l.doc_id, l.quality from labels l join documents d using (doc_id)),
-lt as (select doc_id, term, tf, quality from tf join lab using (doc_id)),
+    return _TF_SQL + f""",
+lab as (select l.doc_id, l.quality, {hash_split_sql('l.doc_id', 777, 0.7)} as train
+        from labels l join documents d using (doc_id)),
+tr as (select doc_id, term, tf, quality from tf join lab using (doc_id) where train),
+m as (select count(*) as m from lab where train),
+idf as (select term, ln((m + 1.0) / (count(*) + 1.0)) as idf from tr, m group by term, m),
+lt as (select doc_id, term, tf * idf as w, quality from tr join idf using (term)),
+te as (select doc_id, term, tf * idf as w from tf join lab using (doc_id) join idf using (term) where not train),
 v as (select count(distinct term) as v from lt),
-nd as (select count(*) as n from lab),
-cls as (select quality, count(*) as n_c from lab group by quality),
-ct as (select quality, sum(tf) as big_n from lt group by quality),
-pt as (select term, sum(tf) filter (where quality = 0) as a0, sum(tf) filter (where quality = 1) as a1
-       from lt group by term),
-ds as (select doc_id, sum(tf * ln(coalesce(a0, 0) + 1.0)) as s0, sum(tf * ln(coalesce(a1, 0) + 1.0)) as s1,
-              sum(tf) as tot from lt join pt using (term) group by doc_id),
+cls as (select quality, count(*) as n_c from lab where train group by quality),
+ct as (select quality, sum(w) as big_n from lt group by quality),
+pt as (select term, coalesce(sum(w) filter (where quality = 0), 0) as a0,
+              coalesce(sum(w) filter (where quality = 1), 0) as a1 from lt group by term),
+ds as (select doc_id, sum(w * ln(a0 + 1.0)) as s0, sum(w * ln(a1 + 1.0)) as s1, sum(w) as tot
+       from te join pt using (term) group by doc_id),
 k as (select
-        (select ln(n_c + 1.0) from cls where quality = 0) - (select ln(n + 2.0) from nd) as pi0,
-        (select ln(n_c + 1.0) from cls where quality = 1) - (select ln(n + 2.0) from nd) as pi1,
+        (select ln(n_c + 1.0) from cls where quality = 0) - (select ln(m + 2.0) from m) as pi0,
+        (select ln(n_c + 1.0) from cls where quality = 1) - (select ln(m + 2.0) from m) as pi1,
         (select ln(coalesce(big_n, 0) + 1.0 * (select v from v)) from ct where quality = 0) as d0,
         (select ln(coalesce(big_n, 0) + 1.0 * (select v from v)) from ct where quality = 1) as d1),
 sc as (select lab.doc_id, lab.quality,
               pi0 + coalesce(s0, 0.0) - coalesce(tot, 0) * d0 as score_0,
               pi1 + coalesce(s1, 0.0) - coalesce(tot, 0) * d1 as score_1
-       from lab left join ds using (doc_id), k)
+       from lab left join ds using (doc_id), k where not train)
 select doc_id, quality, case when score_1 > score_0 then 1 else 0 end as prediction,
        round(score_1 - score_0, 4) as margin from sc"""
 
 
 @query("naive_bayes", "M05", _nb_sql(), check="T")
 def q_naive_bayes(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = read_table(spark, sf_dir, "labels").join(docs.select("doc_id"), "doc_id")
-    toks = fe.remove_stop_words(fe.tokenize(docs, "text"), "tokens")
-    tf = fe.term_frequency(toks, "doc_id", "filtered")
-    out = models.naive_bayes_exact(tf, labels, "doc_id", "quality", [0, 1], smoothing=1.0)
+    """TF-IDF weights and classes from the training split, scores of the other split."""
+    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", "quality")
+    ensure_checkpoint_dir(spark)
+    terms = fe.exploded_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
+    tf = fe.term_counts(terms, "doc_id").checkpoint()  # tokenised once
+    train_docs, test_docs = models.hash_split(docs.select("doc_id", "quality"), "doc_id", 0.7, 777)
+    train = tf.join(train_docs.select("doc_id"), "doc_id", "left_semi")
+    weighted = fe.tf_idf(train, "doc_id", train_docs.select(F.count(F.lit(1))).scalar()).checkpoint()
+    idf = weighted.groupBy("term").agg(F.max("idf").alias("idf"))
+    test = tf.join(test_docs.select("doc_id"), "doc_id", "left_semi").join(idf, "term")
+    test = test.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    out = models.naive_bayes_fit_score(
+        weighted, train_docs, test, test_docs, "doc_id", "quality", [0, 1], smoothing=1.0, value="tfidf"
+    )
     return out.select("doc_id", "quality", "prediction", F.round(F.col("score_1") - F.col("score_0"), 4).alias("margin"))
 
 
@@ -167,12 +205,11 @@ def q_spam_mlp(spark, sf_dir):
     docs = _labelled_docs(spark, sf_dir).withColumn("toxic_s", F.col("toxic").cast("string"))
     train, test = models.hash_split(docs, "doc_id", 0.7, 1234)
     indexer = fe.string_indexer(["toxic_s"], ["label"], handle_invalid="keep").fit(train)
-    parts = max(1, spark.sparkContext.defaultParallelism)
     pipe = Pipeline(stages=[
         indexer,
         Tokenizer(inputCol="text", outputCol="tokens"),
         Word2Vec(inputCol="tokens", outputCol="features", vectorSize=MLP_LAYERS[0], minCount=1, maxIter=1,
-                 seed=1234, numPartitions=parts),
+                 seed=1234, numPartitions=MLP_WORD2VEC_PARTITIONS),
         MultilayerPerceptronClassifier(layers=MLP_LAYERS, blockSize=512, seed=1234, maxIter=128),
         IndexToString(inputCol="prediction", outputCol="predicted_toxic", labels=indexer.labelsArray[0]),
     ])
@@ -192,32 +229,51 @@ def q_kmeans(spark, sf_dir):
     return pred.groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _doc_counts(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = Pipeline(stages=_text_stages()).fit(docs)
-    return model, model.transform(docs)
+def _doc_counts(docs):
+    toks = _tokens(docs)
+    model = fe.count_vectorizer_model(toks, "filtered")
+    return model, model.transform(toks)
 
 
 @query("lda_topics", "M08")
 def q_lda_topics(spark, sf_dir):
-    pipe, counts = _doc_counts(spark, sf_dir)
-    vocab = spark.createDataFrame(list(enumerate(pipe.stages[-1].vocabulary)), "term_index int, term string")
-    topics = models.lda(k=3, max_iter=5).fit(counts).describeTopics(5)
+    """Topic terms; every iteration sees every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    vectoriser, counts = _doc_counts(docs)
+    model = models.lda(k=3, max_iter=5, doc_concentration=[1 / 3] * 3, topic_concentration=1 / 3).fit(counts)
+    topics = model.describeTopics(5)
     long = topics.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw")
     ).select("topic", "rank", F.col("tw.termIndices").alias("term_index"), F.round("tw.termWeights", 6).alias("weight"))
+    used = sorted({r[0] for r in long.select("term_index").collect()})  # k * 5 indexes
+    vocab = spark.createDataFrame([(i, vectoriser.vocabulary[i]) for i in used], "term_index int, term string")
     return long.join(vocab, "term_index").select("topic", "rank", "term", "weight")
 
 
+@query("lda_doc_topics", "M08")
+def q_lda_doc_topics(spark, sf_dir):
+    """The topic distribution of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, counts = _doc_counts(docs)
+    model = models.lda(k=3, max_iter=5, doc_concentration=[1 / 3] * 3, topic_concentration=1 / 3).fit(counts)
+    share = vector_to_array("topicDistribution")
+    return model.transform(counts).select("doc_id", *[F.get(share, i).alias(f"topic_{i}") for i in range(3)])
+
+
 @query("lda_sweep", "M16 V13")
 def q_lda_sweep(spark, sf_dir):
-    _, counts = _doc_counts(spark, sf_dir)
-    counts = counts.select("counts").persist()
+    """Fit quality on held-out documents by number of iterations."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    train, test = models.hash_split(_tokens(docs), "doc_id", 0.7, 777)
+    vectoriser = fe.count_vectorizer_model(train, "filtered")
+    fit_on = vectoriser.transform(train).select("counts").persist()
+    held = vectoriser.transform(test).select("counts").persist()
     rows = []
-    for iters in (5, 10):
-        m = models.lda(k=3, max_iter=iters).fit(counts)
-        rows.append((iters, float(m.logLikelihood(counts)), float(m.logPerplexity(counts))))
-    counts.unpersist()
+    for iters in models.ITERATION_GRID:
+        m = models.lda(k=3, max_iter=iters).fit(fit_on)
+        rows.append((iters, float(m.logLikelihood(held)), float(m.logPerplexity(held))))
+    fit_on.unpersist()
+    held.unpersist()
     return spark.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")
 
 
@@ -225,40 +281,41 @@ def q_lda_sweep(spark, sf_dir):
 def q_cross_validate(spark, sf_dir):
     lr = models.logistic(max_iter=20)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1, 1.0]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
+    folded = models.hash_folds(_embeddings(spark, sf_dir), "vec_id", folds=2, seed=42)
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                        numFolds=2, parallelism=4, seed=42)
-    fitted = cv.fit(_embeddings(spark, sf_dir))
+                        numFolds=2, foldCol="fold", parallelism=4)
+    fitted = cv.fit(folded)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m)) for p, m in zip(grid, fitted.avgMetrics)]
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, avg_auc double")
 
 
 @query("tvs", "M14 V14")
 def q_tvs(spark, sf_dir):
-    lin = LinearRegression(maxIter=10)
-    grid = ParamGridBuilder().addGrid(lin.regParam, [0.01, 0.1, 1.0]).build()
-    tvs = TrainValidationSplit(estimator=lin, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-                               trainRatio=0.8, parallelism=3, seed=42)
-    fitted = tvs.fit(_lineitem_xy(spark, sf_dir))
-    rows = [(float(p[lin.regParam]), float(m)) for p, m in zip(grid, fitted.validationMetrics)]
-    return spark.createDataFrame(rows, "reg_param double, rmse double")
+    train, validation = models.hash_split(_lineitem_xy(spark, sf_dir), "row_key", 0.8, 42)
+    grid = [0.01, 0.1, 1.0]
+    scores = models.validated_sweep(
+        train, validation, [LinearRegression(maxIter=10, regParam=r) for r in grid], RegressionEvaluator(metricName="rmse"), 3
+    )
+    return spark.createDataFrame(list(zip(grid, scores)), "reg_param double, rmse double")
 
 
 @query("nb_smoothing_sweep", "M15 A20 T10")
 def q_nb_smoothing_sweep(spark, sf_dir):
-    docs = _labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double"))
-    feats = Pipeline(stages=_text_stages()).fit(docs).transform(docs).select("doc_id", "label", "counts").persist()
-
-    def trial(smoothing, seed):
-        def run():
-            train, test = models.hash_split(feats, "doc_id", 0.7, seed)
-            pred = models.naive_bayes_ml(smoothing).fit(train).transform(test)
-            acc = pred.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
-            return (smoothing, seed, float(acc) if acc is not None else None)
-        return run
-
-    jobs = [trial(s, seed) for s in (0.01, 0.1, 0.5, 1.0) for seed in (1, 2, 3)]
-    results = models.parallel_fits(jobs, parallelism=4)
-    feats.unpersist()
+    """Mean accuracy of every smoothing value over three splits; vocabularies come from the
+    training parts."""
+    docs = _tokens(_labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double")))
+    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
+    results = []
+    for seed in (1, 2, 3):
+        train, test = models.hash_split(docs, "doc_id", 0.7, seed)
+        vectoriser = fe.count_vectorizer_model(train, "filtered")
+        fit_on = vectoriser.transform(train).select("label", "counts").persist()
+        held = vectoriser.transform(test).select("label", "counts").persist()
+        estimators = [models.naive_bayes_ml(x) for x in models.SMOOTHING_GRID]
+        scores = models.validated_sweep(fit_on, held, estimators, accuracy, parallelism=8)
+        results += [(x, seed, score) for x, score in zip(models.SMOOTHING_GRID, scores)]
+        fit_on.unpersist()
+        held.unpersist()
     trials = spark.createDataFrame(results, "smoothing double, seed int, accuracy double")
     return trials.groupBy("smoothing").agg(F.avg("accuracy").alias("mean_accuracy")).orderBy(F.desc("mean_accuracy"))
 
