@@ -7,15 +7,19 @@ shared folder, then returns the sink read back as a batch DataFrame.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from quarry.functions.sampling import hash_split_sql
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.streaming import online
-from quarry.streaming.sources import file_stream, run_foreach_batch, run_to_sink, stage_batches
+from quarry.streaming.sources import (
+    file_stream,
+    run_data_batches,
+    run_foreach_batch,
+    run_to_sink,
+    stage_batches,
+)
 from quarry.tables import read_table
 
 # Activity codes of the event types, the missing-reading marker rule,
@@ -24,7 +28,6 @@ ACTIVITY_CODES = {"click": "1", "view": "2", "purchase": "4", "signup": "5", "er
 MISSING_K_FROM = 95
 SCORE_WEIGHTS = (0.01, 0.005, -0.02, 0.03)
 TEST_FRACTION, SPLIT_SEED = 0.3, 3
-N_BATCHES = 4
 
 
 def _batch_of(ts):
@@ -44,16 +47,10 @@ def _activity_lines(spark, sf_dir):
     return ev.select(line.alias("value"), _batch_of(F.col("ts")).alias("batch"))
 
 
-def _files_per_trigger(spark, landing, fmt):
-    n_files = len(spark.read.format(fmt).load(landing).inputFiles())
-    return max(1, math.ceil(n_files / N_BATCHES))
-
-
 def _activity_stream(spark, sf_dir, name):
     landing = scratch_path(spark, f"{name}-landing")
     schema = stage_batches(_activity_lines(spark, sf_dir), landing, "batch", fmt="text")
-    per = _files_per_trigger(spark, landing, "text")
-    lines = file_stream(spark, landing, schema, fmt="text", max_files_per_trigger=per)
+    lines = file_stream(spark, landing, schema, fmt="text")
     return online.activity_cleanse(lines, keep=["batch"])
 
 
@@ -160,7 +157,7 @@ def q_stream_enrich(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value", _batch_of(F.col("ts")).alias("batch"))
     landing = scratch_path(spark, "enrich-landing")
     schema = stage_batches(ev, landing, "batch")
-    stream = file_stream(spark, landing, schema, max_files_per_trigger=_files_per_trigger(spark, landing, "parquet"))
+    stream = file_stream(spark, landing, schema)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     enriched = stream.join(cust, stream.user_id == cust.c_custkey).select("event_id", "c_mktsegment", "value")
     sink, ck = scratch_path(spark, "enrich-sink"), scratch_path(spark, "enrich-ck")
@@ -179,13 +176,16 @@ def _weights_table(spark, learner):
 
 @query("stream_logistic", "R06 R08 R09")
 def q_stream_logistic(spark, sf_dir):
-    stream = _activity_stream(spark, sf_dir, "logistic").select(
-        "key", "label", (F.col("x1") / 150).alias("s1"), (F.col("x2") / 500).alias("s2"),
-        (F.col("x3") / 100).alias("s3"), (F.col("x4") / 24).alias("s4"),
-    )
+    def build(lines):
+        return online.activity_cleanse(lines).select(
+            "key", "label", (F.col("x1") / 150).alias("s1"), (F.col("x2") / 500).alias("s2"),
+            (F.col("x3") / 100).alias("s3"), (F.col("x4") / 24).alias("s4"),
+        )
+
     learner = online.OnlineSGD(scratch_path(spark, "logistic-store"), ["s1", "s2", "s3", "s4"], "label", "key",
                                loss="logistic", step=0.5, iterations=15, fraction=0.25, seed=7)
-    run_foreach_batch(stream, learner, scratch_path(spark, "logistic-ck"))
+    landing, ck = scratch_path(spark, "logistic-landing"), scratch_path(spark, "logistic-ck")
+    run_data_batches(_activity_lines(spark, sf_dir), "batch", landing, build, learner, ck, fmt="text")
     return _weights_table(spark, learner)
 
 
@@ -198,10 +198,8 @@ def q_stream_linear(spark, sf_dir):
         (F.col("l_quantity") / 50).alias("q"), (F.col("l_discount") * 10).alias("d"), (F.col("l_tax") * 10).alias("t"),
         F.floor((F.month("l_shipdate") - 1) / 3).cast("int").alias("batch"),
     )
-    landing = scratch_path(spark, "linear-landing")
-    schema = stage_batches(df, landing, "batch")
-    stream = file_stream(spark, landing, schema, max_files_per_trigger=_files_per_trigger(spark, landing, "parquet"))
     learner = online.OnlineSGD(scratch_path(spark, "linear-store"), ["q", "d", "t"], "label", "key",
                                loss="linear", step=0.1, iterations=25, fraction=0.25, seed=11)
-    run_foreach_batch(stream, learner, scratch_path(spark, "linear-ck"))
+    landing, ck = scratch_path(spark, "linear-landing"), scratch_path(spark, "linear-ck")
+    run_data_batches(df, "batch", landing, lambda s: s, learner, ck)
     return _weights_table(spark, learner)

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.sampling import hash_split_flag
-from quarry.operators import relational as rel
 from quarry.operators import sgd
 
 # Activity codes kept and their 0/1 labels.
@@ -45,10 +44,9 @@ def activity_cleanse(lines: DataFrame, col: str = "value", keep: Sequence[str] =
 
 
 def split_test_train(batch: DataFrame, key: str, seed: int, test_fraction: float) -> DataFrame:
-    """Per-batch split (R04/R05): test = hash sample, train = batch minus test."""
-    test = batch.where(hash_split_flag(key, seed, test_fraction))
-    train = rel.subtract_rows(batch, test)
-    return test.withColumn("part", F.lit("test")).unionByName(train.withColumn("part", F.lit("train")))
+    """Per-batch split (R04/R05) in one pass: test = hash sample, train = the rest."""
+    flag = hash_split_flag(key, seed, test_fraction)  # never null: the rest is its complement
+    return batch.withColumn("part", F.when(flag, F.lit("test")).otherwise(F.lit("train")))
 
 
 class OnlineSGD:
@@ -79,13 +77,20 @@ class OnlineSGD:
     def metrics_path(self) -> str:
         return f"{self.store}/metrics"
 
+    @property
+    def predictions_path(self) -> str:
+        return f"{self.store}/predictions"
+
     def _previous(self, spark, batch_id: int) -> list[float]:
-        try:
-            w = spark.read.parquet(self.weights_path)
-        except Exception:  # no weights yet: the first batch starts from zeros
+        """Weights before ``batch_id``; only a stream's first batch starts from zeros, so a
+        later batch that cannot read them fails instead of starting the model anew."""
+        if batch_id == 0:
             return [0.0] * len(self.features)
-        row = w.where(F.col("batch_id") < batch_id).orderBy(F.desc("batch_id")).limit(1).collect()
-        return list(row[0]["weights"]) if row else [0.0] * len(self.features)
+        w = spark.read.parquet(self.weights_path).where(F.col("batch_id") < batch_id)
+        row = w.orderBy(F.desc("batch_id")).limit(1).collect()
+        if not row:
+            raise RuntimeError(f"no weights before batch {batch_id} in {self.weights_path}")
+        return list(row[0]["weights"])
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -94,6 +99,8 @@ class OnlineSGD:
             w = self._previous(spark, batch_id)
             pred = sgd.predict(self.features, w, self.loss)
             err = pred - F.col(self.label)
+            scored = data.select(self.key, self.label, pred.alias("prediction"))
+            scored.write.mode("overwrite").parquet(f"{self.predictions_path}/batch_id={batch_id}")
             # the batch id is the partition folder, not a data column
             metrics = data.agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"))
             metrics.write.mode("overwrite").parquet(f"{self.metrics_path}/batch_id={batch_id}")

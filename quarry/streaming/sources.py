@@ -4,9 +4,9 @@ A socket or an in-memory queue (the reference's sources) needs a server or drive
 state; here a stream is a landing folder read with the file source, which is
 replayable from its checkpoint.  ``stage_batches`` fills a landing folder from a
 DataFrame in one partitioned write (a test / demo fixture: in production an
-upstream writer fills the folder).  Runners use ``trigger(availableNow=True)`` and a
-bounded ``awaitTermination``; ``processing_time`` gives the reference's fixed
-batch interval instead.
+upstream writer fills the folder).  Runners use ``trigger(availableNow=True)`` and wait
+until the stream has read what there is; ``processing_time`` starts a stream with a fixed
+batch interval and returns it running.  There is no time limit unless the caller sets one.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -30,15 +31,38 @@ def stage_batches(df: DataFrame, landing: str, batch_col: str, fmt: str = "parqu
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", max_files_per_trigger: int = 1
+    spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet", max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A streaming DataFrame over a landing folder (replaces socket / queue streams)."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("maxFilesPerTrigger", str(max_files_per_trigger))
-        .load(path)
-    )
+    """A streaming DataFrame over a landing folder (replaces socket / queue streams).
+
+    Without ``max_files_per_trigger`` a micro-batch is whatever has landed since the last.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
+def run_data_batches(
+    df: DataFrame,
+    batch_col: str,
+    landing: str,
+    build: Callable[[DataFrame], DataFrame],
+    fn: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    fmt: str = "parquet",
+) -> None:
+    """One micro-batch per data batch, whatever the number of files.
+
+    The rows of each value of ``batch_col`` land in ascending order, and after each landing
+    the stream (``build`` over the folder) runs once from the same checkpoint.
+    """
+    spark = df.sparkSession
+    for (value,) in df.select(batch_col).distinct().orderBy(batch_col).collect():  # one row a batch
+        part = df.where(F.col(batch_col).eqNullSafe(F.lit(value)))
+        writer = part.write.mode("append").partitionBy(batch_col)
+        writer.text(landing) if fmt == "text" else writer.format(fmt).save(landing)
+        run_foreach_batch(build(file_stream(spark, landing, df.schema, fmt)), fn, checkpoint)
 
 
 def _trigger(writer, processing_time: str | None):
@@ -50,7 +74,7 @@ def run_to_sink(
     sink: str,
     checkpoint: str,
     fmt: str = "parquet",
-    timeout: float = 600,
+    timeout: float | None = None,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Append a stream to a file sink (exactly once via the sink's log + checkpoint)."""
@@ -64,7 +88,7 @@ def run_foreach_batch(
     stream: DataFrame,
     fn: Callable[[DataFrame, int], None],
     checkpoint: str,
-    timeout: float = 600,
+    timeout: float | None = None,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Run ``fn(batch_df, batch_id)`` per micro-batch; ``fn`` must be idempotent per
@@ -75,8 +99,10 @@ def run_foreach_batch(
     return q
 
 
-def _await(q: StreamingQuery, timeout: float, processing_time: str | None) -> None:
-    finished = q.awaitTermination(timeout)
+def _await(q: StreamingQuery, timeout: float | None, processing_time: str | None) -> None:
+    if processing_time and timeout is None:
+        return
+    finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination() or True
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     if not finished and processing_time is None:
