@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import jvm_split
-from quarry.plans.strategies import global_position
+from quarry.plans.strategies import broadcast_if_small, global_position
 
 
 def default_stop_words() -> list[str]:
@@ -89,13 +89,14 @@ def exploded_terms(
 
     ``explode_outer`` + a null filter instead of ``explode``: ``explode`` makes
     Catalyst infer a ``size(tokens) > 0`` filter that evaluates the tokenizer a
-    second time.  The stop-word table is a fixed list (bounded, so broadcast).
+    second time.  The stop words come from the caller as a list, so their number is known
+    and bounds the broadcast.
     """
     terms = df.select(id_col, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
     if stop_words:
         spark = df.sparkSession
         stop = spark.createDataFrame([(w,) for w in dict.fromkeys(stop_words)], "term string")
-        terms = terms.join(F.broadcast(stop), "term", "left_anti")
+        terms = terms.join(broadcast_if_small(stop, known_max_rows=len(stop_words)), "term", "left_anti")
     return terms
 
 

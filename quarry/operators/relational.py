@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
@@ -154,9 +155,18 @@ def drop_duplicates_by(df: DataFrame, keys: Sequence[str], order: Sequence[str])
 
     A grouped ``min`` of a struct is a partial aggregate: a key with a third of all
     rows still reaches the shuffle as one row per map task.
+
+    String keys may be long texts: rows are then grouped by a 256-bit digest of the keys, so
+    the aggregate, which sorts its input, compares 32 bytes and not whole texts.
     """
     rest = [c for c in df.columns if c not in keys]
     ordered = [*order, *[c for c in rest if c not in order]]
+    if all(isinstance(df.schema[k].dataType, StringType) for k in keys):
+        parts = [F.coalesce(F.sha2(k, 256), F.lit("null")) for k in keys]
+        digest = F.unhex(F.sha2(F.concat(*parts), 256)).alias("_k")
+        best = F.min(F.struct(*[F.col(c) for c in [*ordered, *keys]])).alias("_best")
+        picked = df.groupBy(digest).agg(best)
+        return picked.select(*[F.col(f"_best.{c}").alias(c) for c in [*keys, *rest]])
     best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 

@@ -1,10 +1,11 @@
 """Physical-shape helpers shared by operators: bounded broadcast, global positions,
 prefix sums.  All of them are plain DataFrame compositions.
 
-* ``broadcast_if_small`` broadcasts a side only when its row count is proven to be
-  at most ``max_rows`` (either known by construction, e.g. the output of a
-  ``limit(n)``, or checked with a ``limit(max_rows + 1).count()`` probe).  Above the
-  bound the ordinary shuffle join is kept and AQE may still convert it at runtime.
+* ``broadcast_if_small`` broadcasts a side only when its size is proven: at most
+  ``max_rows`` rows and ``max_bytes`` bytes, checked with a probe that reads no more than
+  ``max_rows + 1`` rows (the probe runs while the plan is built), or a number of rows known
+  by construction, e.g. the output of a ``limit(n)``.  Above the bound the ordinary
+  shuffle join is kept and AQE may still convert it at runtime.
 * ``global_position`` / ``prefix_sums`` number rows (or accumulate values) along a
   total order without an unpartitioned window: the data is range-partitioned into
   ``n`` slices, each slice is numbered locally, and an ``n``-row offset table (the
@@ -27,16 +28,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def broadcast_if_small(
-    df: DataFrame, known_max_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    df: DataFrame,
+    known_max_rows: int | None = None,
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
+    """``F.broadcast(df)`` within ``max_rows`` rows and ``max_bytes`` bytes, else ``df``."""
     if known_max_rows is not None and known_max_rows <= max_rows:
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return F.broadcast(df) if row["n"] <= max_rows and (row["b"] or 0) <= max_bytes else df
 
 
 def _num_slices(df: DataFrame, num_partitions: int | None) -> int:

@@ -70,8 +70,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
+def _scratch_root(spark: SparkSession) -> str:
     # checkpoint dirs handed out by SparkContext get a uuid subfolder; keep ours beside it
-    return f"{root}/quarry-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/quarry-scratch/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder under the application's own scratch folder, which lies in the
+    shared checkpoint folder.  Results may still read it: the application that made it
+    clears it with ``clear_scratch`` once they are written."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has left under ``scratch_path``; other applications'
+    folders stay."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
