@@ -254,7 +254,22 @@ def q_standardize(spark, sf_dir):
     return z.select("l_orderkey", "l_linenumber", *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in _Z_COLS])
 
 
-@query("ctr_features", "E15 M09")
+def _ctr_sql() -> str:
+    cats = ["l_returnflag", "l_linestatus", "p_brand", "p_type"]
+    # one-hot drops the last category: the rarest, of equally rare ones the last by name
+    last = ", ".join(
+        f"(select {c} from (select {c}, count(*) as n from df group by {c} order by n, {c} desc limit 1)) as last_{c}" for c in cats
+    )
+    size = " + ".join(f"(select count(distinct {c}) - 1 from df)" for c in cats)
+    ones = " + ".join(f"({c} <> last_{c})::integer" for c in cats)
+    return f"""
+with df as (select l.*, p_brand, p_type from lineitem l join part on l_partkey = p_partkey),
+k as (select ({size} + 2)::integer as vec_size, {last})
+select l_orderkey, l_linenumber, vec_size, ({ones} + (l_quantity <> 0)::integer + (l_discount <> 0)::integer)::integer as nnz
+from df, k"""
+
+
+@query("ctr_features", "E15 M09", _ctr_sql())
 def q_ctr_features(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
