@@ -176,22 +176,24 @@ def _probe_places(k: int) -> Column:
 
 
 def _probe(rows: DataFrame, k: int, near_chars: int) -> DataFrame:
-    """(key, id2, sig2, gap): one row for each place, so that the expression stays short."""
+    """(key, id2, sig2): one row for each place, so that the expression stays short; the top
+    bit of ``sig2`` marks a probe for lines of its own length."""
     places = rows.select("line", "id", "sig", "n", F.explode(_probe_places(k)).alias("at"))
     shorter = places.select("line", "id", "sig", (F.col("n") - F.col("at.gap")).alias("n"), "at").where(F.col("n") >= near_chars)
     start, size = _segment(F.col("n"), F.col("at.i"), k)
     part = F.substring("line", start + F.col("at.shift"), size)
+    own_length = F.when(F.col("at.gap") == 0, F.shiftleft(F.lit(1).cast("long"), 62)).otherwise(F.lit(0).cast("long"))
     return shorter.select(
-        _key(F.col("at.i"), F.col("n"), part).alias("key"), F.col("id").alias("id2"), F.col("sig").alias("sig2"), "at.gap"
+        _key(F.col("at.i"), F.col("n"), part).alias("key"), F.col("id").alias("id2"), F.col("sig").bitwiseOR(own_length).alias("sig2")
     )
 
 
 def _signature(line: Column) -> Column:
-    """Counts of the letters modulo 256, a byte each."""
+    """Counts of the letters modulo 128, seven bits each."""
     out = F.lit(0).cast("long")
     for i, c in enumerate(SIGNATURE_LETTERS):
         times = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))).cast("long")
-        out = out.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(255)), 8 * i))
+        out = out.bitwiseOR(F.shiftleft(times.bitwiseAND(F.lit(127)), 7 * i))
     return out
 
 
@@ -199,9 +201,9 @@ def _counts_apart(a: Column, b: Column) -> Column:
     """At most the sum of the differences of the letters' counts."""
     out = F.lit(0)
     for i in range(len(SIGNATURE_LETTERS)):
-        x, y = (F.shiftrightunsigned(v, 8 * i).bitwiseAND(F.lit(255)) for v in (a, b))
+        x, y = (F.shiftrightunsigned(v, 7 * i).bitwiseAND(F.lit(127)) for v in (a, b))
         apart = F.abs(x - y)
-        out = out + F.least(apart, F.lit(256) - apart)
+        out = out + F.least(apart, F.lit(128) - apart)
     return out
 
 
@@ -224,7 +226,7 @@ def near_links(lines: DataFrame, threshold: int = THRESHOLD, near_chars: int = N
     rows = own.select("line", "sig", n.alias("n"), F.xxhash64("line").alias("id"))
     index = rows.select(F.explode(_index_rows(threshold)).alias("key"), "id", "sig")
     probe = _probe(rows, threshold, near_chars)
-    once = (F.col("gap") > 0) | (F.col("id") < F.col("id2"))  # of lines of one length either may be the probe
+    once = (F.shiftright("sig2", 62) == 0) | (F.col("id") < F.col("id2"))  # of lines of one length either may be the probe
     close = _counts_apart(F.col("sig"), F.col("sig2")) <= 2 * threshold
     met = index.join(probe, (index.key == probe.key) & once & (F.col("id") != F.col("id2")) & close)
     pairs = met.select("id", "id2").distinct().checkpoint()
