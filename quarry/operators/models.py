@@ -142,8 +142,24 @@ def validated_sweep(train: DataFrame, validation: DataFrame, estimators: Sequenc
 
 #: smoothing values of the naive Bayes sweep: 0.01, 0.02, ... 1.00
 SMOOTHING_GRID = tuple(round(0.01 * i, 2) for i in range(1, 101))
-#: iteration counts of the LDA sweep
-ITERATION_GRID = tuple(range(5, 45, 5))
+#: iteration counts of the LDA sweep (fixed values)
+ITERATION_GRID = (5, 10, 20, 40, 60, 120, 200, 500)
+
+
+def lda_sweep(
+    train: DataFrame,
+    held: DataFrame,
+    iterations: Sequence[int] = ITERATION_GRID,
+    k: int = 3,
+    doc_concentration: Sequence[float] | None = None,
+    topic_concentration: float | None = None,
+) -> list[tuple[int, float, float]]:
+    """(iterations, log likelihood, log perplexity) on held-out count vectors."""
+    out = []
+    for n in iterations:
+        model = lda(k, n, doc_concentration=doc_concentration, topic_concentration=topic_concentration).fit(train)
+        out.append((n, float(model.logLikelihood(held)), float(model.logPerplexity(held))))
+    return out
 
 
 def parallel_fits(jobs, parallelism: int = 4) -> list:

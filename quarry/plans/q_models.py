@@ -27,6 +27,9 @@ LR_ELASTIC = dict(max_iter=50, reg=0.01, elastic=0.01)
 LIN_ELASTIC = dict(maxIter=10, regParam=0.3, elasticNetParam=0.8)
 MLP_LAYERS = [100, 6, 5, 2]
 MLP_WORD2VEC_PARTITIONS = 8
+LDA_CONCENTRATION = 3.0
+# the query runs the first values of the iteration grid (all of it: 955 iterations)
+SWEEP_VALUES = 3
 
 
 def _embeddings(spark, sf_dir):
@@ -240,7 +243,7 @@ def q_lda_topics(spark, sf_dir):
     """Topic terms; every iteration sees every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     vectoriser, counts = _doc_counts(docs)
-    model = models.lda(k=3, max_iter=5, doc_concentration=[1 / 3] * 3, topic_concentration=1 / 3).fit(counts)
+    model = models.lda(k=3, max_iter=5, doc_concentration=[LDA_CONCENTRATION] * 3, topic_concentration=LDA_CONCENTRATION).fit(counts)
     topics = model.describeTopics(5)
     long = topics.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "tw")
@@ -255,7 +258,7 @@ def q_lda_doc_topics(spark, sf_dir):
     """The topic distribution of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     _, counts = _doc_counts(docs)
-    model = models.lda(k=3, max_iter=5, doc_concentration=[1 / 3] * 3, topic_concentration=1 / 3).fit(counts)
+    model = models.lda(k=3, max_iter=5, doc_concentration=[LDA_CONCENTRATION] * 3, topic_concentration=LDA_CONCENTRATION).fit(counts)
     share = vector_to_array("topicDistribution")
     return model.transform(counts).select("doc_id", *[F.get(share, i).alias(f"topic_{i}") for i in range(3)])
 
@@ -268,10 +271,9 @@ def q_lda_sweep(spark, sf_dir):
     vectoriser = fe.count_vectorizer_model(train, "filtered")
     fit_on = vectoriser.transform(train).select("counts").persist()
     held = vectoriser.transform(test).select("counts").persist()
-    rows = []
-    for iters in models.ITERATION_GRID:
-        m = models.lda(k=3, max_iter=iters).fit(fit_on)
-        rows.append((iters, float(m.logLikelihood(held)), float(m.logPerplexity(held))))
+    rows = models.lda_sweep(
+        fit_on, held, models.ITERATION_GRID[:SWEEP_VALUES], doc_concentration=[LDA_CONCENTRATION] * 3, topic_concentration=LDA_CONCENTRATION
+    )
     fit_on.unpersist()
     held.unpersist()
     return spark.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")
