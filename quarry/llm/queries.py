@@ -197,9 +197,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         toxic = labels.where("toxic = 1").select("doc_id")
         token_counts.commit(spark, store, 2, token_counts.deletes(spark, store, toxic, before=2))
-    low = docs.join(labels.where("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
-    cleaned = low.withColumn("text", F.regexp_replace("text", r"[#$%&*|!]+", ""))
-    recounted = token_counts.count(cleaned, specs)
+    # texts stay where they are: what the cleaning changes is counted, then the counts are joined
+    clean = F.regexp_replace("text", r"[#$%&*|!]+", "")
+    changed = docs.where(clean != F.col("text")).withColumn("text", clean)
+    low = labels.where("quality = 0").select("doc_id").distinct()
+    recounted = token_counts.count(changed, specs).join(low, "doc_id", "left_semi")
     token_counts.commit(spark, store, 3, token_counts.revisions(spark, store, recounted, before=3))
     return token_counts.totals(spark, store)
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import TextEncoder, batch_texts
+from quarry.llm.bpe import MEMO_WORDS, TextEncoder, batch_texts, parts, texts_to_python
 
 GROUP = ["source", "lang", "tokenizer"]
 LEDGER = "doc_id long, sign int, source string, lang string, tokenizer string, n_tokens long, batch long"
@@ -34,14 +34,14 @@ TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens lo
 
 def count(docs: DataFrame, specs: Mapping[str, str]) -> DataFrame:
     """``(doc_id, source, lang, tokenizer, n_tokens)``: a row per document and version."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text")
+    own = texts_to_python(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text")
     names = ["doc_id", "source", "lang", "tokenizer", "n_tokens"]
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             texts = batch_texts(b)
             for name, spec in specs.items():
-                n = [len(x) // 4 for x in TextEncoder.of(spec).encode(texts)]
+                n = [len(x) // 4 for x in TextEncoder.of(spec, MEMO_WORDS).encode(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in names[:3]), pa.array([name] * len(n), pa.string()), pa.array(n, pa.int64())], names
                 )
