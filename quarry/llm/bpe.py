@@ -25,9 +25,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BLANK = re.compile(r"[ \t\n\r]+")
 
 BLOCK_BYTES = 48 << 20  # texts of one block, before compression
+MEMO_WORDS = 400_000  # words a task remembers: about 90 MB
 WORD_BUCKETS = 256
 
 
@@ -88,7 +90,8 @@ def cut_words(text: str) -> list[str]:
 
 
 class WordMemo(dict):
-    """word -> its ids as little-endian uint32 bytes; emptied when it holds ``most`` words.
+    """word -> its ids as little-endian uint32 bytes, for about ``most`` words; when it is full
+    the half that was learnt last, which are the rare words, is forgotten.
 
     New words are encoded many at a time: joined into one text whose cuts are known, with the
     pieces that end (or start) a word telling them apart.  Words without that property, and
@@ -97,7 +100,7 @@ class WordMemo(dict):
 
     JOINED = 2_000
 
-    def __init__(self, tokenizer, kind: str = "other", most: int = 1_000_000):
+    def __init__(self, tokenizer, kind: str = "other", most: int = MEMO_WORDS):
         super().__init__()
         self.tokenizer, self.kind, self.most = tokenizer, kind, most
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
@@ -107,10 +110,11 @@ class WordMemo(dict):
         self.joins = {"word": re.compile(f"[{LETTERS}]+"), "byte": re.compile(f" [{BYTE_LETTERS}]+")}.get(kind)
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
+        new = words.difference(self)
         if len(self) + len(new) > self.most:
-            self.clear()
-            new = list(words)
+            while len(self) > self.most // 2:
+                self.popitem()  # the last learnt: common words were learnt first
+            new = words.difference(self)
         alone = [w for w in new if not self.joins or not self.joins.fullmatch(w)]
         if self.joins and len(alone) < len(new):
             left = set(alone)
@@ -155,11 +159,12 @@ class TextEncoder:
         self.memo = WordMemo(self.tokenizer, self.kind)
 
     @classmethod
-    def of(cls, spec: str) -> TextEncoder:
+    def of(cls, spec: str, most: int = MEMO_WORDS) -> TextEncoder:
         """One encoder per Python worker, kept between tasks."""
         key = zlib.crc32(spec.encode())
         if key not in _ENCODERS:
             _ENCODERS[key] = cls(spec)
+        _ENCODERS[key].memo.most = most
         return _ENCODERS[key]
 
     def words(self, text: str) -> list[str] | None:
@@ -172,7 +177,7 @@ class TextEncoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian uint32 bytes (null: none)."""
-        step = 1 << 20  # characters whose words are learnt together
+        step = 1 << 21  # characters whose words are learnt together
         at = 0
         while at < len(texts):
             end, size = at, 0
@@ -180,7 +185,7 @@ class TextEncoder:
                 size += len(texts[end] or "")
                 end += 1
             cut = [self.words(t) if t else [] for t in texts[at:end]]
-            self.memo.learn(set(chain.from_iterable(c for c in cut if c)))
+            self.memo.learn(set().union(*(c for c in cut if c)))
             get = self.memo.__getitem__
             for text, c in zip(texts[at:end], cut, strict=True):
                 if c is None:
@@ -190,6 +195,29 @@ class TextEncoder:
             at = end
 
 
+PART_ROWS = 500
+BATCH_ROWS = "1000"
+
+
+def texts_to_python(df: DataFrame) -> DataFrame:
+    """``df`` as it is; its session sends whole texts to Python ``BATCH_ROWS`` rows at a time.
+
+    The setting is the session's: texts are wide rows, and the default of 10,000 rows a batch
+    is held several times over by the JVM and by each Python worker.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = PART_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices, so that a task turns few texts at a time into Python strings;
+    at the end what Arrow has kept aside goes back."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def batch_texts(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return batch.column(name).to_pylist()
 
@@ -206,7 +234,7 @@ def _by_bucket(words: set[str], buckets: int) -> dict[int, list[str]]:
 
 def _blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int) -> DataFrame:
     """(block, doc_id, z): compressed texts, dealt by a hash of the row into blocks."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")
@@ -214,16 +242,17 @@ def _blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int) -> DataFr
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
+        for b in parts(batches):
             z = [squeeze(t.encode()) for t in batch_texts(b)]
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("doc_id"), pa.array(z, pa.binary())], ["block", "doc_id", "z"])
 
     return own.withColumn("block", block).mapInArrow(pack, f"block int, doc_id {kept_type}, z binary").repartition(n, "block")
 
 
-def _unpack(table: pa.Table) -> list[str]:
+def _unpack(table: pa.Table) -> Iterator[str]:
     open_ = zstandard.ZstdDecompressor().decompress
-    return [open_(z).decode() for z in table.column("z").to_pylist()]
+    for z in table.column("z"):
+        yield open_(z.as_py()).decode()
 
 
 def encode(
@@ -260,39 +289,56 @@ def encode(
         )
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = TextEncoder(spec).memo  # this bucket's part of the word table
+        """Encode a bucket's words: rows come bucket by bucket, and its part of the word table
+        is held while its rows last, so every distinct word is encoded once."""
+        memo, last = TextEncoder(spec).memo, None
+        memo.most = sys.maxsize
         for b in batches:
             ids, sizes = [], []
-            for line in b.column("words").to_pylist():
-                words = line.split(" ")
-                memo.learn(set(words))
-                got = [memo[w] for w in words]
-                ids.append(b"".join(got))
-                sizes.append(np.fromiter((len(g) // 4 for g in got), "<u4", len(got)).tobytes())
+            asked = [(k, line.split(" ")) for k, line in zip(*(b.column(c).to_pylist() for c in ("bucket", "words")), strict=True)]
+            for bucket, rows in groupby(asked, key=lambda r: r[0]):
+                if bucket != last:
+                    memo.clear()
+                    last = bucket
+                lists = [words for _, words in rows]
+                memo.learn(set().union(*lists))
+                for words in lists:
+                    got = [memo[w] for w in words]
+                    ids.append(b"".join(got))
+                    sizes.append(np.fromiter((len(g) // 4 for g in got), "<u4", len(got)).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("block"), b.column("bucket"), pa.array(ids, pa.binary()), pa.array(sizes, pa.binary())],
                 ["block", "bucket", "ids", "sizes"],
             )
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Join the ids of the block's words back to the positions of its documents."""
-        cut = [cut_words(t) for t in _unpack(left)]
-        words = set(chain.from_iterable(cut))
-        words.discard("")
-        by, of = _by_bucket(words, word_buckets), {"": b""}
+        """Join the ids of the block's words back to the positions of its documents.
+
+        A document is held as the numbers of its words, four bytes each.
+        """
+        number: dict[str, int] = {}
+        documents = []
+        for t in _unpack(left):
+            words = cut_words(t)
+            for w in set(words).difference(number):
+                number[w] = len(number)
+            documents.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
+        by, of = _by_bucket(number.keys() - {""}, word_buckets), {"": b""}
         for bucket, ids, sizes in zip(*(right.column(c).to_pylist() for c in ("bucket", "ids", "sizes")), strict=True):
             ends = (np.frombuffer(sizes, "<u4").astype(np.int64).cumsum() * 4).tolist()
             at = 0
             for w, end in zip(by[bucket], ends, strict=True):
                 of[w] = ids[at:end]
                 at = end
-        out = pa.array([b"".join(map(of.__getitem__, c)) for c in cut], pa.binary())
+        found = [of[w] for w in number]  # by number
+        out = pa.array([b"".join(map(found.__getitem__, d.tolist())) for d in documents], pa.binary())
         return pa.table([left.column("doc_id"), out], ["doc_id", "ids"])
 
     table = (
         blocks.groupBy("block")
         .applyInArrow(wanted, "bucket int, block int, words string")
         .repartition("bucket")
+        .sortWithinPartitions("bucket")
         .mapInArrow(learn, "block int, bucket int, ids binary, sizes binary")
     )
     kept_type = docs.schema[doc_id].dataType.simpleString()

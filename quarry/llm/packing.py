@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import TextEncoder, batch_texts
+from quarry.llm.bpe import TextEncoder, batch_texts, parts, texts_to_python
 
 MAX_TOKENS = 2048
 #: pieces are handed over after so many bytes of ids, however long a document is
@@ -61,7 +61,7 @@ def pack(
             kinds = [kept_arrow, pa.int64(), pa.int64(), pa.binary(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-        for b in batches:
+        for b in parts(batches):
             kept_arrow = b.schema.field("doc_id").type
             rows, size = [], 0
             for key, got in zip(b.column("doc_id").to_pylist(), encoder.encode(batch_texts(b)), strict=True):
@@ -77,7 +77,7 @@ def pack(
             if rows:
                 yield batch(rows)
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     pieces = own.mapInArrow(cut, f"doc_id {kept_type}, start long, length long, ids binary, doc_tokens long")
     bucket = (F.length(F.bin("length")) - 1).cast("long")
     return pieces.withColumn("bucket", bucket).select(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import batch_texts
+from quarry.llm.bpe import batch_texts, parts, texts_to_python
 
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -122,11 +122,11 @@ def with_statistics(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     kept_type = docs.schema[doc_id].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             x = [statistics(t) for t in batch_texts(b)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return own.mapInArrow(measure, f"doc_id {kept_type}, x array<double>")
 
 
@@ -164,12 +164,12 @@ def fit(
 def _scored(docs: DataFrame, model: Model, text: str) -> DataFrame:
     """The columns of ``docs`` as c0, c1, ... (they may have any names), and the score ``s``."""
     inner = [f"c{i}" for i in range(len(docs.columns))]
-    own = docs.toDF(*inner)
+    own = texts_to_python(docs).toDF(*inner)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields)
     text_at = inner[docs.columns.index(text)]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             x = np.array([statistics(t) for t in batch_texts(b, text_at)], np.float64).reshape(-1, WIDTH)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x))], [*b.schema.names, "s"])
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import batch_texts
+from quarry.llm.bpe import batch_texts, parts, texts_to_python
 from quarry.llm.graph import connected_components
 from quarry.session import scratch_path
 
@@ -68,11 +68,11 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     kept_type = docs.schema[doc_id].dataType.simpleString()
 
     def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             fp = np.array([fingerprint(t, shingle) for t in batch_texts(b)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return own.mapInArrow(hash_texts, f"doc_id {kept_type}, fp long")
 
 
@@ -253,12 +253,12 @@ def near_dedup(
     """The rows of ``docs``, all columns, that come first (smallest id) in their component."""
     spark, columns = docs.sparkSession, docs.columns
     inner = [f"c{i}" for i in range(len(columns))]  # columns may have any names
-    own = docs.toDF(*inner)
+    own = texts_to_python(docs).toDF(*inner)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema.fields)
     id_at, text_at = inner[columns.index(doc_id)], inner[columns.index(text)]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             fp = np.array([fingerprint(t, shingle) for t in batch_texts(b, text_at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp, pa.int64())], [*b.schema.names, "fp"])
 

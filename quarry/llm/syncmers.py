@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import batch_texts
+from quarry.llm.bpe import batch_texts, parts, texts_to_python
 
 K, S = 16, 5
 SKETCH = 128
@@ -118,7 +118,7 @@ def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
                 ids = pa.chunked_array([b.column("doc_id").slice(i, 1)]).combine_chunks().take(pa.array(np.zeros(len(at), np.int64)))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(at, pa.int64()), pa.array(h.astype(np.int64))], ["doc_id", "position", "hash"])
 
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return own.mapInArrow(choose, f"doc_id {kept_type}, position long, hash long")
 
 
@@ -135,7 +135,7 @@ def _bounds(docs: DataFrame, ranges: int | None) -> list[int]:
 
 def with_neighbour(docs: DataFrame, use, schema: str, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
     """``use(pairs)`` over a stream of ((id, text), (id, text) of the next document)."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bounds = _bounds(own, ranges)
     edges = np.array(bounds, np.int64)
 
@@ -155,7 +155,7 @@ def with_neighbour(docs: DataFrame, use, schema: str, doc_id: str = "doc_id", te
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
+        for b in parts(batches):
             ids = b.column("doc_id")
             to = [before.get(i, -1) if i in before else -1 for i in ids.to_pylist()]
             halo = np.array([i for i, p in enumerate(to) if p >= 0], np.int64)
