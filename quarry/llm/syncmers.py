@@ -112,10 +112,10 @@ def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     kept_type = docs.schema[doc_id].dataType.simpleString()
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, t in enumerate(batch_texts(b)):
+        for b in parts(batches):
+            for key, t in zip(b.column("doc_id").to_pylist(), batch_texts(b), strict=True):
                 at, h = syncmers(t or "", k, s)
-                ids = pa.chunked_array([b.column("doc_id").slice(i, 1)]).combine_chunks().take(pa.array(np.zeros(len(at), np.int64)))
+                ids = pa.array([key] * len(at), b.schema.field("doc_id").type)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(at, pa.int64()), pa.array(h.astype(np.int64))], ["doc_id", "position", "hash"])
 
     own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -157,7 +157,7 @@ def with_neighbour(docs: DataFrame, use, schema: str, doc_id: str = "doc_id", te
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for b in parts(batches):
             ids = b.column("doc_id")
-            to = [before.get(i, -1) if i in before else -1 for i in ids.to_pylist()]
+            to = [before.get(i, -1) for i in ids.to_pylist()]
             halo = np.array([i for i, p in enumerate(to) if p >= 0], np.int64)
             rows = np.concatenate([np.arange(b.num_rows), halo])
             texts = batch_texts(b)

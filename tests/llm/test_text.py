@@ -149,12 +149,6 @@ def test_preference_plan_has_no_python(spark):
 # ---- syncmers --------------------------------------------------------------------------
 
 
-def brute_syncmers(text, k, s):
-    """Positions of the closed syncmers, from the hashes of the s-mers one by one."""
-    small = [int(syncmers._anchors_in(np.array([ord(c) for c in text[i : i + s]], np.uint32), s, s)[1][0]) for i in range(len(text) - s + 1)]
-    return small
-
-
 def test_syncmers_are_closed_and_context_free():
     text = prose(3, 200) + "é😀" + prose(5, 100)
     at, h = syncmers.syncmers(text)
