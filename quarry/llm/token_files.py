@@ -10,7 +10,8 @@ place in the whole stream.
 * Texts are shuffled, ids are not: encoding happens behind the exchange, in the task that
   writes the file.
 * ``read_tokens`` gives each document's ``start`` from the files alone: the sums of the
-  ranges (one row each) are accumulated and joined back.
+  ranges (one row each) are accumulated and joined back by a broadcast, if their number
+  allows it.
 * ``lookup`` reads only stripes whose statistics and Bloom filter admit the ids.
 
 Order: ``doc_id`` (null first), then a hash of the text, so repeated ids have one order and
@@ -27,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.bpe import TextEncoder, batch_texts
+from quarry.llm.bpe import MEMO_WORDS, TextEncoder, batch_texts, parts, texts_to_python
+from quarry.plans.strategies import broadcast_if_small
 
 ORC_OPTIONS = {
     "orc.compress": "zstd",
@@ -51,30 +53,28 @@ def write_tokens(
     """``ranges``: number of files; the session's shuffle partitions if not given."""
     ranges = ranges or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept_type = docs.schema[doc_id].dataType.simpleString()
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     end = np.uint32(end_id).astype("<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = TextEncoder.of(spec), 0
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                got = [x + end for x in encoder.encode(batch_texts(part))]
-                sizes = np.array([len(x) // 4 for x in got], np.int64)
-                ends = np.concatenate([[0], sizes.cumsum()])
-                ids = pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("range"),
-                        part.column("doc_id"),
-                        pa.array(before + ends[:-1], pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids),
-                    ],
-                    ["range", "doc_id", "range_start", "n_tokens", "ids"],
-                )
-                before += int(ends[-1])
+        encoder, before = TextEncoder.of(spec, 2 * MEMO_WORDS), 0
+        for part in parts(batches):
+            got = [x + end for x in encoder.encode(batch_texts(part))]
+            sizes = np.array([len(x) // 4 for x in got], np.int64)
+            ends = np.concatenate([[0], sizes.cumsum()])
+            ids = pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("range"),
+                    part.column("doc_id"),
+                    pa.array(before + ends[:-1], pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids),
+                ],
+                ["range", "doc_id", "range_start", "n_tokens", "ids"],
+            )
+            before += int(ends[-1])
 
     tokens = (
         own.repartitionByRange(ranges, *order)
@@ -91,7 +91,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("range").agg(F.sum("n_tokens").alias("_n"))  # one row for each file
     starts = sums.select("range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(starts, "range").select(
+    # a row a file: checked, then broadcast, so that the ids are not shuffled
+    return rows.join(broadcast_if_small(starts), "range").select(
         "doc_id", (F.col("_before") + F.col("range_start")).alias("start"), "n_tokens", "ids"
     )
 
@@ -109,7 +110,7 @@ def with_crc(tokens: DataFrame, ids: str = "ids", out: str = "ids_crc32") -> Dat
     fields = ", ".join(f"`{c}` {tokens.schema[c].dataType.simpleString()}" for c in rest)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             lists = b.column(ids)
             flat = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False)).view(np.uint8)
             ends = lists.offsets.to_numpy().astype(np.int64) * 4
