@@ -41,7 +41,7 @@ def count(docs: DataFrame, specs: Mapping[str, str]) -> DataFrame:
         for b in parts(batches):
             texts = batch_texts(b)
             for name, spec in specs.items():
-                n = [len(x) // 4 for x in TextEncoder.of(spec, MEMO_WORDS).encode(texts)]
+                n = [len(x) // 4 for x in TextEncoder.of(spec, 2 * MEMO_WORDS).encode(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in names[:3]), pa.array([name] * len(n), pa.string()), pa.array(n, pa.int64())], names
                 )
