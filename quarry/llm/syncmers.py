@@ -5,10 +5,14 @@ its first or last place.  Whether a k-mer is chosen depends on its own character
 shared passages give the same anchors wherever they stand; at least one k-mer in every
 ``k - s`` is chosen.  ``anchors`` gives them with their positions for positional matching.
 
-A fingerprint is the sketch of a text's anchors: the ``SKETCH`` smallest of their different
-32-bit hashes, ascending, 8 hex digits each.  Two sketches give the share of anchors the
-texts have in common (``likeness``: 2 * shared / both, from the Jaccard estimate over the
-smallest hashes of the union; exact while both texts have at most ``SKETCH`` anchors).
+A text's anchors are compared whole: ``sketch`` has every anchor in order of position, as its
+32-bit hash and the number of equal anchors before it.  ``likeness`` is the share in common,
+2 * shared / both: the first occurrence of an anchor meets the first one in the other text, the
+second the second, and so on, so repeats count as often as both texts have them.  It is exact
+but for anchors whose 32-bit hashes collide.  A fingerprint is the SHA-256 of all anchors in
+order, so a text whose anchors change or move has another one.  ``sketch(size=...)`` is a
+bounded sketch, the smallest different hashes; ``likeness`` with that size is exact while both
+sketches are complete, an estimate beyond.
 
 ``with_neighbour`` brings each document's successor to it: documents are dealt into ranges
 of ids whose bounds are quantiles, and the first document of a range is also sent to the end
@@ -36,7 +40,6 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import batch_texts, parts, texts_to_python
 
 K, S = 16, 5
-SKETCH = 128
 #: code points hashed together; longer texts are cut with an overlap of k - 1
 STEP = 1 << 20
 RANGE_BYTES = 32 << 20
@@ -91,20 +94,38 @@ def syncmers(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([at + p for at, p, _ in parts]), np.concatenate([h for _, _, h in parts])
 
 
-def sketch(text: str, k: int = K, s: int = S, size: int = SKETCH) -> np.ndarray:
-    return np.unique(syncmers(text, k, s)[1])[:size]
+def _numbered(h: np.ndarray) -> np.ndarray:
+    """Hash (high half) and number of equal hashes before it (low half), in order of position."""
+    order = np.argsort(h, kind="stable")
+    sorted_ = h[order]
+    first = np.ones(len(h), bool)
+    first[1:] = sorted_[1:] != sorted_[:-1]
+    out = h.astype(np.uint64) << np.uint64(32)
+    if not first.all():
+        at = np.arange(len(h))
+        out[order] |= (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    return out
 
 
-def likeness(a: np.ndarray, b: np.ndarray, size: int = SKETCH) -> float:
+def sketch(text: str, k: int = K, s: int = S, size: int | None = None) -> np.ndarray:
+    """All anchors in order of position; with ``size`` the smallest different hashes."""
+    h = syncmers(text, k, s)[1]
+    return _numbered(h) if size is None else np.unique(h)[:size]
+
+
+def likeness(a: np.ndarray, b: np.ndarray, size: int | None = None) -> float:
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both, times = np.unique(np.concatenate([a, b]), return_counts=True)
-    jaccard = float((times[:size] == 2).mean())
+    both = np.sort(np.concatenate([a, b]))
+    if size is None or max(len(a), len(b)) < size:
+        return 2 * int(np.count_nonzero(both[1:] == both[:-1])) / len(both)
+    jaccard = float((np.unique(both, return_counts=True)[1][:size] == 2).mean())
     return 2 * jaccard / (1 + jaccard)
 
 
 def as_text(fingerprint: np.ndarray) -> str:
-    return fingerprint.astype(">u4").tobytes().hex()
+    """64 hex digits that depend on every anchor and their order; "" without anchors."""
+    return hashlib.sha256(fingerprint.astype(">u8").tobytes()).hexdigest() if len(fingerprint) else ""
 
 
 def anchors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, s: int = S) -> DataFrame:

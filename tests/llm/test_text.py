@@ -178,6 +178,39 @@ def test_likeness_is_the_share_in_common():
     assert syncmers.likeness(syncmers.sketch(""), syncmers.sketch("")) == 1
 
 
+def whole_share(a, b):
+    x, y = (Counter(syncmers.syncmers(t)[1].tolist()) for t in (a, b))
+    return 2 * (x & y).total() / (x.total() + y.total())
+
+
+def test_long_texts_are_compared_whole():
+    """Texts of far over 128 anchors: no anchor, repeat or place is left out."""
+    rng = np.random.default_rng(7)
+    passage, *texts = ("".join(rng.choice(list("abcdefghij klmnop"), n)) for n in (300, 60_000, 60_000))
+    a, b = texts[0][:20_000] + passage + texts[0][20_000:], texts[1] + passage
+    shared = syncmers.likeness(syncmers.sketch(a), syncmers.sketch(b))
+    assert shared == whole_share(a, b) > 0  # a short passage in long texts
+    changed = a[:30_000] + "Q" + a[30_001:]  # one letter
+    assert syncmers.likeness(syncmers.sketch(a), syncmers.sketch(changed)) == whole_share(a, changed) < 1
+    assert syncmers.as_text(syncmers.sketch(a)) != syncmers.as_text(syncmers.sketch(changed))
+    half = len(a) // 2
+    moved = a[half:] + a[:half]  # the order of anchors is part of the fingerprint
+    assert syncmers.as_text(syncmers.sketch(a)) != syncmers.as_text(syncmers.sketch(moved))
+    once, often = prose(1, 200), prose(1, 200) * 3  # repeats count
+    assert syncmers.likeness(syncmers.sketch(once), syncmers.sketch(often)) == whole_share(once, often) < 0.7
+
+
+def test_op10_counts_whole_anchors(spark):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    order = sorted(texts)
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+    for r in queries.op10_syncmers(spark, SF).collect():
+        own, after = texts[r.doc_id], texts[following[r.doc_id]]
+        if own and after:
+            assert r.near_next == whole_share(own, after)
+            assert r.near_edited == whole_share(own, syncmers.edited(own, after))
+
+
 def brute_edits(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     out = Counter()
