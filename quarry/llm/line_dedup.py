@@ -2,7 +2,8 @@
 
 Lines of ``min_chars`` characters or more that occur before, exactly or within ``threshold``
 edits, are dropped; shorter lines and blank lines are never repeats.  Edits are looked for
-between lines of ``near_chars`` or more, where a segment is long enough to be selective.
+between all those lines (``near_chars`` is ``min_chars``; a larger value leaves the lines below
+it to equality alone).
 
 1. Equal lines become one row (``first`` occurrence by doc_id and line number).
 2. Every line of length L is cut into ``threshold + 1`` even segments.  Within ``threshold``
@@ -34,7 +35,7 @@ from quarry.session import scratch_path
 
 THRESHOLD = 2
 MIN_CHARS = 20
-NEAR_CHARS = 40
+NEAR_CHARS = MIN_CHARS
 SIGNATURE_LETTERS = "etaonrih"
 #: strips up to 2 ** 21 - 1 equal characters from either end
 STEPS = [1 << k for k in range(20, -1, -1)]

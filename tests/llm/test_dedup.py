@@ -166,6 +166,28 @@ def test_near_links_lose_nothing(spark):
     assert pairs == want and len(want) > 50
 
 
+def test_lines_of_20_to_39_characters_are_linked(spark):
+    """Every line of 20 characters or more takes part in the edit join, the shortest too."""
+    rng, lines = random.Random(6), ["Thwhesnd. Esator whshing and hewh.", "Thwhesnd, esator whshing and hewh."]
+    for n in range(20, 40):
+        line = "".join(rng.choice("etaonrihsd ,.") for _ in range(n - 1)) + "."
+        lines.append(line)
+        for _ in range(4):
+            own = list(line)
+            for _ in range(rng.randint(1, 3)):
+                i = rng.randrange(len(own))
+                own[i : i + 1] = rng.choice([["q"], ["q", own[i]], []] if len(own) > 20 else [["q"], ["q", own[i]]])
+            lines.append("".join(own))
+    lines = sorted(set(lines))
+    docs = spark.createDataFrame([(i, x, "en", "a", 1) for i, x in enumerate(lines)], SCHEMA)
+    close = [(i, j) for j in range(len(lines)) for i in range(j) if edit_distance(lines[i], lines[j]) <= 2]
+    degree, first = Counter(i for pair in close for i in pair), {}
+    for ids in components(close, range(len(lines))).values():
+        first |= dict.fromkeys(ids, min(ids))
+    got = {r.doc_id: (r["first"].doc_id, r.links, r.kept) for r in line_dedup.line_classes(docs).collect()}
+    assert got == {i: (first[i], degree[i], first[i] == i) for i in range(len(lines))} and len(close) > 60
+
+
 def brute_dedup(rows):
     """Texts after dropping every line whose class has an earlier place."""
     def order(key, text):
