@@ -28,8 +28,6 @@ LIN_ELASTIC = dict(maxIter=10, regParam=0.3, elasticNetParam=0.8)
 MLP_LAYERS = [100, 6, 5, 2]
 MLP_WORD2VEC_PARTITIONS = 8
 LDA_CONCENTRATION = 3.0
-# the query runs the first values of the iteration grid (all of it: 955 iterations)
-SWEEP_VALUES = 3
 
 
 def _embeddings(spark, sf_dir):
@@ -271,9 +269,7 @@ def q_lda_sweep(spark, sf_dir):
     vectoriser = fe.count_vectorizer_model(train, "filtered")
     fit_on = vectoriser.transform(train).select("counts").persist()
     held = vectoriser.transform(test).select("counts").persist()
-    rows = models.lda_sweep(
-        fit_on, held, models.ITERATION_GRID[:SWEEP_VALUES], doc_concentration=[LDA_CONCENTRATION] * 3, topic_concentration=LDA_CONCENTRATION
-    )
+    rows = models.lda_sweep(fit_on, held, doc_concentration=[LDA_CONCENTRATION] * 3, topic_concentration=LDA_CONCENTRATION)
     fit_on.unpersist()
     held.unpersist()
     return spark.createDataFrame(rows, "iterations int, log_likelihood double, log_perplexity double")

@@ -8,8 +8,11 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionE
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+import __spark_entry__ as ent
 from quarry.operators import features, models
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def planted(spark):
@@ -118,3 +121,11 @@ def test_scored_documents_are_not_trained_on(spark):
     out = models.naive_bayes_fit_score(tf.where("doc_id < 3"), train, tf.where("doc_id >= 3"), test, "doc_id", "quality", [0, 1])
     got = {r.doc_id: (r.prediction, r.score_0, r.score_1) for r in out.collect()}
     assert got[3][0] == 1 and got[4][1] == got[4][2] and got[5][1] == got[5][2]  # unknown terms say nothing
+
+
+def test_registered_sweep_runs_the_whole_grid(spark, monkeypatch):
+    """Eight iteration counts, a row each; the fits themselves are cut to one iteration here."""
+    asked, lda = [], models.lda
+    monkeypatch.setattr(models, "lda", lambda k, n, **kw: asked.append(n) or lda(k, 1, **kw))
+    rows = ent.queries()["lda_sweep"](spark, SF).collect()
+    assert [r.iterations for r in rows] == asked == [5, 10, 20, 40, 60, 120, 200, 500]
