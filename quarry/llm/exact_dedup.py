@@ -6,12 +6,14 @@
    bucket of more than ``capacity`` distinct hashes is overfull: the directory doubles and the
    bucket is split by the next bit, until it fits or ``max_depth`` is reached.  The directory
    has at most ``2 ** max_depth`` rows, which bounds its broadcast.
-3. Entries are written to the shared folder in key ranges (bucket, hash, row): one range
-   belongs to one owner task, and a hash that a third of the rows share lies in many ranges.
-4. Hashes that occur more than once are chained: the texts behind them (and only those, kept
-   apart by a Bloom filter and a join) meet by hash, and grouping by the text compares their
-   bytes.  Each different text is one link of its hash's chain.
-5. Entries of one chain link are one group; the largest doc_id stays.
+3. Entries are written to the shared folder in key ranges (bucket, hash, row): a hash that a
+   third of the rows share lies in many ranges.
+4. Entries of equal hash and SHA-256 are one group, by one shuffle that buckets and ranges play
+   no part in; the largest doc_id stays.  Texts equal in both would be one group, and the join
+   of step 5 would double their rows.
+5. Chain numbers, beside the groups: the texts of hashes that occur more than once (and only
+   those, kept apart by a Bloom filter and a join) meet by hash, and grouping by the text
+   compares their bytes.  Each different text is one link of its hash's chain.
 
 Edge cases: a null text is an empty text; a null doc_id counts as smaller than any other; of
 rows that share the largest doc_id of a group one stays (the first read); repeated rows are
