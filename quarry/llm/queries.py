@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact_dedup, line_dedup, packing, quality, simhash, syncmers, token_counts, token_files
+from quarry.llm import bpe, chat, exact_dedup, line_dedup, merkle, packing, quality, simhash, syncmers, token_counts, token_files
 from quarry.session import scratch_path
 from quarry.tables import read_table
 
@@ -214,3 +214,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare_edits(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
