@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, exact_dedup, line_dedup, merkle, packing, quality, simhash, syncmers, token_counts, token_files, trie
+from quarry.llm import bpe, chat, exact_dedup, line_dedup, merkle, minhash, packing, quality, simhash, syncmers, token_counts, token_files, trie
 from quarry.session import scratch_path
 from quarry.tables import read_table
 
@@ -221,6 +221,11 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(read_table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.components(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 @query
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
