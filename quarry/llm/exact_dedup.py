@@ -1,19 +1,21 @@
 """Exact dedup by an extendible-hash index on shared files (operator 6), DataFrame only.
 
-1. Every row becomes an index entry: a 64-bit hash of its normalised text (A-Z lower-cased),
-   the SHA-256 and the row's id.  Texts do not travel.
+1. Every row becomes an entry on the shared folder: a 64-bit hash of its normalised text (A-Z
+   lower-cased), the SHA-256 that the result shows, the row's id and the text.
 2. The directory starts with ``2 ** min_depth`` buckets, one for each prefix of the hash.  A
    bucket of more than ``capacity`` distinct hashes is overfull: the directory doubles and the
-   bucket is split by the next bit, until it fits or ``max_depth`` is reached.  The directory
-   has at most ``2 ** max_depth`` rows, which bounds its broadcast.
-3. Entries are written to the shared folder in key ranges (bucket, hash, row): a hash that a
-   third of the rows share lies in many ranges.
-4. Entries of equal hash and SHA-256 are one group, by one shuffle that buckets and ranges play
-   no part in; the largest doc_id stays.  Texts equal in both would be one group, and the join
-   of step 5 would double their rows.
-5. Chain numbers, beside the groups: the texts of hashes that occur more than once (and only
-   those, kept apart by a Bloom filter and a join) meet by hash, and grouping by the text
-   compares their bytes.  Each different text is one link of its hash's chain.
+   bucket is split by the next bit, until it fits or ``max_depth`` is reached, which by default
+   follows from the number of rows so that it is not.
+3. Entries are chained: of each hash that occurs more than once the different texts, compared
+   byte by byte, are the links of its chain.  Only texts of such hashes travel (a Bloom filter
+   keeps others away), equal ones as one row of each task; rows then find their link by their
+   text.  A text that very many rows share is dealt over parts.
+4. Index files hold key ranges (bucket, hash, chain, row): a hash that a third of the rows
+   share lies in many ranges.  The task that owns a range adds up its groups, one row for each
+   (bucket, hash, chain), and what reaches over a range's end is added up after that.  Neither
+   hash decides what is equal: texts of equal hash and SHA-256 are different links.
+5. The largest doc_id of a group stays.  Groups of over a thousandth of the rows reach their
+   rows by a broadcast of at most a thousand of them, all others by a join.
 
 Edge cases: a null text is an empty text; a null doc_id counts as smaller than any other; of
 rows that share the largest doc_id of a group one stays (the first read); repeated rows are
@@ -27,11 +29,17 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.segments import lookup
 from quarry.llm.sketch import bloom, may_contain
+from quarry.plans.strategies import broadcast_if_small
 from quarry.session import scratch_path
 
 CAPACITY = 65_536
-MIN_DEPTH, MAX_DEPTH = 4, 16
+MIN_DEPTH, MAX_DEPTH = 4, 40
+#: doublings beyond those that rows spread evenly need
+SPARE_DEPTH = 4
+#: rows of one text from which on they are dealt over parts
+COMMON, PARTS = 10_000, 64
 
 
 def normalised(text: Column) -> Column:
@@ -45,6 +53,15 @@ def hashed(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def digested(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def depth_for(rows: int, capacity: int, min_depth: int = MIN_DEPTH) -> int:
+    """Bits of the hash that buckets of ``capacity`` need, and some to spare."""
+    return min(MAX_DEPTH, max(min_depth, (rows // capacity).bit_length()) + SPARE_DEPTH)
+
+
 def directory(hashes: DataFrame, capacity: int, min_depth: int, max_depth: int) -> DataFrame:
     """``(cell, depth, bucket)`` for each occupied ``max_depth``-bit prefix of column ``h``."""
     cells = hashes.groupBy(F.shiftrightunsigned("h", 64 - max_depth).alias("cell")).agg(F.count_distinct("h").alias("keys"))
@@ -58,6 +75,29 @@ def directory(hashes: DataFrame, capacity: int, min_depth: int, max_depth: int)
     return first.withColumn("bucket", bucket)
 
 
+def _chains(entries: DataFrame) -> DataFrame:
+    """``(row, chain)`` of the entries whose hash occurs more than once: the number of the
+    entry's text among the different texts of its hash, which are compared as they are."""
+    path_of = lambda name: scratch_path(entries.sparkSession, name)
+    shared = entries.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    texts = entries.select("h", "row", "text").where(may_contain(bloom(shared, "h"), F.col("h")))
+    links = texts.groupBy("h", "text").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("times"))
+    links = links.withColumn("chain", F.row_number().over(Window.partitionBy("h").orderBy("head")) - 1)
+    links.write.parquet(path := path_of("links"))
+    links = entries.sparkSession.read.parquet(path)
+    few = links.where(F.col("times") <= COMMON).select("h", "text", F.lit(-1).alias("part"), "chain")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
+    many = links.where(F.col("times") > COMMON).select("h", "text", parts, "chain")
+    common = broadcast_if_small(links.where(F.col("times") > COMMON).select("h").distinct())
+    part = F.pmod(F.xxhash64("row"), F.lit(PARTS)).cast("int")
+    dealt = texts.join(common.withColumn("common", F.lit(True)), "h", "left")
+    # a hash may have links of both kinds, so its rows look among both
+    hot = dealt.where("common").withColumn("part", part).join(many, ["h", "text", "part"]).select("row", "chain")
+    cold = dealt.withColumn("part", F.lit(-1)).join(few, ["h", "text", "part"]).select("row", "chain")
+    hot.union(cold).write.parquet(path := path_of("chains"))
+    return entries.sparkSession.read.parquet(path)
+
+
 def build_index(
     docs: DataFrame,
     path: str,
@@ -65,48 +105,43 @@ def build_index(
     text: str = "text",
     capacity: int = CAPACITY,
     min_depth: int = MIN_DEPTH,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
 ) -> DataFrame:
-    """Write the index files and return them: bucket, h, sha, doc_id, row."""
+    """Write the index files and return them: bucket, h, chain, sha, doc_id, row."""
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text_ = normalised(F.col(text))
     docs.select(
         hashed(text_).alias("h"),
-        F.unhex(F.sha2(text_.cast("binary"), 256)).alias("sha"),
+        digested(text_).alias("sha"),
         F.col(doc_id).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
+        text_.alias("text"),
     ).write.parquet(f"{path}/entries")
-    entries = spark.read.parquet(f"{path}/entries").withColumn("cell", F.shiftrightunsigned("h", 64 - max_depth))
-    buckets = directory(entries.select("h"), capacity, min_depth, max_depth)
+    entries = spark.read.parquet(f"{path}/entries")
+    depth = depth_for(entries.count(), capacity, min_depth) if max_depth is None else max_depth
+    buckets = directory(entries.select("h"), capacity, min_depth, depth)
+    placed = entries.select("h", "sha", "doc_id", "row", F.shiftrightunsigned("h", 64 - depth).alias("cell"))
     (
-        entries.join(F.broadcast(buckets), "cell")  # at most 2 ** max_depth rows
-        .select("bucket", "h", "sha", "doc_id", "row")
-        .repartitionByRange(n, "bucket", "h", "row")
-        .sortWithinPartitions("bucket", "h", "row")
+        placed.join(broadcast_if_small(buckets), "cell")
+        .join(_chains(entries), "row", "left")
+        .select("bucket", "h", F.coalesce("chain", F.lit(0)).alias("chain"), "sha", "doc_id", "row")
+        .repartitionByRange(n, "bucket", "h", "chain", "row")
+        .sortWithinPartitions("bucket", "h", "chain", "row")
         .write.parquet(f"{path}/index")
     )
     return spark.read.parquet(f"{path}/index")
 
 
-def _chains(docs: DataFrame, index: DataFrame, text: str) -> DataFrame:
-    """``(h, sha, chain)`` for each different text among those that share a hash."""
-    shared = index.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    text_ = normalised(F.col(text))
-    texts = docs.select(text_.alias("t")).withColumn("h", hashed(F.col("t"))).where(may_contain(bloom(shared, "h"), F.col("h")))
-    links = texts.join(shared, "h", "left_semi").groupBy("h", "t").agg(F.count(F.lit(1)).alias("n"))
-    place = F.row_number().over(Window.partitionBy("h").orderBy("t")) - 1
-    return links.select("h", F.unhex(F.sha2(F.col("t").cast("binary"), 256)).alias("sha"), place.alias("chain"))
-
-
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain."""
     path = scratch_path(docs.sparkSession, "exact")
     index = build_index(docs, path, doc_id, text, **sizes)
     last = F.max(F.struct("doc_id", (-F.col("row")).alias("row")))  # of equal ids the first row read
-    groups = index.groupBy("h", "sha").agg(F.count(F.lit(1)).alias("group_size"), last.alias("last"))
-    chained = groups.join(_chains(docs, index, text), ["h", "sha"], "left").withColumn("chain", F.coalesce("chain", F.lit(0)))
-    return index.join(chained, ["h", "sha"]).select(
+    key = ["bucket", "h", "chain"]
+    index.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), last.alias("last")).write.parquet(f"{path}/groups")
+    groups = docs.sparkSession.read.parquet(f"{path}/groups").withColumn("times", F.col("group_size"))
+    return lookup(index, groups, key, "times", index.count()).select(
         "doc_id",
         F.col("last.doc_id").alias("keep_id"),
         "group_size",
