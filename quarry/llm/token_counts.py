@@ -14,7 +14,8 @@ adds the batches' sums: its work grows with the groups and batches, never with t
 A source that holds a third of the rows is one partial sum per task.  Edge cases: a null
 text counts no tokens; null source or language are groups of their own; repeated inserts of
 an id add up and are deleted together; a delete of an unknown or null id is nothing; a store
-that was only created has no totals; other columns are ignored.
+that was only created has no totals; an empty table adds none; other columns are ignored.  Ids
+are longs: ``count`` casts them, and an id that is no number is an error.
 """
 
 from __future__ import annotations
@@ -75,7 +76,11 @@ def deletes(spark: SparkSession, store: str, ids: DataFrame, before: int) -> Dat
 
 
 def revisions(spark: SparkSession, store: str, counted: DataFrame, before: int) -> DataFrame:
-    """Deletes of the old counts of the documents in ``counted``, and inserts of the new."""
+    """Deletes of the old counts of the documents in ``counted``, and inserts of the new.  The
+    new counts are written once, beside the batch that they are for."""
+    staged = f"{store}/staged/before={before}"
+    counted.write.mode("overwrite").parquet(staged)
+    counted = spark.read.parquet(staged)
     known = counted.join(live(spark, store, before).select("doc_id").distinct(), "doc_id", "left_semi")
     return deletes(spark, store, known, before).unionByName(inserts(known))
 

@@ -283,3 +283,104 @@ def test_colliding_hashes_are_chained(spark, monkeypatch):
     got = exact_dedup.exact_groups(spark.createDataFrame(rows, SCHEMA)).collect()
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == brute_exact(rows)
     assert {(r.text_sha256, r.chain) for r in got} and len({r.chain for r in got}) == 3
+
+
+def test_texts_of_equal_hash_and_digest_are_told_apart(spark, monkeypatch):
+    """Hash and SHA-256 both collide: byte-compared chains decide the groups, a row a document."""
+    monkeypatch.setattr(exact_dedup, "hashed", lambda c: F.lit(3).cast("long"))
+    monkeypatch.setattr(exact_dedup, "digested", lambda c: F.unhex(F.lit("00" * 32)))
+    rows = [(i, t, "en", "a", 1) for i, t in enumerate(["aa", "bb", "AA", "c", "bb", "é", "É", None, ""] * 3)]
+    for common in (exact_dedup.COMMON, 2):  # 2: every text is dealt over parts
+        monkeypatch.setattr(exact_dedup, "COMMON", common)
+        got = exact_dedup.exact_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+        want = {key[:4] for key in brute_exact(rows)}
+        assert len(got) == len(rows) and {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == want
+        assert len({r.chain for r in got}) == len({r.keep_id for r in got}) == 6
+
+
+def test_directory_depth_follows_the_rows():
+    depths = [exact_dedup.depth_for(n, exact_dedup.CAPACITY) for n in (0, 10**6, 10**9, 10**11, 10**15)]
+    assert depths == sorted(depths) and depths[-1] == exact_dedup.MAX_DEPTH
+    assert all(2 ** exact_dedup.depth_for(n, 100, 1) * 100 >= n for n in (10, 10**5, 10**8))
+
+
+# ---- hot keys of the line join ---------------------------------------------------------
+
+
+def brute_classes(rows, near=None):
+    """Per line: (class's first place, links, kept), of documents with one row each."""
+    near = near or line_dedup.NEAR_CHARS
+    first, places = {}, []
+    for key, text, *_ in sorted(rows):
+        for i, line in enumerate(text.split("\n")):
+            if line.strip(" "):
+                first.setdefault(line, (key, i))
+                places.append((key, i, line))
+    names = list(first)
+    links = [
+        (a, b)
+        for i, a in enumerate(names)
+        for b in names[i + 1 :]
+        if abs(len(a) - len(b)) <= 2 and min(len(a), len(b)) >= near and edit_distance(a, b) <= 2
+    ]
+    degree = Counter(x for pair in links for x in pair)
+    least = {n: min(first[m] for m in ns) for ns in components(links, names).values() for n in ns}
+    return {(k, i): (*least[x], degree[x], least[x] == (k, i) or len(x) < line_dedup.MIN_CHARS) for k, i, x in places}
+
+
+def family(seed, n, edits):
+    """Lines around one: some within two edits of each other, others only by way of a third."""
+    rng, base = random.Random(seed), "the quick brown fox jumps over a lazy dog at noon"
+    out = [base]
+    while len(out) < n:
+        own = list(rng.choice(out) if rng.random() < 0.5 else base)
+        for _ in range(rng.randint(1, edits)):
+            i = rng.randrange(len(own))
+            own[i : i + 1] = rng.choice([[], [rng.choice("qzxj")], [own[i], rng.choice("qzxj")]])
+        line = "".join(own)
+        if line not in out:
+            out.append(line)
+    return out
+
+
+@pytest.mark.parametrize("hot,edits", [(2, 2), (5, 4), (20, 6), (1000, 4)])
+def test_hot_keys_lose_no_link(spark, hot, edits, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 7)
+    rng = random.Random(hot)
+    lines = family(hot, 60, edits) + mutated_lines()[:40] + ["short", "short", " ", "", "tiny"]
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(lines[i::5]), "en", "a", 1) for i in range(5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = line_dedup.line_classes(docs, hot=hot).collect()
+    want = brute_classes(rows)
+    assert {(r.doc_id, r.line_no): (r["first"].doc_id, r["first"].line_no, r.links, r.kept) for r in got} == want and len(got) == len(want)
+    quick = line_dedup.line_classes(docs, hot=hot, count_links=False).collect()
+    assert {(r.doc_id, r.line_no): (r["first"].doc_id, r["first"].line_no, r.kept) for r in quick} == {k: (*v[:2], v[3]) for k, v in want.items()}
+
+
+def test_rows_of_a_hot_family_stay_in_proportion(spark):
+    """2,000 near copies of one line: candidates are a multiple of the lines."""
+    line = "the quick brown fox jumps over a lazy dog while rain falls on old roofs and cats sleep by warm stoves"
+    lines = [line[:i] + c + line[i + 1 :] for i in range(100) for c in "0123456789QWERTYUIOP"]
+    met = line_dedup._candidates(spark.createDataFrame([(x,) for x in lines], "line string"), 2, 20, line_dedup.HOT)
+    assert met.count() < 20 * len(set(lines))
+    docs = spark.createDataFrame([(i, x, "en", "a", 1) for i, x in enumerate(lines)], SCHEMA)
+    kept = line_dedup.dedup(docs).where("text <> ''").collect()
+    assert [r.doc_id for r in kept] == [0]
+
+
+def test_texts_of_one_id_keep_their_own_lines(spark):
+    """Documents are told apart by id and text, also where the hash of the row collides."""
+    rows = [(14, prose(6) + "\n" + prose(9), "en", "a", 1), (14, prose(9), "en", "a", 1), (15, prose(9) + "\n" + prose(6), "en", "a", 1)]
+    got = Counter((r.doc_id, r.text) for r in line_dedup.dedup(spark.createDataFrame(rows, SCHEMA)).collect())
+    lines = [x for _, t in got.elements() for x in t.split("\n") if x]
+    assert sorted(lines) == sorted([prose(6), prose(9)]) and sum(got.values()) == 3
+
+
+def test_rows_of_one_hash_but_two_ids(spark, monkeypatch):
+    real, rows_of = line_dedup.F.xxhash64, (["doc_id", "text"], ["c0", "c1"])
+    collide = lambda *c: F.lit(5).cast("long") if all(isinstance(x, str) for x in c) and list(c) in rows_of else real(*c)
+    monkeypatch.setattr(line_dedup.F, "xxhash64", collide)
+    rows = [(1, prose(1) + "\n" + prose(2), "en", "a", 1), (2, prose(3) + "\n" + prose(1), "en", "a", 1)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: prose(1) + "\n" + prose(2), 2: prose(3)}
