@@ -19,8 +19,8 @@ are no lines here.  Edits are looked for between all lines of ``near_chars`` cha
    are compared with all others in blocks held as arrays, each line giving one link a block,
    until no block has any left.  For the number of links all blocks of the key are compared,
    and a pair counts in the block of its first common segment only.
-5. Candidates are verified: equal ends are stripped by doubling steps, the rest goes through
-   a banded bit-parallel edit distance (``2 * threshold + 2`` bits, one step a column).
+5. Candidates are verified: equal ends are stripped by doubling steps, pairs whose new ends
+   admit no two edits are out, the rest goes through a banded bit-parallel edit distance (``2 * threshold + 2`` bits, one step a column).
 6. Linked lines form classes (components); a class keeps its first occurrence.
 
 Order of occurrences: doc_id (null last), a hash of the text, line number.  Rows with equal
@@ -126,13 +126,30 @@ def _banded(a: Column, b: Column, k: int) -> Column:
     return _let(F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b")), over)
 
 
+def _ends_admit(a: Column, b: Column, k: int) -> Column:
+    """Whether two edits are enough for strings without a common first or last character: one
+    of them then stands at the front and one, if there are two, at the end, and what lies
+    between is equal.  Exact for ``k`` up to 2, else no decision (true)."""
+    if k > 2:
+        return F.lit(True)
+    p, q = F.char_length(a), F.char_length(b)
+    edits = [(1, 1), (0, 1), (1, 0)]
+    out = F.lit(False)
+    for front in edits:
+        for back in [(0, 0), *(edits if k == 2 else [])]:
+            m, n = p - (front[0] + back[0]), q - (front[1] + back[1])
+            same = F.substring(a, F.lit(front[0] + 1), m) == F.substring(b, F.lit(front[1] + 1), n)
+            out = out | F.when((m == n) & (m >= 0), same).otherwise(F.lit(False))
+    return out
+
+
 def edit_distance_within(a: Column, b: Column, k: int) -> Column:
     """The edit distance if it is at most ``k``, else null."""
 
     def stripped(x: Column) -> Column:
         gap = F.abs(F.char_length(x.a) - F.char_length(x.b))
         none_left = (F.char_length(x.a) == 0) | (F.char_length(x.b) == 0)
-        d = F.when(gap > k, F.lit(k + 1)).when(none_left, gap).otherwise(_banded(x.a, x.b, k))
+        d = F.when(gap > k, F.lit(k + 1)).when(none_left, gap).when(~_ends_admit(x.a, x.b, k), F.lit(k + 1)).otherwise(_banded(x.a, x.b, k))
         return _let(d, lambda v: F.when(v <= k, v))
 
     def cut(x: Column, n: Column) -> Column:
@@ -345,21 +362,26 @@ def _block_links(rows: DataFrame, k: int, match) -> DataFrame:
     )
     fields = ["id", "sig", "own", "line", "name", *[c for c in ("root",) if c in rows.columns]]
     to = lambda side: sizes.select("key", F.col(f"outer_{side}").alias("outer"), F.col(f"inner_{side}").alias("inner"), F.col("outer_y").alias("outer_blocks"), F.col("inner_y").alias("inner_blocks"))
-    x = _dealt(rows, to("x"), fields).withColumnRenamed("lines", "xs")
+    x = _dealt(rows, to("x"), fields).withColumnRenamed("lines", "xs")  # blocks of probe lines
     y = _dealt(rows.where("indexed"), to("y"), fields).select("key", F.struct("outside", "block").alias("y"), F.col("lines").alias("ys"))
     numbers = lambda n, outside: F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.lit(outside).alias("outside"), i.alias("block")))
     outer, inner = numbers(F.col("outer_blocks"), True), numbers(F.col("inner_blocks"), False)
     meets = F.when(F.col("outside"), F.concat(outer, inner)).otherwise(outer)
-    cells = x.select("key", "segment", "xs", F.explode(meets).alias("y")).join(y, ["key", "y"])
+    cells = x.select("key", "segment", "xs", F.struct("outside", "block").alias("x"), F.explode(meets).alias("y")).join(y, ["key", "y"])
+    # small rows with much to do: a number of tasks that adaptive planning does not put together
+    cells = cells.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "x", "y")
     hits = F.transform("xs", lambda a: F.transform("ys", lambda b: match(a, b, F.col("segment"))))
-    cells = cells.select("xs", "ys", hits.alias("hits"))
 
     def seen(own: Column, theirs: Column, found: Column) -> Column:
         return F.struct(own["name"].alias("name"), F.size(F.filter(found, lambda h: h)).alias("links"), F.get(theirs, F.array_position(found, True).cast("int") - 1)["name"].alias("other"))
 
-    of_x = F.transform("xs", lambda a, i: seen(a, F.col("ys"), F.get("hits", i)))
-    of_y = F.transform("ys", lambda b, j: seen(b, F.col("xs"), F.transform("hits", lambda row: F.get(row, j))))
-    return cells.select(F.inline(F.concat(of_x, of_y))).where("links > 0")
+    def both(found: Column) -> Column:
+        of_x = F.transform("xs", lambda a, i: seen(a, F.col("ys"), F.get(found, i)))
+        of_y = F.transform("ys", lambda b, j: seen(b, F.col("xs"), F.transform(found, lambda row: F.get(row, j))))
+        return F.concat(of_x, of_y)
+
+    # bound first: as a column it would be computed again for every element
+    return cells.select(F.inline(_let(hits, both))).where("links > 0")
 
 
 def _match(k: int, counting: bool):
