@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.bpe import batch_texts, parts, texts_to_python
+from quarry.llm.sketch import bloom, may_contain
 
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -140,7 +141,10 @@ def fit(
     ridge: float = RIDGE,
 ) -> Model:
     marks = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).dropna().where("label in (0, 1)").distinct()
-    rows = with_statistics(docs, doc_id, text).where(~held_out(F.col("doc_id")))
+    # texts of the fold and of documents without a label are not measured
+    id_ = F.col(f"`{doc_id}`")
+    likely = may_contain(bloom(marks.select(F.col("doc_id").cast("string").alias("k")), "k"), id_.cast("string"))
+    rows = with_statistics(docs.where(~held_out(id_) & F.coalesce(likely, F.lit(False))), doc_id, text)
     sums = _sums(rows.join(marks, "doc_id").select("label", "x"))
     n = {c: sums[c][0] if c in sums else 0 for c in (0, 1)}
     if min(n.values()) < 2:

@@ -6,10 +6,12 @@ shared passages give the same anchors wherever they stand; at least one k-mer in
 ``k - s`` is chosen.  ``anchors`` gives them with their positions for positional matching.
 
 A text's anchors are compared whole: ``sketch`` has every anchor in order of position, as its
-32-bit hash and the number of equal anchors before it.  ``likeness`` is the share in common,
-2 * shared / both: the first occurrence of an anchor meets the first one in the other text, the
-second the second, and so on, so repeats count as often as both texts have them.  It is exact
-but for anchors whose 32-bit hashes collide.  A fingerprint is the SHA-256 of all anchors in
+32-bit hash and the number of equal anchors before it.  The first occurrence of an anchor meets
+the first one in the other text, the second the second, and so on.  ``in_order`` is positional
+matching: of the anchors that meet, the longest chain that stands in one order in both texts,
+as a share, 2 * chain / both.  Passages that moved count once along the chain, so shuffled
+blocks score below kept order.  ``likeness`` is the share in common wherever anchors stand.
+Both are exact but for anchors whose 32-bit hashes collide.  A fingerprint is the SHA-256 of all anchors in
 order, so a text whose anchors change or move has another one.  ``sketch(size=...)`` is a
 bounded sketch, the smallest different hashes; ``likeness`` with that size is exact while both
 sketches are complete, an estimate beyond.
@@ -22,13 +24,15 @@ successor at a time.
 Edge cases: a text shorter than k characters has one anchor, the whole text; a null text is
 an empty text and has none (fingerprint ""): like another empty text (1), unlike any other
 (0).  Null ids come before all others; equal ids are ordered by a hash of the text; repeated
-rows follow each other.  A single row is its own successor.  An empty table gives an empty
+rows follow each other.  Ids are longs: they are cast, and one that is no number is an error.
+A single row is its own successor.  An empty table gives an empty
 result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +47,8 @@ K, S = 16, 5
 #: code points hashed together; longer texts are cut with an overlap of k - 1
 STEP = 1 << 20
 RANGE_BYTES = 32 << 20
+#: ranges at most: a range is read as a sorted stream and may be of any size
+MAX_RANGES = 10_000
 
 _MULTIPLIER = np.uint64(0x100000001B3)
 
@@ -123,6 +129,29 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int | None = None) -> float:
     return 2 * jaccard / (1 + jaccard)
 
 
+def in_order(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of two whole sketches on the longest chain in both orders."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    order = np.argsort(b)
+    at = np.minimum(np.searchsorted(b, a, sorter=order), len(b) - 1)
+    meets = b[order[at]] == a
+    return 2 * _chain(order[at][meets]) / (len(a) + len(b))
+
+
+def _chain(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence of different numbers."""
+    if len(places) < 2 or (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []  # the smallest end of a chain of each length
+    for p in places.tolist():
+        if not ends or p > ends[-1]:
+            ends.append(p)
+        else:
+            ends[bisect_left(ends, p)] = p
+    return len(ends)
+
+
 def as_text(fingerprint: np.ndarray) -> str:
     """64 hex digits that depend on every anchor and their order; "" without anchors."""
     return hashlib.sha256(fingerprint.astype(">u8").tobytes()).hexdigest() if len(fingerprint) else ""
@@ -147,7 +176,7 @@ def _bounds(docs: DataFrame, ranges: int | None) -> list[int]:
     """Upper quantiles of the ids: one number for each range of about ``RANGE_BYTES``."""
     if ranges is None:
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+        ranges = min(MAX_RANGES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES)))
     if ranges < 2:
         return []
     shares = [F.lit(i / ranges) for i in range(1, ranges)]
@@ -210,7 +239,7 @@ def with_neighbour(docs: DataFrame, use, schema: str, doc_id: str = "doc_id", te
     dealt = (
         own.withColumn("tie", F.xxhash64("text"))
         .mapInArrow(deal, "range int, halo boolean, doc_id long, tie long, z binary")
-        .repartition(len(bounds) + 1, "range")
+        .repartitionById(len(bounds) + 1, "range")  # a range is a task
         .sortWithinPartitions("range", "halo", F.col("doc_id").asc_nulls_first(), "tie")
     )
     return dealt.mapInArrow(lambda batches: use(stream(batches)), schema)
@@ -223,9 +252,10 @@ def edited(text: str, following: str) -> str:
 
 
 def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
-    """Per document: n_chars, the edited text's SHA-256, both fingerprints, and the likeness
-    of the document's to the edited text's and to the next document's."""
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    """Per document: n_chars, the edited text's SHA-256, both fingerprints, and how near the
+    document is to the edited text and to the next document: ``near_*`` by anchors in order,
+    ``shared_*`` by anchors wherever they stand."""
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "shared_edited", "shared_next"]
 
     def rows(pairs: Iterator[tuple]) -> Iterator[tuple]:
         ahead: tuple = ()
@@ -236,10 +266,11 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
             other = edited(own, following)
             changed = sketch(other)
             sha = hashlib.sha256(other.encode()).hexdigest()
-            yield key, len(own), sha, as_text(mine), as_text(changed), likeness(mine, changed), likeness(mine, theirs)
+            near = [f(mine, x) for f in (in_order, likeness) for x in (changed, theirs)]
+            yield key, len(own), sha, as_text(mine), as_text(changed), *near
 
     def use(pairs: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
         held: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
@@ -253,5 +284,5 @@ def compare_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
         if held:
             yield batch()
 
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, shared_edited double, shared_next double"
     return with_neighbour(docs, use, schema, doc_id, text, ranges)

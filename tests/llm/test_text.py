@@ -15,9 +15,9 @@ from llm_helpers import SCHEMA, awkward, clashing, prose
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [q for q in ent.queries() if q.startswith("op") and q[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in ent.queries()
 
 
@@ -200,6 +200,45 @@ def test_long_texts_are_compared_whole():
     assert syncmers.likeness(syncmers.sketch(once), syncmers.sketch(often)) == whole_share(once, often) < 0.7
 
 
+def brute_in_order(a, b):
+    """The longest chain of anchors (hash, how many before) that stand in one order in both."""
+    places = []
+    for text in (a, b):
+        seen, at = Counter(), {}
+        for i, h in enumerate(syncmers.syncmers(text)[1].tolist()):
+            at[h, seen[h]] = i
+            seen[h] += 1
+        places.append(at)
+    x, y = places
+    if not x or not y:
+        return float(len(x) == len(y))
+    row = np.array([y[k] for k in x if k in y])
+    best = np.ones(len(row), int)
+    for i in range(1, len(row)):
+        best[i] = 1 + best[:i][row[:i] < row[i]].max(initial=0)
+    return 2 * int(best.max(initial=0)) / (len(x) + len(y))
+
+
+def test_moved_blocks_score_below_kept_order():
+    rng = np.random.default_rng(4)
+    blocks = ["".join(rng.choice(list("abcdefghij klmnop"), 300)) for _ in range(10)]
+    a, b = "".join(blocks), "".join(blocks[i] for i in rng.permutation(10))
+    x, y = syncmers.sketch(a), syncmers.sketch(b)
+    assert syncmers.in_order(x, y) == brute_in_order(a, b) < 0.6 < 0.9 < syncmers.likeness(x, y)
+    assert syncmers.in_order(x, x) == 1 and syncmers.in_order(x, syncmers.sketch("")) == 0 and syncmers.in_order(syncmers.sketch(""), syncmers.sketch("")) == 1
+    for s, t in ((prose(1, 200), prose(1, 200) * 3), (prose(2, 90), prose(3, 90)), ("ab" * 500, "ba" * 300), (a, a[1000:] + a[:1000])):
+        assert syncmers.in_order(syncmers.sketch(s), syncmers.sketch(t)) == pytest.approx(brute_in_order(s, t))
+
+
+def own_digest(text):
+    """The fingerprint, from the anchors one by one."""
+    seen, digest = Counter(), hashlib.sha256()
+    for h in syncmers.syncmers(text)[1].tolist():
+        digest.update(h.to_bytes(4, "big") + seen[h].to_bytes(4, "big"))
+        seen[h] += 1
+    return digest.hexdigest() if seen else ""
+
+
 def test_op10_counts_whole_anchors(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     order = sorted(texts)
@@ -207,8 +246,10 @@ def test_op10_counts_whole_anchors(spark):
     for r in queries.op10_syncmers(spark, SF).collect():
         own, after = texts[r.doc_id], texts[following[r.doc_id]]
         if own and after:
-            assert r.near_next == whole_share(own, after)
-            assert r.near_edited == whole_share(own, syncmers.edited(own, after))
+            other = syncmers.edited(own, after)
+            assert r.shared_next == whole_share(own, after) and r.shared_edited == whole_share(own, other)
+            assert r.near_next == brute_in_order(own, after) and r.near_edited == brute_in_order(own, other)
+            assert r.fingerprint == own_digest(own) and r.edited_fingerprint == own_digest(other)
 
 
 def brute_edits(rows):
@@ -217,8 +258,8 @@ def brute_edits(rows):
     for i, (key, text) in enumerate(order):
         own, following = text or "", order[(i + 1) % len(order)][1] or ""
         other = own[: len(own) - len(own) // 2] + following[: len(own) // 2]
-        a, b, c = (syncmers.sketch(t) for t in (own, other, following))
-        out[(key, len(own), hashlib.sha256(other.encode()).hexdigest(), syncmers.as_text(a), syncmers.as_text(b), syncmers.likeness(a, b), syncmers.likeness(a, c))] += 1
+        near = [f(own, t) for f in (brute_in_order, lambda x, y: whole_share(x, y) if x and y else float(x == y)) for t in (other, following)]
+        out[(key, len(own), hashlib.sha256(other.encode()).hexdigest(), own_digest(own), own_digest(other), *near)] += 1
     return out
 
 
