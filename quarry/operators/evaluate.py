@@ -2,7 +2,8 @@
 
 Curves are computed on distinct scores: one grouped count of positives and
 negatives per score, then running sums along the descending score (distributed
-prefix sums, no single-partition window).  AUC is the tie-aware rank statistic
+prefix sums, no single-partition window).  Rows without a score, a prediction or a label
+are left out of every metric; ``confusion_counts`` says how many there were.  AUC is the tie-aware rank statistic
 ``Σ_s pos_s · (neg_below_s + neg_s / 2) / (P · N)``, the same number as the
 trapezoid area under the exact ROC curve.  Counts, accuracy and regression metrics
 are one aggregate each.
@@ -21,8 +22,9 @@ def _lab(label: str) -> Column:
 
 
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """``(threshold, pos, neg)`` per distinct score; labels are 0/1."""
-    return df.groupBy(F.col(score).alias("threshold")).agg(
+    """``(threshold, pos, neg)`` per distinct score; labels are 0/1.  Rows with a null score or
+    label are in neither."""
+    return df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.sum(_lab(label)).cast("bigint").alias("pos"),
         F.sum(1 - _lab(label)).cast("bigint").alias("neg"),
     )
@@ -89,21 +91,25 @@ def best_f1_threshold(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """tp / fp / tn / fn, total, correct, wrong and wrong ratio in one pass."""
+    """tp / fp / tn / fn, total, correct, wrong and wrong ratio in one pass.
+    ``total`` counts the rows that have both; ``missing`` are the others."""
     y, p = _lab(label), _lab(prediction)
+    both = y.isNotNull() & p.isNotNull()
     return df.agg(
         F.count(F.when((y == 1) & (p == 1), 1)).alias("tp"),
         F.count(F.when((y == 0) & (p == 1), 1)).alias("fp"),
         F.count(F.when((y == 0) & (p == 0), 1)).alias("tn"),
         F.count(F.when((y == 1) & (p == 0), 1)).alias("fn"),
-        F.count(F.lit(1)).alias("total"),
+        F.count(F.when(both, 1)).alias("total"),
         F.count(F.when(y == p, 1)).alias("correct"),
         F.count(F.when(y != p, 1)).alias("wrong"),
+        F.count(F.when(~both, 1)).alias("missing"),
     ).withColumn("wrong_ratio", F.try_divide(F.col("wrong").cast("double"), F.col("total")))
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Share of rows with ``label == prediction`` (V06 micro precision, V07)."""
+    """Share of rows with ``label == prediction`` (V06 micro precision, V07), of those that
+    have both; null without any."""
     return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 
 
@@ -113,6 +119,7 @@ def weighted_precision_recall(df: DataFrame, label: str, prediction: str) -> Dat
     A class that is never predicted has precision 0, as in Spark's
     ``MulticlassMetrics``.
     """
+    df = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     n = df.select(F.count(F.lit(1))).scalar()
     support = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("support"))
     predicted = df.groupBy(F.col(prediction).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.sampling import hash_bucket, hash_split_flag
+from quarry.plans.strategies import broadcast_if_small
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -94,6 +95,53 @@ def naive_bayes_fit_score(
     return out.withColumn("prediction", best).drop(*[f"_s{i}" for i in range(k)], "_tot")
 
 
+def naive_bayes_sweep(
+    tf: DataFrame,
+    labels: DataFrame,
+    id_col: str,
+    label_col: str,
+    smoothings: Sequence[float],
+    seeds: Sequence[int],
+    fraction: float = 0.7,
+    value: str = "tf",
+) -> DataFrame:
+    """``(smoothing, seed, accuracy)`` of two-class multinomial naive Bayes for every smoothing
+    value on every hash split: the models of ``naive_bayes_fit_score``, and none is fitted (M15).
+
+    The smoothing enters a score only through the logarithms of a term's class sums, so one
+    table (seed, term) -> class sums, with the difference of the logarithms under each value as
+    an array, is joined with the test rows once.  A document's scores are as many sums as there
+    are values, in one aggregate.  ``label_col`` is 0 or 1, ``tf`` is (id, term, value); terms
+    that no training document has are left out, ties go to class 0, an empty test part has no
+    row.
+    """
+    grid = [float(x) for x in smoothings]
+    splits = F.explode(F.array(*[F.struct(F.lit(s).alias("seed"), hash_split_flag(id_col, s, fraction).alias("train")) for s in seeds]))
+    docs = labels.select(id_col, label_col, splits.alias("s")).select(id_col, label_col, "s.seed", "s.train")
+    train = tf.join(docs.where("train"), id_col)
+    one = F.col(label_col) == 1
+    total = lambda only: F.coalesce(F.sum(F.when(only, F.col(value))), F.lit(0)).cast("double")
+    per_term = train.groupBy("seed", "term").agg(total(~one).alias("n0"), total(one).alias("n1"))
+    gains = [F.log(F.col("n1") + F.lit(x)) - F.log(F.col("n0") + F.lit(x)) for x in grid]
+    known = per_term.select("seed", "term", F.array(*gains).alias("gain"))
+    size = per_term.groupBy("seed").agg(F.count(F.lit(1)).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
+    sizes = docs.where("train").groupBy("seed").agg(F.count_if(~one).alias("d0"), F.count_if(one).alias("d1")).join(size, "seed", "left")
+    test = tf.join(docs.where("not train").select(id_col, "seed"), id_col).join(known, ["seed", "term"])
+    sums = [F.sum(F.col(value) * F.get("gain", i)).alias(f"g{i}") for i in range(len(grid))]
+    scored = test.groupBy("seed", id_col).agg(F.sum(value).alias("length"), *sums)
+    found = docs.where("not train").join(scored, ["seed", id_col], "left").join(broadcast_if_small(sizes, len(seeds)), "seed")
+
+    def margin(i: int, x: float):
+        prior = F.log(F.col("d1") + F.lit(x)) - F.log(F.col("d0") + F.lit(x))
+        t0, t1, v = (F.coalesce(c, F.lit(0.0)) for c in ("t0", "t1", "v"))
+        base = F.log(t1 + F.lit(x) * v) - F.log(t0 + F.lit(x) * v)
+        return prior + F.coalesce(f"g{i}", F.lit(0.0)) - F.coalesce("length", F.lit(0)) * F.coalesce(base, F.lit(0.0))
+
+    right = [F.avg(((margin(i, x) > 0) == one).cast("double")).alias(f"a{i}") for i, x in enumerate(grid)]
+    rows = F.array(*[F.struct(F.lit(x).alias("smoothing"), F.col(f"a{i}").alias("accuracy")) for i, x in enumerate(grid)])
+    return found.groupBy("seed").agg(*right).select("seed", F.inline(rows)).select("smoothing", "seed", "accuracy")
+
+
 def naive_bayes_exact(
     tf: DataFrame, labels: DataFrame, id_col: str, label_col: str, classes: Sequence, smoothing: float = 1.0
 ) -> DataFrame:

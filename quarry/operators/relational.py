@@ -118,11 +118,6 @@ def filter_sentinel(df: DataFrame, col: str, sentinels: Sequence[str] = ("?", "0
     return df.where(~c.isin(*sentinels) & (F.length(F.trim(c)) > 0))
 
 
-def filter_not_in(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """``col`` not in a small literal set (F07); use a ``left_anti`` join for big sets."""
-    return df.where(~F.col(col).isin(*values))
-
-
 def sql_where(spark: SparkSession, df: DataFrame, where: str) -> DataFrame:
     """SQL ``WHERE`` over a DataFrame (F10, K05, P10): parsed by Spark, same plan."""
     return spark.sql(f"SELECT * FROM {{t}} WHERE {where}", t=df)
@@ -142,6 +137,10 @@ def self_join(df: DataFrame, on: Column, left_alias: str = "a", right_alias: str
     return df.alias(left_alias).join(df.alias(right_alias), on=on, how="inner")
 
 
+#: equal rows that one row is expanded to at most
+RUN_ROWS = 100_000
+
+
 # --- set operations -----------------------------------------------------------
 
 
@@ -174,10 +173,20 @@ def drop_duplicates_by(df: DataFrame, keys: Sequence[str], order: Sequence[str])
 def subtract_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Remove every left row that occurs on the right; keep the other duplicates.
 
-    Not ``EXCEPT`` (de-duplicates) and not ``exceptAll`` (multiset counts): a null-safe
-    ``left_anti`` join against the distinct right rows.
+    Not ``EXCEPT`` (de-duplicates) and not ``exceptAll`` (multiset counts).  Equal left rows
+    are collapsed to one row with their number before the null-safe ``left_anti`` join against
+    the distinct right rows, and spread out again behind it: a row that is half of the table is
+    one row of each map task in the shuffle.  Its repeats are cut into runs of
+    ``RUN_ROWS`` that are dealt out before they are expanded, so no task makes all of them.
     """
     cols = left.columns
-    r = right.select(*cols).distinct()
-    cond = [left[c].eqNullSafe(r[c]) for c in cols]
-    return left.join(r, on=cond, how="left_anti")
+    names = [f"c{i}" for i in range(len(cols))]  # columns may have any names
+    counted = left.toDF(*names).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    r = right.select(*cols).toDF(*names).distinct()
+    kept = counted.join(r, on=[counted[c].eqNullSafe(r[c]) for c in names], how="left_anti")
+    runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN_ROWS).cast("long"))
+    cut = kept.withColumn("run", F.explode(runs)).withColumn("size", F.least(F.lit(RUN_ROWS), F.col("n") - F.col("run") * RUN_ROWS))
+    few, many = cut.where(F.col("n") <= RUN_ROWS), cut.where(F.col("n") > RUN_ROWS)
+    dealt = many.repartition(F.hash(*names, "run"))
+    one = few.unionByName(dealt).withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("size"))))
+    return one.select(*names).toDF(*cols)

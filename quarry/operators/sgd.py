@@ -2,7 +2,7 @@
 
 With the features as columns and the weights as literals, one SGD iteration is one
 ``agg``: ``err = σ(w·x) - y`` (logistic) or ``w·x - y`` (linear), ``g_i = Σ err·x_i``,
-``n = count``; then ``w_i -= step / sqrt(t) · g_i / n``.  The driver keeps only the
+``n`` the number of rows with a gradient, that is without a null; then ``w_i -= step / sqrt(t) · g_i / n``.  The driver keeps only the
 ``d`` weights.  A mini-batch fraction is a hash sample of ``(row key, round, t)``,
 so a rerun draws the same rows.  This equals ``pyspark.mllib``'s
 ``LogisticRegressionWithSGD`` / ``LinearRegressionWithSGD`` without regularisation,
@@ -33,8 +33,10 @@ def predict(features: Sequence[str], weights: Sequence[float], loss: str) -> Col
 
 
 def _sample_flag(key: str | None, seed: int, t: int, fraction: float) -> Column:
-    if fraction >= 1.0 or key is None:
+    if fraction >= 1.0:
         return F.lit(True)
+    if key is None:
+        raise ValueError("a sample needs the rows' key")
     h = F.xxhash64(F.col(key), F.lit(seed), F.lit(t))
     return F.pmod(h, F.lit(1_000_000)) < F.lit(int(fraction * 1_000_000))
 
@@ -63,7 +65,7 @@ def sgd_steps(
     for t in range(1, iterations + 1):
         err = predict(features, w, loss) - F.col(label)
         part = df.where(_sample_flag(key, seed, t, fraction))
-        row = part.agg(F.count(F.lit(1)).alias("n"), *[F.sum(err * F.col(f)).alias(f"g{i}") for i, f in enumerate(features)]).first()
+        row = part.agg(F.count(err).alias("n"), *[F.sum(err * F.col(f)).alias(f"g{i}") for i, f in enumerate(features)]).first()
         n = row["n"]
         if n:
             lr = step / math.sqrt(t)

@@ -14,10 +14,12 @@ so the result stays distributed.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, StructField, StructType
 
 from quarry.plans.strategies import broadcast_if_small
 
@@ -33,11 +35,6 @@ def _cols(cols: Sequence[ColumnOrName] | ColumnOrName) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def sort_multi(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Multi-key sort with mixed directions (O01/O02): a distributed range sort."""
-    return df.orderBy(*order)
-
-
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows under ``order`` (O03): ``TakeOrderedAndProject``."""
     return df.orderBy(*order).limit(n)
@@ -46,12 +43,65 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def kth_largest(df: DataFrame, col: str, k: int, alias: str = "kth_value") -> DataFrame:
     """k-th largest value of ``col`` (T09); with fewer than k rows, the smallest.
 
-    Only ``k`` values per map task reach the final merge.
+    Only ``k`` values per map task reach the final merge, where all ``k`` meet in one task:
+    for a large ``k`` use ``kth_largest_selected``.
     """
     top = df.where(F.col(col).isNotNull()).select(col).orderBy(F.desc(col)).limit(k)
     return top.agg(F.min(col).alias(alias))
 
 
+#: bits that a pass of the selection settles: it counts rows in so many cells, which is all
+#: that a task or the driver holds
+DIGIT_BITS = 16
+
+
+def _ordered_bits(df: DataFrame, col: str) -> Column:
+    """A number as a long of the same order: integers as they are, others as the bits of the
+    double with negative ones turned around; -0.0 is 0.0, NaN comes above all others."""
+    if isinstance(df.schema[col].dataType, IntegralType):
+        return F.col(col).cast("long")
+    value = F.col(col).cast("double")
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.when(value == 0, F.lit(0.0)).otherwise(value))
+    bits = bits.cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def kth_largest_selected(df: DataFrame, col: str, k: int, alias: str = "kth_value") -> DataFrame:
+    """``kth_largest`` for any ``k``: exact selection by counting.
+
+    Each pass counts the rows that are still in question by the next ``DIGIT_BITS`` bits of
+    their value and goes on with the one cell that holds the k-th, so four aggregates of at most
+    65,536 rows settle 64 bits and no task ever holds ``k`` values.  With fewer than ``k`` rows
+    it is the smallest value, without rows null, as in ``kth_largest``.
+    """
+    if k < 1:
+        raise ValueError("k counts from 1")
+    spark, kind = df.sparkSession, df.schema[col].dataType
+    if not isinstance(kind, (IntegralType, DoubleType, FloatType)):
+        raise ValueError(f"{col!r} is no integer, float or double")
+    known = df.where(F.col(col).isNotNull()).select(_ordered_bits(df, col).bitwiseXOR(F.lit(-(1 << 63))).alias("u"))
+    prefix, left = 0, k
+    for done in range(0, 64, DIGIT_BITS):
+        rows = known.where(F.shiftrightunsigned("u", 64 - done) == prefix) if done else known
+        digit = F.shiftrightunsigned("u", 64 - done - DIGIT_BITS).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        cells = sorted((r.digit, r.n) for r in rows.groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if not cells:
+            return spark.createDataFrame([(None,)], StructType([StructField(alias, kind)]))
+        left = min(left, sum(n for _, n in cells))
+        for at, n in reversed(cells):
+            if left <= n:
+                break
+            left -= n
+        prefix = prefix << DIGIT_BITS | at
+    bits = prefix - (1 << 63)
+    if isinstance(kind, IntegralType):
+        value = F.lit(bits)
+    else:
+        raw = bits if bits >= 0 else bits ^ ((1 << 63) - 1)
+        value = F.lit(struct.unpack("<d", struct.pack("<q", raw))[0])
+    return spark.range(1).select(value.cast(kind).alias(alias))
+
+
 def top_n_within_group(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -3,6 +3,7 @@
 from quarry.plans import (  # noqa: F401
     q_aggregate,
     q_evaluate,
+    q_exact,
     q_facts,
     q_features,
     q_models,

@@ -106,6 +106,7 @@ select count(*) filter (where label = 1 and prediction = 1) as tp,
        count(*) as total,
        count(*) filter (where label = prediction) as correct,
        count(*) filter (where label <> prediction) as wrong,
+       count(*) filter (where label is null or prediction is null) as missing,
        round(count(*) filter (where label <> prediction) / count(*), 6) as wrong_ratio
 from s""",
     check="T",
@@ -126,6 +127,42 @@ def q_accuracy(spark, sf_dir):
     return a.select(F.round("accuracy", 6).alias("accuracy"))
 
 
+@query(
+    "evaluation_nulls",
+    "V02 V03 V05 V07",
+    f"""
+with r as (select case when l_tax = 0.08 then null else {SCORE_SQL} end as score,
+                  case when l_linenumber = 7 then null when l_returnflag = 'R' then 1 else 0 end as label from lineitem),
+s as (select * from r where score is not null and label is not null),
+g as (select score, sum(label)::bigint as pos, sum(1 - label)::bigint as neg from s group by score),
+c as (select *, sum(neg) over (order by score desc)::bigint as fp from g),
+t as (select sum(pos)::bigint as p_all, sum(neg)::bigint as n_all, count(*) as points from g)
+select (select round(sum(pos * ((n_all - fp) + neg * 0.5)) / any_value(p_all * n_all), 6) from c, t) as auc,
+       (select points + 2 from t) as roc_points,
+       (select count(*) from s) as total,
+       (select count(*) from s where label = (score >= {DECISION})::integer) as correct,
+       (select count(*) from r where score is null or label is null) as missing,
+       (select round(avg((label = (score >= {DECISION})::integer)::integer), 6) from s) as accuracy""",
+    check="T",
+)
+def q_evaluation_nulls(spark, sf_dir):
+    """Rows without a score or a label count in no metric."""
+    li = read_table(spark, sf_dir, "lineitem")
+    score = F.round(F.col("l_discount") * 10 + F.col("l_tax") * 5, 6) + F.lit(0.0)
+    label = F.when(F.col("l_linenumber") != 7, (F.col("l_returnflag") == "R").cast("int"))
+    s = li.select(F.when(F.col("l_tax") != 0.08, score).alias("score"), label.alias("label"))
+    p = s.withColumn("prediction", (F.col("score") >= DECISION).cast("int"))
+    counts = evaluate.confusion_counts(p, "label", "prediction")
+    return counts.select(
+        evaluate.area_under_roc(s, "score", "label").select(F.round("auc", 6)).scalar().alias("auc"),
+        evaluate.roc_curve(s, "score", "label").select(F.count(F.lit(1))).scalar().alias("roc_points"),
+        "total",
+        "correct",
+        "missing",
+        evaluate.accuracy(p, "label", "prediction").select(F.round("accuracy", 6)).scalar().alias("accuracy"),
+    )
+
+
 _RULE_SQL = "case when l_discount >= 0.07 then 'R' when l_tax >= 0.04 then 'A' else 'N' end"
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry.operators import features as fe
-from quarry.operators import text
+from quarry.operators import hashing, text
 from quarry.plans.registry import query
 from quarry.session import ensure_checkpoint_dir
 from quarry.tables import read_table
@@ -281,3 +281,42 @@ def q_ctr_features(spark, sf_dir):
         "l_orderkey", "l_linenumber", F.size(arr).alias("vec_size"),
         F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
     )
+
+
+def _place_sql(name: str, width: int) -> str:
+    return f"(('0x' || substr(md5({name}), 1, 12))::bigint % {width})::integer"
+
+
+def _sign_sql(name: str) -> str:
+    return f"case when ('0x' || substr(md5({name}), 13, 1))::integer % 2 = 1 then -1.0 else 1.0 end"
+
+
+@query(
+    "hashing_tf_sparse",
+    "E06",
+    f"""select doc_id, {_place_sql('term', hashing.WIDTH)} as index, count(*)::double as value
+        from (select doc_id, unnest({_TOKENS_SQL}) as term from documents) group by 1, 2""",
+)
+def q_hashing_tf_sparse(spark, sf_dir):
+    """Hashed term counts 500,000 wide, as the entries that are not zero."""
+    found = hashing.hashed_tokens(fe.whitespace_tokens("text"))
+    return _docs(spark, sf_dir).select("doc_id", F.inline(found))
+
+
+_HASHED_CATS, _HASHED_NUMS = ("o_custkey", "o_orderstatus", "o_orderpriority"), ("o_totalprice",)
+
+
+def _hashed_sql() -> str:
+    cats = [(f"'{c}=' || {c}", "1.0", c) for c in _HASHED_CATS]
+    nums = [(f"'{c}'", f"{c}::double", c) for c in _HASHED_NUMS]
+    rows = " union all ".join(
+        f"select o_orderkey, {_place_sql(name, hashing.WIDTH)} as index, {_sign_sql(name)} * {value} as value from orders where {c} is not null"
+        for name, value, c in cats + nums
+    )
+    return f"select o_orderkey, index, sum(value) as value from ({rows}) group by 1, 2 having sum(value) <> 0"
+
+
+@query("ctr_hashed", "E15 M09", _hashed_sql(), check="T")
+def q_ctr_hashed(spark, sf_dir):
+    """Signed hashing of categories of any width (here one value for each customer)."""
+    return hashing.entries(read_table(spark, sf_dir, "orders"), ["o_orderkey"], _HASHED_CATS, _HASHED_NUMS)

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import IndexToString, Tokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -24,10 +23,10 @@ from quarry.tables import read_table
 SGD_ITERATIONS = 50
 SGD_STEP = 1.0
 LR_ELASTIC = dict(max_iter=50, reg=0.01, elastic=0.01)
-LIN_ELASTIC = dict(maxIter=10, regParam=0.3, elasticNetParam=0.8)
 MLP_LAYERS = [100, 6, 5, 2]
 MLP_WORD2VEC_PARTITIONS = 8
 LDA_CONCENTRATION = 3.0
+SWEEP_SEEDS = (1, 2, 3)
 
 
 def _embeddings(spark, sf_dir):
@@ -45,14 +44,6 @@ def _labelled_docs(spark, sf_dir):
     return d.join(lab, "doc_id")
 
 
-def _lineitem_xy(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
-    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
-    df = li.select("l_orderkey", "l_linenumber", key.alias("row_key"), "l_quantity", "l_discount", "l_tax",
-                   F.col("l_extendedprice").alias("label"))
-    return VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(df)
-
-
 def _sgd_sql() -> str:
     """One chained step per iteration: gradient sums over the rows at the weights so far."""
     steps = [
@@ -117,22 +108,6 @@ def q_text_classify_lr(spark, sf_dir):
     return model.transform(counts.transform(test)).select("doc_id", "label", "prediction")
 
 
-@query("linear_elastic", "M04 M10")
-def q_linear_elastic(spark, sf_dir):
-    train, test = models.hash_split(_lineitem_xy(spark, sf_dir), "row_key", 0.7, 777)
-    model = LinearRegression(**LIN_ELASTIC).fit(train)
-    return model.transform(test).select(
-        "l_orderkey", "l_linenumber", "label", F.round("prediction", 1).alias("prediction")
-    )
-
-
-@query("model_coefficients", "M12")
-def q_model_coefficients(spark, sf_dir):
-    train, _ = models.hash_split(_lineitem_xy(spark, sf_dir), "row_key", 0.7, 777)
-    model = LinearRegression(**LIN_ELASTIC).fit(train)
-    return models.coefficients_frame(spark, ["l_quantity", "l_discount", "l_tax"], model)
-
-
 @query(
     "linear_ols",
     "M04",
@@ -287,35 +262,38 @@ def q_cross_validate(spark, sf_dir):
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, avg_auc double")
 
 
-@query("tvs", "M14 V14")
-def q_tvs(spark, sf_dir):
-    train, validation = models.hash_split(_lineitem_xy(spark, sf_dir), "row_key", 0.8, 42)
-    grid = [0.01, 0.1, 1.0]
-    scores = models.validated_sweep(
-        train, validation, [LinearRegression(maxIter=10, regParam=r) for r in grid], RegressionEvaluator(metricName="rmse"), 3
+def _sweep_sql() -> str:
+    """Every smoothing value and split scored directly from the class sums of its terms."""
+    splits = " union all ".join(
+        f"select doc_id, quality, {seed} as seed, {hash_split_sql('doc_id', seed, 0.7)} as train from lab" for seed in SWEEP_SEEDS
     )
-    return spark.createDataFrame(list(zip(grid, scores)), "reg_param double, rmse double")
-
-
-@query("nb_smoothing_sweep", "M15 A20 T10")
+    return _TF_SQL + f""",
+lab as (select l.doc_id, l.quality from labels l join documents d using (doc_id)),
+sp as ({splits}),
+pt as (select seed, term, coalesce(sum(tf) filter (where quality = 0), 0) as n0, coalesce(sum(tf) filter (where quality = 1), 0) as n1
+       from tf join sp using (doc_id) where train group by seed, term),
+sz as (select seed, count(*) as v, sum(n0) as t0, sum(n1) as t1 from pt group by seed),
+dc as (select seed, count(*) filter (where quality = 0) as d0, count(*) filter (where quality = 1) as d1 from sp where train group by seed),
+ls as (select round(i * 0.01, 2)::double as x from range(1, 101) r(i)),
+te as (select seed, doc_id, quality, tf, n0, n1 from sp join tf using (doc_id) join pt using (seed, term) where not train),
+sc as (select seed, doc_id, x, sum(tf * (ln(n1 + x) - ln(n0 + x))) as g, sum(tf) as len from te, ls group by seed, doc_id, x),
+ac as (select x, seed, avg(case when (ln(d1 + x) - ln(d0 + x) + coalesce(g, 0) - coalesce(len, 0) * (ln(t1 + x * v) - ln(t0 + x * v)) > 0)
+                                     = (quality = 1) then 1.0 else 0.0 end) as accuracy
+       from (select * from sp, ls where not train) left join sc using (seed, doc_id, x) join sz using (seed) join dc using (seed) group by x, seed)
+select x as smoothing, round(avg(accuracy), 9) as mean_accuracy from ac group by x"""
+
+
+@query("nb_smoothing_sweep", "M15 A20 T10", _sweep_sql(), check="T")
 def q_nb_smoothing_sweep(spark, sf_dir):
     """Mean accuracy of every smoothing value over three splits; vocabularies come from the
     training parts."""
-    docs = _tokens(_labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double")))
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
-    results = []
-    for seed in (1, 2, 3):
-        train, test = models.hash_split(docs, "doc_id", 0.7, seed)
-        vectoriser = fe.count_vectorizer_model(train, "filtered")
-        fit_on = vectoriser.transform(train).select("label", "counts").persist()
-        held = vectoriser.transform(test).select("label", "counts").persist()
-        estimators = [models.naive_bayes_ml(x) for x in models.SMOOTHING_GRID]
-        scores = models.validated_sweep(fit_on, held, estimators, accuracy, parallelism=8)
-        results += [(x, seed, score) for x, score in zip(models.SMOOTHING_GRID, scores)]
-        fit_on.unpersist()
-        held.unpersist()
-    trials = spark.createDataFrame(results, "smoothing double, seed int, accuracy double")
-    return trials.groupBy("smoothing").agg(F.avg("accuracy").alias("mean_accuracy")).orderBy(F.desc("mean_accuracy"))
+    docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", "quality")
+    ensure_checkpoint_dir(spark)
+    terms = fe.exploded_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
+    tf = fe.term_counts(terms, "doc_id").checkpoint()  # tokenised once
+    trials = models.naive_bayes_sweep(tf, docs.select("doc_id", "quality"), "doc_id", "quality", models.SMOOTHING_GRID, SWEEP_SEEDS)
+    mean = trials.groupBy("smoothing").agg(F.round(F.avg("accuracy"), 9).alias("mean_accuracy"))
+    return mean.orderBy(F.desc("mean_accuracy"), "smoothing")
 
 
 @query("ctr_gbt", "M17")

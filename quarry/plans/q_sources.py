@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quarry.operators import relational as rel
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources import files, parse, sinks
 from quarry.tables import read_table
 
+# Fixed value: the least number of partitions of the text scan.
+TEXT_PARTITIONS = 10
 _EVENT_COLS = ["event_id", "user_id", "event_type", "value", "props"]
 
 
@@ -61,7 +64,7 @@ def _line():
 def q_scan_text(spark, sf_dir):
     lines = read_table(spark, sf_dir, "events").select(_line().alias("value"))
     path = sinks.write_text(lines, scratch_path(spark, "text"))
-    return files.read_text(spark, path)  # a directory of part files
+    return files.read_text(spark, path, min_partitions=TEXT_PARTITIONS)  # a directory of part files
 
 
 @query(
@@ -73,6 +76,7 @@ def q_scan_csv(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     path = sinks.write_csv(c, scratch_path(spark, "csv"))
     back = files.read_csv(spark, path, header=True)  # every column a string
+    back = rel.positional_names(back, c.columns)
     return back.select(
         "c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").try_cast("double").alias("acctbal")
     )

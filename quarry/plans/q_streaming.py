@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions.sampling import hash_split_sql
 from quarry.plans.registry import query
 from quarry.session import scratch_path
-from quarry.streaming import online
+from quarry.streaming import joins, model_store, online, timed
 from quarry.streaming.sources import (
     file_stream,
     run_data_batches,
@@ -28,6 +28,12 @@ ACTIVITY_CODES = {"click": "1", "view": "2", "purchase": "4", "signup": "5", "er
 MISSING_K_FROM = 95
 SCORE_WEIGHTS = (0.01, 0.005, -0.02, 0.03)
 TEST_FRACTION, SPLIT_SEED = 0.3, 3
+#: a click is taken away by a purchase of the same user at most so far off
+SUBTRACT_WITHIN = "2 hours"
+END_OF_STREAM = "2100-01-01 00:00:00"
+LATER_WEIGHTS = (0.02, -0.004, 0.01, 0.05)
+UNCOMMITTED_WEIGHTS = (9.0, 9.0, 9.0, 9.0)
+BATCH_INTERVAL = "2 seconds"
 
 
 def _batch_of(ts):
@@ -203,3 +209,72 @@ def q_stream_linear(spark, sf_dir):
     landing, ck = scratch_path(spark, "linear-landing"), scratch_path(spark, "linear-ck")
     run_data_batches(df, "batch", landing, lambda s: s, learner, ck)
     return _weights_table(spark, learner)
+
+
+@query(
+    "stream_subtract",
+    "R05 R01",
+    """select l.event_id, l.user_id, l.ts from events l where l.event_type = 'click' and not exists (
+         select 1 from events r where r.event_type = 'purchase' and r.user_id is not distinct from l.user_id
+           and r.ts between l.ts - interval 2 hours and l.ts + interval 2 hours)""",
+)
+def q_stream_subtract(spark, sf_dir):
+    """Clicks without a purchase nearby: one stream less another, over two runs on one
+    checkpoint; the second run finds the later half of both streams and their end."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", _batch_of(F.col("ts")).alias("batch"))
+    clicks, purchases = (ev.where(F.col("event_type") == t).drop("event_type") for t in ("click", "purchase"))
+    folders = [scratch_path(spark, f"subtract-{side}") for side in ("left", "right")]
+    sink, ck = scratch_path(spark, "subtract-sink"), scratch_path(spark, "subtract-ck")
+    for later in (False, True):
+        for df, folder in zip((clicks, purchases), folders, strict=True):
+            part = df.where((F.col("batch") >= 2) == later)
+            if later:
+                part = part.unionByName(joins.closing_row(df, "ts", END_OF_STREAM).withColumn("batch", F.lit(9)))
+            part.write.mode("append").partitionBy("batch").parquet(folder)
+        left, right = (file_stream(spark, folder, clicks.schema) for folder in folders)
+        rest = joins.subtract_streams(left, right, ["user_id"], "ts", SUBTRACT_WITHIN)
+        run_to_sink(rest, sink, ck)
+    return spark.read.parquet(sink).where("event_id is not null").select("event_id", "user_id", "ts")
+
+
+def _latest_sql() -> str:
+    later = "0.0" + "".join(f" + x{i} * {w}" for i, w in enumerate(LATER_WEIGHTS, start=1))
+    return (
+        _ACTIVITY_SQL
+        + f""" select event_id, case when batch = 0 then 1 else 2 end as version,
+  round(case when batch = 0 then {_score_sql_expr()} else 1.0 / (1.0 + exp(-({later}))) end, 6) as prediction from a"""
+    )
+
+
+@query("stream_latest_weights", "R08 K02", _latest_sql(), check="T")
+def q_stream_latest_weights(spark, sf_dir):
+    """A scoring stream beside a writer of weights: it takes up the version that is committed
+    when a micro-batch begins, and never one that is only written."""
+    store = model_store.ModelStore(spark, scratch_path(spark, "latest-model"))
+    store.save(1, SCORE_WEIGHTS)
+    sink = scratch_path(spark, "latest-sink")
+    score = model_store.score_stream(store, ["x1", "x2", "x3", "x4"], ["key"], sink)
+
+    def learn_then_score(batch, batch_id):
+        if batch_id == 1:  # the learner has got on meanwhile
+            store.save(2, LATER_WEIGHTS)
+            store.write(3, UNCOMMITTED_WEIGHTS)
+        score(batch, batch_id)
+
+    landing, ck = scratch_path(spark, "latest-landing"), scratch_path(spark, "latest-ck")
+    run_data_batches(_activity_lines(spark, sf_dir), "batch", landing, online.activity_cleanse, learn_then_score, ck, fmt="text")
+    return spark.read.parquet(sink).select(F.col("key").alias("event_id"), "version", F.round("prediction", 6).alias("prediction"))
+
+
+@query(
+    "stream_timed",
+    "R12 R13",
+    _ACTIVITY_SQL + " select event_id, label, x1, x2, x3, x4 from a",
+)
+def q_stream_timed(spark, sf_dir):
+    """The cleansed activity of a stream that is triggered every two seconds and stopped after
+    two triggers that found nothing."""
+    stream = _activity_stream(spark, sf_dir, "timed").withColumnRenamed("key", "event_id").drop("batch")
+    sink, ck = scratch_path(spark, "timed-sink"), scratch_path(spark, "timed-ck")
+    timed.run_timed(timed.sink_writer(stream, sink, ck), BATCH_INTERVAL, quiet=2)
+    return spark.read.parquet(sink)

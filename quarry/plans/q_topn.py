@@ -197,6 +197,19 @@ def q_kth_largest(spark, sf_dir):
     return topn.kth_largest(read_table(spark, sf_dir, "lineitem"), "l_extendedprice", 2000)
 
 
+@query(
+    "kth_largest_half",
+    "T09",
+    """
+select l_extendedprice as kth_value from lineitem where l_extendedprice is not null
+order by l_extendedprice desc limit 1 offset (select count(l_extendedprice) // 2 - 1 from lineitem)""",
+)
+def q_kth_largest_half(spark, sf_dir):
+    """The largest value that half of the rows reach, by counting passes."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return topn.kth_largest_selected(li, "l_extendedprice", li.where("l_extendedprice is not null").count() // 2)
+
+
 @query(
     "sort_multi",
     "O01",

@@ -1,9 +1,8 @@
 """File sources: JSON, text, CSV and LibSVM scans.
 
 Production reads should pass an explicit schema; inference is kept for parity with
-the reference and costs an extra pass (``samplingRatio`` limits it).  Partition
-hints (``minPartitions`` in the reference) map to Spark's file-split settings and
-AQE, so they are session configuration, not arguments.
+the reference and costs an extra pass (``samplingRatio`` limits it).  Splits of files follow
+the session's ``spark.sql.files.*`` settings; ``read_text`` takes a minimum beside them.
 """
 
 from __future__ import annotations
@@ -47,9 +46,15 @@ def infer_json_schema(df: DataFrame, col: str, sampling_ratio: float = 1.0) -> S
 def json_from_lines(df: DataFrame, col: str, schema: StructType | str | None = None) -> DataFrame:
     """Parse JSON text held in a column (S03); fields become top-level columns.
 
-    Malformed values give null fields (``PERMISSIVE``), never an error.
+    Malformed values give null fields (``PERMISSIVE``), never an error.  A field with the name
+    of a column that stays (case aside, as Spark resolves names) is an error that says which.
     """
     schema = schema or infer_json_schema(df, col)
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    kept = {c.lower() for c in df.columns if c != col}
+    clash = sorted(f.name for f in fields.fields if f.name.lower() in kept)
+    if clash:
+        raise ValueError(f"JSON fields and columns share the names {clash}; rename or drop the columns")
     parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"})
     keep = [c for c in df.columns if c != col]
     return df.select(*keep, parsed.alias("_j")).select(*keep, "_j.*")
@@ -60,9 +65,16 @@ def json_prefiltered(df: DataFrame, col: str, contains: str, schema: StructType
     return json_from_lines(df.where(F.col(col).contains(contains)), col, schema)
 
 
-def read_text(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
-    """Text lines (S05, S07 directory, S08 typed strings): one ``value`` column."""
-    return spark.read.option("wholetext", str(whole_text).lower()).text(path)
+def read_text(spark: SparkSession, path: str, whole_text: bool = False, min_partitions: int | None = None) -> DataFrame:
+    """Text lines (S05, S07 directory, S08 typed strings): one ``value`` column.
+
+    ``min_partitions`` (S06): a scan that its files and the session's settings cut into fewer
+    parts is dealt out once, by rows; one that has as many or more stays as it is.
+    """
+    lines = spark.read.option("wholetext", str(whole_text).lower()).text(path)
+    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
+        return lines.repartition(min_partitions)
+    return lines
 
 
 def read_csv(

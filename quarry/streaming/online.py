@@ -25,12 +25,24 @@ from quarry.operators import sgd
 
 # Activity codes kept and their 0/1 labels.
 KEEP_CODES = {"4": 0.0, "5": 1.0}
+_READ = [f"{c} is not null" for c in ("key", "x1", "x2", "x3", "x4")]
 
 
 def activity_cleanse(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Drop lines with ``Nan``, split on spaces, drop code ``0`` (field 1), keep fields
     1, 2, 4, 5, 6, keep codes 4 / 5 relabelled 0 / 1; field 0 is the row key (R03, B7).
-    ``keep`` columns pass through unchanged."""
+    ``keep`` columns pass through unchanged.  Lines whose key or readings are no numbers, or
+    missing, are left to ``activity_rejects``."""
+    return _activity(lines, col, keep).where(" and ".join(_READ))
+
+
+def activity_rejects(lines: DataFrame, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` and the lines with a code to be kept that ``activity_cleanse`` cannot read."""
+    passed = list(dict.fromkeys([*keep, col]))
+    return _activity(lines, col, passed).where(f"not ({' and '.join(_READ)})").select(*passed)
+
+
+def _activity(lines: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:
     f = F.split(F.col(col), " ")
     kept = lines.where(~F.col(col).contains("Nan")).select(*keep, f.alias("f")).where(F.get("f", 1) != "0")
     code = F.get("f", 1)
@@ -102,7 +114,7 @@ class OnlineSGD:
             scored = data.select(self.key, self.label, pred.alias("prediction"))
             scored.write.mode("overwrite").parquet(f"{self.predictions_path}/batch_id={batch_id}")
             # the batch id is the partition folder, not a data column
-            metrics = data.agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"))
+            metrics = data.agg(F.count(err).alias("n"), F.avg(err * err).alias("mse"))
             metrics.write.mode("overwrite").parquet(f"{self.metrics_path}/batch_id={batch_id}")
             n = spark.read.parquet(f"{self.metrics_path}/batch_id={batch_id}").first()["n"]
             if n:

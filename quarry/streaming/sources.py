@@ -12,6 +12,7 @@ batch interval and returns it running.  There is no time limit unless the caller
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,14 +55,23 @@ def run_data_batches(
 ) -> None:
     """One micro-batch per data batch, whatever the number of files.
 
-    The rows of each value of ``batch_col`` land in ascending order, and after each landing
-    the stream (``build`` over the folder) runs once from the same checkpoint.
+    The input is written once, partitioned by ``batch_col``, beside the landing folder; its
+    folders are then moved into it one at a time, in ascending order of the value, and after
+    each the stream (``build`` over the landing folder) runs once from the same checkpoint.
     """
     spark = df.sparkSession
-    for (value,) in df.select(batch_col).distinct().orderBy(batch_col).collect():  # one row a batch
-        part = df.where(F.col(batch_col).eqNullSafe(F.lit(value)))
-        writer = part.write.mode("append").partitionBy(batch_col)
-        writer.text(landing) if fmt == "text" else writer.format(fmt).save(landing)
+    staged = f"{landing.rstrip('/')}-staged"
+    stage_batches(df, staged, batch_col, fmt)
+    values = spark.read.format(fmt).schema(df.schema).load(staged).select(batch_col).distinct().orderBy(batch_col)
+    names = [r[0] for r in values.select(F.col(batch_col).cast("string")).collect()]  # one row a batch
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = {unquote(s.getPath().getName().partition("=")[2]): s.getPath() for s in fs.listStatus(path(staged)) if s.isDirectory()}
+    fs.mkdirs(path(landing))
+    for name in names:
+        folder = folders["__HIVE_DEFAULT_PARTITION__" if name is None else name]
+        if not fs.rename(folder, path(f"{landing.rstrip('/')}/{folder.getName()}")):
+            raise RuntimeError(f"{folder} could not be moved into {landing}")
         run_foreach_batch(build(file_stream(spark, landing, df.schema, fmt)), fn, checkpoint)
 
 
