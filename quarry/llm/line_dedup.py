@@ -295,10 +295,10 @@ def _first_segment(a: Column, b: Column, k: int) -> Column:
 
 
 def _wanted(lines: DataFrame, ids: DataFrame, near_chars: int) -> DataFrame:
-    """(id, line) of the lines with one of the ``ids``, written out."""
+    """(id, line) of the lines with one of the ``ids`` (each once in the filter), written out."""
     long_lines = lines.select("line").where(F.char_length("line") >= near_chars)
     named = long_lines.withColumn("id", F.xxhash64("line"))
-    return named.where(may_contain(bloom(ids, "id"), F.col("id"))).distinct().checkpoint()
+    return named.where(may_contain(bloom(ids.distinct(), "id"), F.col("id"))).distinct().checkpoint()
 
 
 def _pair_links(met: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
