@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quarry.operators import cooccurrence, hashing, text
 from quarry.operators import features as fe
-from quarry.operators import hashing, text
 from quarry.plans.registry import query
 from quarry.session import ensure_checkpoint_dir
 from quarry.tables import read_table
@@ -320,3 +320,46 @@ def _hashed_sql() -> str:
 def q_ctr_hashed(spark, sf_dir):
     """Signed hashing of categories of any width (here one value for each customer)."""
     return hashing.entries(read_table(spark, sf_dir, "orders"), ["o_orderkey"], _HASHED_CATS, _HASHED_NUMS)
+
+
+# Places apart, shift, and steps of the co-occurrence factor.
+_WINDOW, _SHIFT, _STEPS = 2, 2.0, 4
+
+_PAIRS_SQL = f"""with tk as (select doc_id, {_TOKENS_SQL} as t from documents),
+pl as (select doc_id, unnest(t) as w, generate_subscripts(t, 1) as i from tk),
+pc as (select least(a.w, b.w) as u, greatest(a.w, b.w) as v, count(*) as n from pl a
+       join pl b on b.doc_id = a.doc_id and b.i between a.i + 1 and a.i + {_WINDOW} group by 1, 2)"""
+
+
+@query("pair_counts", "E08", _PAIRS_SQL + " select u, v, n from pc")
+def q_pair_counts(spark, sf_dir):
+    return cooccurrence.pair_counts(_docs(spark, sf_dir), fe.whitespace_tokens("text"), _WINDOW)
+
+
+def _factor_sql() -> str:
+    """One CTE a step of the power iteration with one direction."""
+    start = "(('0x' || substr(md5('0|' || u), 1, 8))::bigint % 2001) / 1000.0 - 1.0"
+    parts = [
+        _PAIRS_SQL,
+        """cs as (select u, v, case when u = v then 2 * n else n end as n from pc union all select v, u, n from pc where u <> v),
+ma as (select u, sum(n) as a from cs group by u), tot as (select sum(a) as total from ma)""",
+        f"""mi as materialized (select cs.u, cs.v, ln(cs.n::double * total / x.a / y.a) - ln({_SHIFT}) as value
+       from cs join ma x on x.u = cs.u join ma y on y.u = cs.v, tot where ln(cs.n::double * total / x.a / y.a) - ln({_SHIFT}) > 0)""",
+        f"r0 as (select u, ({start})::double as x from (select distinct u from mi))",
+    ]
+    for t in range(_STEPS + 1):
+        parts.append(f"q{t} as materialized (select u, x / sqrt((select sum(x * x) from r{t})) as x from r{t})")
+        parts.append(f"r{t + 1} as materialized (select mi.u, sum(value * x) as x from mi join q{t} q on q.u = mi.v group by mi.u)")
+    parts.append(f"la as (select sqrt(abs(sum(q.x * r.x))) as s from q{_STEPS} q join r{_STEPS + 1} r on r.u = q.u)")
+    return ",\n".join(parts) + f"""
+select doc_id, count(*) as n, round(avg(x * s), 6) as weight from pl join q{_STEPS} q on q.u = pl.w, la group by doc_id"""
+
+
+@query("document_word_weights", "E08 M06", _factor_sql(), check="T")
+def q_document_word_weights(spark, sf_dir):
+    """The mean over a document's words of their weight in the leading factor."""
+    docs, tokens = _docs(spark, sf_dir), fe.whitespace_tokens("text")
+    matrix = cooccurrence.mutual_information(cooccurrence.pair_counts(docs, tokens, _WINDOW), _SHIFT)
+    vectors = cooccurrence.word_vectors(matrix, 1, _STEPS)
+    means = cooccurrence.document_means(docs, "doc_id", tokens, vectors, 1)
+    return means.select("doc_id", "n", F.round(F.get("x", 0), 6).alias("weight"))
