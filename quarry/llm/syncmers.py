@@ -21,7 +21,8 @@ of ids whose bounds are quantiles, and the first document of a range is also sen
 of the range before.  Texts travel once, compressed; a task holds one document and its
 successor at a time.
 
-Edge cases: a text shorter than k characters has one anchor, the whole text; a null text is
+Edge cases: a text shorter than k characters, or without a chosen k-mer, has one anchor, the
+whole text; a null text is
 an empty text and has none (fingerprint ""): like another empty text (1), unlike any other
 (0).  Null ids come before all others; equal ids are ordered by a hash of the text; repeated
 rows follow each other.  Ids are longs: they are cast, and one that is no number is an error.
@@ -59,6 +60,15 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _whole(wide: np.ndarray) -> np.ndarray:
+    """One anchor for a whole short text."""
+    h = np.uint64(len(wide))
+    with np.errstate(over="ignore"):
+        for c in wide:
+            h = h * _MULTIPLIER + c
+    return (_mix(np.array([h])) >> np.uint64(32)).astype(np.uint32)
+
+
 def _anchors_in(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions and 32-bit hashes of the closed syncmers of one run of code points."""
     n = len(codes)
@@ -66,11 +76,7 @@ def _anchors_in(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarr
         return np.empty(0, np.int64), np.empty(0, np.uint32)
     wide = codes.astype(np.uint64) + np.uint64(1)
     if n < k:
-        h = np.uint64(n)
-        with np.errstate(over="ignore"):
-            for c in wide:
-                h = h * _MULTIPLIER + c
-        return np.zeros(1, np.int64), (_mix(np.array([h])) >> np.uint64(32)).astype(np.uint32)
+        return np.zeros(1, np.int64), _whole(wide)
     small = np.zeros(n - s + 1, np.uint64)
     for i in range(s):
         small = small * _MULTIPLIER + wide[i : i + len(small)]
@@ -114,8 +120,11 @@ def _numbered(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: str, k: int = K, s: int = S, size: int | None = None) -> np.ndarray:
-    """All anchors in order of position; with ``size`` the smallest different hashes."""
+    """All anchors in order of position; with ``size`` the smallest different hashes.  A text
+    of which no k-mer is chosen (its length is near k then) has one anchor, the whole text."""
     h = syncmers(text, k, s)[1]
+    if text and not len(h):
+        h = _whole(_codes(text).astype(np.uint64) + np.uint64(1))
     return _numbered(h) if size is None else np.unique(h)[:size]
 
 

@@ -178,8 +178,13 @@ def test_likeness_is_the_share_in_common():
     assert syncmers.likeness(syncmers.sketch(""), syncmers.sketch("")) == 1
 
 
+def hashes(text):
+    """The anchors of a text: where no k-mer is chosen, the whole text."""
+    return syncmers.syncmers(text)[1].tolist() or ([int(h) for h in syncmers.syncmers(text, len(text) + 1)[1]] if text else [])
+
+
 def whole_share(a, b):
-    x, y = (Counter(syncmers.syncmers(t)[1].tolist()) for t in (a, b))
+    x, y = (Counter(hashes(t)) for t in (a, b))
     return 2 * (x & y).total() / (x.total() + y.total())
 
 
@@ -205,7 +210,7 @@ def brute_in_order(a, b):
     places = []
     for text in (a, b):
         seen, at = Counter(), {}
-        for i, h in enumerate(syncmers.syncmers(text)[1].tolist()):
+        for i, h in enumerate(hashes(text)):
             at[h, seen[h]] = i
             seen[h] += 1
         places.append(at)
@@ -233,7 +238,7 @@ def test_moved_blocks_score_below_kept_order():
 def own_digest(text):
     """The fingerprint, from the anchors one by one."""
     seen, digest = Counter(), hashlib.sha256()
-    for h in syncmers.syncmers(text)[1].tolist():
+    for h in hashes(text):
         digest.update(h.to_bytes(4, "big") + seen[h].to_bytes(4, "big"))
         seen[h] += 1
     return digest.hexdigest() if seen else ""
