@@ -14,18 +14,22 @@ groups.
 2. Equal sets are one row from here on (128-bit digest), so exact copies cost nothing more.
 3. **Banding**: ``rows`` coordinates make a band, whose hash is a bucket.  A pair at the
    threshold misses all ``bands`` with probability ``(1 - similarity ** rows) ** bands``
-   (8e-14 at 0.8); a setting that misses more than one in 1e9 is refused.  One bit of each
-   coordinate makes a 128-bit code; a pair whose codes differ in more than ``apart`` bits is
-   no candidate (4e-12 of the pairs at 0.8 do).
+   (2e-10 at 0.8); a setting that misses more than one in 1e9 is refused.  One bit of each of
+   the first 128 coordinates makes a code; a pair whose codes differ in more than ``apart``
+   bits is no candidate (4e-12 of the pairs at 0.8 do).
 4. **Stars**: a bucket's rows are compared with its first one, never with each other, so a
    bucket of n near copies gives n - 1 candidates.  Buckets that hold over a thousandth of all
    rows are split, and the first rows of their parts are compared in a second star.
 5. **Verification** counts common and different shingles of the two texts themselves.
 6. **Rest**: only buckets whose rows fall into several components after that can hold links
    that were not looked at.  There the rows outside the first row's component are compared
-   with all others in blocks; each row proposes its nearest partners of other components, a
-   few in the first wave and all that are left in the last, and each wave is verified and
-   joined before the next.  So no link is lost, and a bucket whose rows are linked costs
+   with all others in blocks, by two bits of every coordinate: a pair with more than ``far``
+   different ones is no candidate (8e-11 of the pairs at 0.8, while of the pairs at 0.45, such
+   as documents with a passage in common, one in a thousand stays), and by what both are known
+   to share with the bucket's first row, from which it follows exactly how much they can share
+   at most (``_bound``).  Each row proposes its
+   nearest partners of other components, a few in the first wave and all that are left in the
+   last, and each wave is verified and joined before the next.  So no link is lost, and a bucket whose rows are linked costs
    nothing more than its star.
 
 Defined results: a text without words, empty or null, has an empty set and is a group of its
@@ -52,8 +56,8 @@ from quarry.llm.sketch import bloom, may_contain
 from quarry.session import scratch_path
 
 SHINGLE, PERCENT = 5, 80
-BINS, ROWS, BANDS = 128, 3, 42
-APART = 42
+BINS, ROWS, BANDS = 256, 4, 42
+CODE_BITS, APART, FAR = 128, 42, 82
 MISS = 1e-9
 PARTS = 64
 #: partners a row may propose up to, wave by wave
@@ -145,18 +149,33 @@ def bands_of(sketch: np.ndarray, rows: int, bands: int) -> np.ndarray:
 
 
 def codes_of(sketch: np.ndarray) -> np.ndarray:
-    """One bit of each coordinate, as two numbers a sketch."""
-    bits = np.packbits((_mix(sketch) & np.uint64(1)).astype(np.uint8), axis=1)
+    """One bit of each of the first coordinates, as two numbers a sketch."""
+    bits = np.packbits((_mix(sketch[:, :CODE_BITS]) & np.uint64(1)).astype(np.uint8), axis=1)
     return np.ascontiguousarray(bits).view("<u8")
 
 
+def marks_of(sketch: np.ndarray) -> np.ndarray:
+    """Two bits of each coordinate, as bytes."""
+    two = (_mix(sketch) & np.uint64(3)).astype(np.uint8).reshape(len(sketch), -1, 4)
+    return two[:, :, 0] | two[:, :, 1] << 2 | two[:, :, 2] << 4 | two[:, :, 3] << 6
+
+
+def marks_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many coordinates the marks (rows of numbers) differ, for all pairs."""
+    out = np.zeros((len(a), len(b)), np.int16)
+    for w in range(a.shape[1]):
+        differ = a[:, w, None] ^ b[None, :, w]
+        out += np.bitwise_count((differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)).astype(np.int16)
+    return out
+
+
 # ---- sets and buckets ------------------------------------------------------------------
 
 
 def _sets(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, rid, text, n, sid, b0, b1, bands): every row of ``docs``, written once."""
+    """(doc_id, text, rid, n, sid, b0, b1, marks, bands): every row of ``docs``, written once."""
     kept_type = docs.schema[doc_id].dataType.simpleString()
-    names = ["doc_id", "text", "rid", "n", "sid", "b0", "b1", "bands"]
+    names = ["doc_id", "text", "rid", "n", "sid", "b0", "b1", "marks", "bands"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
@@ -165,7 +184,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, bands:
             sketch = sketches([sets[i][:, 0] for i in full])
             code, band = codes_of(sketch), bands_of(sketch, rows, bands).view(np.int64)
             at = {i: j for j, i in enumerate(full)}
-            code = code.view(np.int64).reshape(-1, BINS // 64)
+            code, marks = code.view(np.int64).reshape(-1, CODE_BITS // 64), marks_of(sketch)
             cells = [[None if i not in at else int(code[at[i], c]) for i in range(len(sets))] for c in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -173,13 +192,14 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, bands:
                     pa.array([len(h) for h in sets], pa.int64()),
                     pa.array([set_digest(h) if len(h) else None for h in sets], pa.binary()),
                     *(pa.array(c, pa.int64()) for c in cells),
+                    pa.array([marks[at[i]].tobytes() if i in at else None for i in range(len(sets))], pa.binary()),
                     pa.array([band[at[i]] if i in at else None for i in range(len(sets))], pa.list_(pa.int64())),
                 ],
                 names,
             )
 
     own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("rid", F.monotonically_increasing_id())
-    shape = f"doc_id {kept_type}, text string, rid long, n long, sid binary, b0 long, b1 long, bands array<bigint>"
+    shape = f"doc_id {kept_type}, text string, rid long, n long, sid binary, b0 long, b1 long, marks binary, bands array<bigint>"
     path = scratch_path(docs.sparkSession, "sets")
     own.mapInArrow(measure, shape).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
@@ -272,7 +292,13 @@ def _star_pairs(buckets: DataFrame, apart: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are as similar as asked, by the texts themselves.
+    """The pairs (a, b) whose sets are as similar as asked, by the texts themselves."""
+    return _compared(pairs, sets, size, percent).where("linked").select("a", "b")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, size: int, percent: int, every: bool = False) -> DataFrame:
+    """(a, b, common, linked): how many shingles the two texts share, and whether that is
+    enough; without ``every`` pairs that sizes alone rule out are left out.
 
     An ``a`` in very many pairs is split over ``PARTS`` parts, each with its text once.
     """
@@ -282,7 +308,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
     pairs = spark.read.parquet(path)
     n = pairs.count()
     if not n:
-        return pairs.select("a", "b")
+        return pairs.select("a", "b", F.lit(0).cast("long").alias("common"), F.lit(False).alias("linked"))
     ids = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid")))
     log2 = min(27, max(16, (16 * n).bit_length()))
     wanted = scratch_path(spark, "pair-texts")
@@ -290,34 +316,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
     texts = spark.read.parquet(wanted)
     right = pairs.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("tb"), F.col("n").alias("nb")), "b")
     left = pairs.select("a", "part").distinct().join(texts.select(F.col("rid").alias("a"), F.col("text").alias("ta"), F.col("n").alias("na")), "a")
-    # sizes alone rule a pair out if the smaller set is too small
-    both = right.join(left, ["a", "part"]).where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    both = right.join(left, ["a", "part"])
+    if not every:
+        both = both.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, set()
         for b in parts(batches):
-            good = []
+            shared, good = [], []
             for a, ta, tb in zip(b.column("a").to_pylist(), b.column("ta"), b.column("tb"), strict=True):
                 if a != last:
                     last, own = a, shingles(ta.as_py(), size)
                 other = shingles(tb.as_py(), size)
                 common = len(own & other)
+                shared.append(common)
                 good.append(100 * common >= percent * (len(own) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(shared, pa.int64()), pa.array(good, pa.bool_())], ["a", "b", "common", "linked"])
 
     out = scratch_path(spark, "links")
-    texts_to_python(both).select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").write.parquet(out)
+    texts_to_python(both).select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long, common long, linked boolean").write.parquet(out)
     return spark.read.parquet(out)
 
 
 # ---- what stars leave open -------------------------------------------------------------
 
 
-_ROW = ["rid", "b0", "b1", "center", "own"]
+_ROW = ["rid", "marks", "n", "common", "center", "own"]
 
 
 def _cells(open_rows: DataFrame, block: int) -> DataFrame:
-    """``open_rows`` (key, rid, code, center, outside) dealt into cells (key, part, block): the
+    """``open_rows`` (key, rid, marks, center, outside) dealt into cells (key, part, block): the
     rows outside are at home in their block, for every part; every row visits all blocks, one
     outside those up to its own (part -1), any other in its part."""
     sizes = open_rows.groupBy("key").agg(F.count_if("outside").alias("outer"), F.count_if(~F.col("outside")).alias("inner"))
@@ -331,44 +359,63 @@ def _cells(open_rows: DataFrame, block: int) -> DataFrame:
     visits = F.transform(F.sequence(F.lit(0), own), lambda j: at(F.lit(-1), j, True))
     inner = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: at(part, j, True))
     to = F.when(F.col("outside"), F.concat(homes, visits)).otherwise(inner)
-    return placed.select("key", F.explode(to).alias("to"), "rid", "b0", "b1", "center", own.alias("own")).select("key", "to.*", *_ROW)
+    return placed.select("key", F.explode(to).alias("to"), "rid", "marks", "n", "common", "center", own.alias("own")).select("key", "to.*", *_ROW)
+
+
+_PLACE = ["key", "part", "block", "visits", "rid", "center", "own", "root", "n", "common"]
+
+
+def _bound(v: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most shingles that a visitor and a home can share, and the sum of their sizes.
+
+    What they share inside the first row's set is in both of their shares of it, what they
+    share outside is in both of their rests.  A share that is not known (below 0), or of
+    another first row, says nothing: the smaller size is the bound.
+    """
+    nv, mv, nh, mh = v[8][:, None], v[9][:, None], h[8][None, :], h[9][None, :]
+    most = np.minimum(mv, mh) + np.minimum(nv - mv, nh - mh)
+    known = (mv >= 0) & (mh >= 0) & (v[5][:, None] == h[5][None, :])
+    return np.where(known, most, np.minimum(nv, nh)), nv + nh
 
 
-def _proposals(apart: int, low: int, high: int):
+def _proposals(far: int, percent: int, low: int, high: int):
     """Pairs of different components in each cell of a sorted partition: of a visitor's near
     homes, nearest first, those of rank ``low`` to ``high``; a row (-1, -1) if more are left."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, homes, more = None, None, False
+        cell, more = None, False
+        homes, home_marks = np.empty((len(_PLACE), 0), np.int64), np.empty((0, 2 * BINS // 64), np.uint64)
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "part", "block", "visits", *_ROW, "root")])
+            x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _PLACE])
+            marks = np.frombuffer(b"".join(b.column("marks").to_pylist()), "<u8").reshape(x.shape[1], -1)
             at = np.nonzero(_starts(*x[:4]))[0]
             a, c = [], []
             for s, e in zip(at, np.append(at[1:], x.shape[1]), strict=True):
                 if cell != (now := tuple(x[:3, s])):
-                    cell, homes = now, np.empty((10, 0), np.int64)
+                    cell, homes, home_marks = now, homes[:, :0], home_marks[:0]
                 if not x[3, s]:
-                    homes = np.concatenate([homes, x[:, s:e]], axis=1)
+                    homes, home_marks = np.concatenate([homes, x[:, s:e]], axis=1), np.concatenate([home_marks, marks[s:e]])
                     continue
-                step = max(1, (1 << 20) // max(1, homes.shape[1]))
-                for i in range(s, e, step):
+                rid, center, root = homes[4], homes[5], homes[7]
+                step = max(1, (1 << 20) // max(1, len(rid)))
+                for i in range(s, e if len(rid) else s, step):
                     v = x[:, i : min(i + step, e)]
-                    if not homes.shape[1]:
-                        break
-                    bits = sum(np.bitwise_count((v[r][:, None] ^ homes[r][None, :]).view(np.uint64)).astype(np.int16) for r in (5, 6))
-                    near = (bits <= apart) & (v[4][:, None] != homes[4][None, :])
-                    near &= (v[7][:, None] != homes[4][None, :]) & (v[4][:, None] != homes[7][None, :])  # stars have been looked at
+                    differ = marks_apart(marks[i : min(i + step, e)], home_marks)
+                    near = (differ <= far) & (v[4][:, None] != rid)
+                    most, sizes = _bound(v, homes)
+                    near &= 100 * most >= percent * (sizes - most)
+                    near &= (v[5][:, None] != rid) & (v[4][:, None] != center)  # stars have been looked at
                     if cell[1] < 0:
-                        near &= (v[8] != cell[2])[:, None] | (v[4][:, None] < homes[4][None, :])  # each pair once
+                        near &= (v[6] != cell[2])[:, None] | (v[4][:, None] < rid)  # each pair once
                     for k in np.nonzero(near.any(axis=1))[0]:
                         found = np.nonzero(near[k])[0]
-                        found = found[np.lexsort((homes[4][found], bits[k][found]))]
-                        more |= bool((homes[9][found[high:]] != v[9][k]).any())
+                        found = found[np.lexsort((rid[found], differ[k][found]))]
+                        more |= bool((root[found[high:]] != v[7][k]).any())
                         found = found[low:high]
-                        found = found[homes[9][found] != v[9][k]]
-                        a += homes[4][found].tolist()
+                        found = found[root[found] != v[7][k]]
+                        a += rid[found].tolist()
                         c += [int(v[4][k])] * len(found)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
@@ -389,14 +436,18 @@ def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(roots, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
 
 
-def _rest(buckets: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, size: int, percent: int, apart: int, block: int) -> DataFrame:
+def _rest(buckets: DataFrame, stars: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFrame, size: int, percent: int, far: int, block: int) -> DataFrame:
     """The roots after the links that stars did not look at."""
     spark = buckets.sparkSession
     marked = _labelled(buckets, roots)
     first = F.min(F.struct("rid", "root")).getField("root").alias("first")
     state = marked.groupBy("key").agg(first, F.min("root").alias("low"), F.max("root").alias("high"))
     several = state.where("low < high").select("key", "first")
-    open_rows = marked.join(several, "key").select("key", "rid", "b0", "b1", "center", (F.col("root") != F.col("first")).alias("outside"))
+    open_rows = marked.join(several, "key").select("key", "rid", "center", (F.col("root") != F.col("first")).alias("outside"))
+    shares = stars.select(F.col("a").alias("center"), F.col("b").alias("rid"), "common")
+    open_rows = open_rows.join(sets.select("rid", "marks", "n"), "rid").join(shares, ["center", "rid"], "left")
+    own = F.when(F.col("rid") == F.col("center"), F.col("n")).otherwise(F.lit(-1))
+    open_rows = open_rows.withColumn("common", F.coalesce("common", own))
     path = scratch_path(spark, "cells")
     _cells(open_rows, block).write.parquet(path)
     cells, low = spark.read.parquet(path), 0
@@ -405,7 +456,7 @@ def _rest(buckets: DataFrame, links: DataFrame, roots: DataFrame, sets: DataFram
             _labelled(cells, roots)
             .repartition("key", "part", "block")
             .sortWithinPartitions("key", "part", "block", "visits", "rid")
-            .mapInArrow(_proposals(apart, low, high), "a long, b long")
+            .mapInArrow(_proposals(far, percent, low, high), "a long, b long")
         )
         path = scratch_path(spark, "proposals")
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().write.parquet(path)
@@ -438,8 +489,9 @@ def _grouped(
     same = spark.read.parquet(path)
     firsts = sets.join(same.select(F.col("rep").alias("rid")), "rid", "left_semi")
     buckets = _buckets(firsts.select("rid", "b0", "b1", "bands"), same.count() * bands)
-    links = _verified(_star_pairs(buckets, apart), sets, shingle, percent)
-    roots = _rest(buckets, links, _roots(links), sets, shingle, percent, apart, block)
+    stars = _compared(_star_pairs(buckets, apart), sets, shingle, percent, every=True)
+    links = stars.where("linked").select("a", "b")
+    roots = _rest(buckets, stars, links, _roots(links), sets, shingle, percent, FAR, block)
     named = _labelled(same.withColumnRenamed("rep", "rid"), roots)
     best = named.groupBy("root").agg(F.min("least").alias("best"))
     of_set = named.select("sid", "root").join(best, "root").select("sid", "best")

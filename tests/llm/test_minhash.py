@@ -124,6 +124,24 @@ def test_threshold_is_exact(spark):
     assert result == {0: 0, 1: 0, 2: 0, 10: 10, 11: 11}
 
 
+def test_bound_on_common_shingles_is_never_too_small():
+    rng = np.random.default_rng(3)
+    first = set(range(60))
+    rows = []
+    for _ in range(60):
+        own = set(rng.choice(60, rng.integers(0, 60), replace=False).tolist()) | set((100 + rng.choice(30, rng.integers(0, 30), replace=False)).tolist())
+        rows.append((own or {0}, rng.random() < 0.8))
+    x = np.zeros((10, len(rows)), np.int64)
+    x[8] = [len(s) for s, _ in rows]
+    x[9] = [len(s & first) if known else -1 for s, known in rows]
+    most, sizes = minhash._bound(x, x)
+    for i, (a, ka) in enumerate(rows):
+        for j, (b, kb) in enumerate(rows):
+            assert len(a & b) <= most[i, j] <= min(len(a), len(b)) and sizes[i, j] == len(a) + len(b)
+    x[5, :30] = 1  # of another first row nothing is known
+    assert (minhash._bound(x, x)[0][:30, 30:] == np.minimum(x[8][:30, None], x[8][None, 30:])).all()
+
+
 def families(seed, members, chains):
     """Near copies of one text, and chains whose ends are no longer similar."""
     rng, rows, key = random.Random(seed), [], 0
@@ -155,8 +173,8 @@ def test_stars_and_rest_lose_no_link(spark, block, monkeypatch):
 def test_rows_stay_in_proportion_in_a_hot_family(spark, monkeypatch):
     """2,000 near copies: candidates are a multiple of the rows, not of their pairs."""
     seen = []
-    inner = minhash._verified
-    monkeypatch.setattr(minhash, "_verified", lambda pairs, *a: seen.append(pairs.count()) or inner(pairs, *a))
+    inner = minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, *a, **k: seen.append(pairs.count()) or inner(pairs, *a, **k))
     rows = families(7, 2000, 0)
     docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)
     result = minhash.components(docs, shingle=2).collect()

@@ -203,6 +203,21 @@ def test_token_rollups(spark, specs):
     assert totals() == want
 
 
+def test_token_rollups_of_empty_tables(spark, specs):
+    spec, store = {"v": specs[queries.WORD_BPE]}, scratch_path(spark, "s")
+    none = spark.createDataFrame([], SCHEMA)
+    token_counts.create(spark, store)
+    counted = token_counts.count(none, spec)
+    token_counts.commit(spark, store, 1, token_counts.inserts(counted))
+    token_counts.commit(spark, store, 2, token_counts.deletes(spark, store, none.select("doc_id"), before=2))
+    token_counts.commit(spark, store, 3, token_counts.revisions(spark, store, counted, before=3))
+    assert token_counts.totals(spark, store).count() == 0
+    one = spark.createDataFrame([(1, "one two", "en", None, 1)], SCHEMA)
+    token_counts.commit(spark, store, 4, token_counts.inserts(token_counts.count(one, spec)))
+    token_counts.commit(spark, store, 5, token_counts.deletes(spark, store, none.select("doc_id"), before=5))
+    assert [tuple(r) for r in token_counts.totals(spark, store).collect()] == [(None, "en", "v", 1, 2)]
+
+
 def test_op8_equals_recount(spark, specs):
     import re
 
