@@ -29,7 +29,9 @@ groups.
    to share with the bucket's first row, from which it follows exactly how much they can share
    at most (``_bound``).  Each row proposes its
    nearest partners of other components, a few in the first wave and all that are left in the
-   last, and each wave is verified and joined before the next.  So no link is lost, and a bucket whose rows are linked costs
+   second, as one row with a list, and each wave is verified and joined before the next.  There
+   a row's text meets its partners' texts in blocks of about ``HELD`` of them, so a pair is
+   eight bytes of a list and never a row (``_linked_lists``).  So no link is lost, and a bucket whose rows are linked costs
    nothing more than its star.
 
 Defined results: a text without words, empty or null, has an empty set and is a group of its
@@ -61,7 +63,9 @@ CODE_BITS, APART, FAR = 128, 42, 82
 MISS = 1e-9
 PARTS = 64
 #: partners a row may propose up to, wave by wave
-WAVES = (8, 512, 1 << 62)
+WAVES = (8, 1 << 62)
+#: texts that a task holds at a time to compare others with
+HELD = 64
 BLOCK = 16_384
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -291,11 +295,6 @@ def _star_pairs(buckets: DataFrame, apart: int) -> DataFrame:
 # ---- verification ----------------------------------------------------------------------
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are as similar as asked, by the texts themselves."""
-    return _compared(pairs, sets, size, percent).where("linked").select("a", "b")
-
-
 def _compared(pairs: DataFrame, sets: DataFrame, size: int, percent: int, every: bool = False) -> DataFrame:
     """(a, b, common, linked): how many shingles the two texts share, and whether that is
     enough; without ``every`` pairs that sizes alone rule out are left out.
@@ -362,6 +361,56 @@ def _cells(open_rows: DataFrame, block: int) -> DataFrame:
     return placed.select("key", F.explode(to).alias("to"), "rid", "marks", "n", "common", "center", own.alias("own")).select("key", "to.*", *_ROW)
 
 
+def _linked_lists(lists: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b) of the rows ``rid`` and their ``others`` whose sets are as similar as asked.
+
+    Others are dealt into blocks by a hash; a row goes to the blocks that its list touches, and
+    there to one of ``PARTS`` parts, each of which holds the block's texts.
+    """
+    spark = lists.sparkSession
+    path = scratch_path(spark, "lists")
+    lists.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).write.parquet(path)
+    lists = spark.read.parquet(path)
+    others = lists.select(F.explode("others").alias("rid")).distinct() if not lists.isEmpty() else lists.select("rid")
+    path = scratch_path(spark, "others")
+    others.write.parquet(path)
+    others = spark.read.parquet(path)
+    blocks = max(1, -(-others.count() // HELD))
+    block = lambda rid: F.pmod(F.xxhash64(rid, F.lit("held")), F.lit(blocks)).cast("int")
+    texts = sets.select("rid", "text")
+    held = others.join(texts, "rid").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    held = held.select(block(F.col("rid")).alias("block"), "part", F.lit(0).alias("kind"), "rid", "text", F.array().cast("array<bigint>").alias("others"))
+    to = F.explode(F.array_distinct(F.transform("others", block)))
+    rows = lists.join(texts, "rid").withColumn("block", to).withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(PARTS)).cast("int"))
+    rows = rows.select("block", "part", F.lit(1).alias("kind"), "rid", "text", "others")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, {}
+        for b in parts(batches):
+            a, c = [], []
+            for i, (place, part, kind, rid, others) in enumerate(zip(*(b.column(n).to_pylist() for n in ("block", "part", "kind", "rid", "others")), strict=True)):
+                if cell != (place, part):
+                    cell, held = (place, part), {}
+                own = shingles(b.column("text")[i].as_py(), size)
+                if not kind:
+                    held[rid] = own
+                    continue
+                for o in others:
+                    other = held.get(o)
+                    if other and 100 * min(len(own), len(other)) >= percent * max(len(own), len(other)):
+                        common = len(own & other)
+                        if 100 * common >= percent * (len(own) + len(other) - common):
+                            a.append(rid)
+                            c.append(o)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+
+    met = texts_to_python(held.unionByName(rows)).repartition("block", "part").sortWithinPartitions("block", "part", "kind")
+    path = scratch_path(spark, "list-links")
+    met.mapInArrow(check, "a long, b long").write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _PLACE = ["key", "part", "block", "visits", "rid", "center", "own", "root", "n", "common"]
 
 
@@ -379,8 +428,9 @@ def _bound(v: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _proposals(far: int, percent: int, low: int, high: int):
-    """Pairs of different components in each cell of a sorted partition: of a visitor's near
-    homes, nearest first, those of rank ``low`` to ``high``; a row (-1, -1) if more are left."""
+    """(rid, others): partners of other components in each cell of a sorted partition: of a
+    visitor's near homes, nearest first, those of rank ``low`` to ``high``; rid -1 if more are
+    left."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, more = None, False
@@ -391,7 +441,7 @@ def _proposals(far: int, percent: int, low: int, high: int):
             x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in _PLACE])
             marks = np.frombuffer(b"".join(b.column("marks").to_pylist()), "<u8").reshape(x.shape[1], -1)
             at = np.nonzero(_starts(*x[:4]))[0]
-            a, c = [], []
+            a, lists = [], []
             for s, e in zip(at, np.append(at[1:], x.shape[1]), strict=True):
                 if cell != (now := tuple(x[:3, s])):
                     cell, homes, home_marks = now, homes[:, :0], home_marks[:0]
@@ -415,12 +465,13 @@ def _proposals(far: int, percent: int, low: int, high: int):
                         more |= bool((root[found[high:]] != v[7][k]).any())
                         found = found[low:high]
                         found = found[root[found] != v[7][k]]
-                        a += rid[found].tolist()
-                        c += [int(v[4][k])] * len(found)
+                        if len(found):
+                            a.append(int(v[4][k]))
+                            lists.append(rid[found])
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], ["rid", "others"])
         if more:
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64())] * 2, ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([[]], pa.list_(pa.int64()))], ["rid", "others"])
 
     return propose
 
@@ -456,16 +507,16 @@ def _rest(buckets: DataFrame, stars: DataFrame, links: DataFrame, roots: DataFra
             _labelled(cells, roots)
             .repartition("key", "part", "block")
             .sortWithinPartitions("key", "part", "block", "visits", "rid")
-            .mapInArrow(_proposals(far, percent, low, high), "a long, b long")
+            .mapInArrow(_proposals(far, percent, low, high), "rid long, others array<bigint>")
         )
         path = scratch_path(spark, "proposals")
-        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().write.parquet(path)
+        found.write.parquet(path)
         found = spark.read.parquet(path)
-        new = _verified(found.where("a >= 0"), sets, size, percent)
+        new = _linked_lists(found.where("rid >= 0"), sets, size, percent)
         if not new.isEmpty():
             links = links.union(new)
             roots = _roots(links)
-        if found.where("a < 0").isEmpty():
+        if found.where("rid < 0").isEmpty():
             break
         low = high
     return roots
