@@ -93,11 +93,44 @@ def exploded_terms(
     and bounds the broadcast.
     """
     terms = df.select(id_col, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+    return _without(terms, stop_words) if stop_words else terms
+
+
+def _without(terms: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+    stop = terms.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(stop_words)], "term string")
+    return terms.join(broadcast_if_small(stop, known_max_rows=len(stop_words)), "term", "left_anti")
+
+
+def _counted(sorted_tokens: str) -> Column:
+    """The runs of equal elements of a sorted array column: array of (term, tf)."""
+    s = F.col(sorted_tokens)
+    length = lambda at, j: F.coalesce(F.get(F.col("_starts"), j + 1), F.size(s)) - at
+    return F.transform("_starts", lambda at, j: F.struct(F.get(s, at).alias("term"), length(at, j).cast("bigint").alias("tf")))
+
+
+def document_terms(
+    docs: DataFrame, id_col: str, tokens: Column, stop_words: Sequence[str] | None = None
+) -> DataFrame:
+    """``(id, term, tf)``: ``term_counts`` of ``exploded_terms``, counted inside each row.
+
+    A row's tokens are sorted and their runs counted, so no token is shuffled.  Rows that share
+    their id (null is an id too) are counted by an exchange, and only those; the ids that repeat
+    are found by a job over the id column while the plan is built.
+    """
+    runs = docs.select(id_col, F.sort_array(F.array_compact(tokens)).alias("_tokens"))
+    starts = F.transform("_tokens", lambda t, i: F.when((i == 0) | (t != F.get("_tokens", i - 1)), i))
+    runs = runs.select(id_col, "_tokens", F.array_compact(starts).alias("_starts"))
+    # inline_outer for the reason given in exploded_terms
+    counted = runs.select(id_col, F.inline_outer(_counted("_tokens"))).where(F.col("term").isNotNull())
     if stop_words:
-        spark = df.sparkSession
-        stop = spark.createDataFrame([(w,) for w in dict.fromkeys(stop_words)], "term string")
-        terms = terms.join(broadcast_if_small(stop, known_max_rows=len(stop_words)), "term", "left_anti")
-    return terms
+        counted = _without(counted, stop_words).select(id_col, "term", "tf")
+    again = docs.groupBy(F.col(id_col).alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again")
+    if again.isEmpty():
+        return counted
+    shared = F.col(id_col).eqNullSafe(F.col("_again"))
+    ids = broadcast_if_small(again)
+    merged = counted.join(ids, shared, "left_semi").groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
+    return counted.join(ids, shared, "left_anti").unionByName(merged)
 
 
 def term_counts(terms: DataFrame, id_col: str) -> DataFrame:

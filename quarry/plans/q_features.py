@@ -32,11 +32,9 @@ def _docs(spark, sf_dir):
 
 
 def _corpus_counts(df, col):
-    return (
-        df.select("doc_id", F.explode(col).alias("token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_docs"))
-    )
+    # one row per term of a document, so its documents are counted, not told apart
+    terms = fe.document_terms(df, "doc_id", F.col(col))
+    return terms.groupBy(F.col("term").alias("token")).agg(F.sum("tf").alias("n"), F.count("doc_id").alias("n_docs"))
 
 
 @query(
