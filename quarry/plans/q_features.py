@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import cooccurrence, hashing, text
 from quarry.operators import features as fe
 from quarry.plans.registry import query
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import stored
 from quarry.tables import read_table
 
 # Extra (non-English) stop words of the custom list.
@@ -106,8 +106,7 @@ def q_hashing_tf(spark, sf_dir):
 
 def _filtered_tf(spark, sf_dir):
     # built-in tokens (same rule as Tokenizer) + broadcast anti join on the stop words
-    terms = fe.exploded_terms(_docs(spark, sf_dir), "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
-    return fe.term_counts(terms, "doc_id")
+    return fe.document_terms(_docs(spark, sf_dir), "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
 
 
 _TF_SQL = f"""with tf as (
@@ -133,8 +132,7 @@ from tf join d using (term), m""",
 )
 def q_tf_idf(spark, sf_dir):
     n_docs = _docs(spark, sf_dir).select(F.count(F.lit(1))).scalar()
-    ensure_checkpoint_dir(spark)
-    tf = _filtered_tf(spark, sf_dir).checkpoint()  # texts are tokenised once, for tf and for df
+    tf = stored(_filtered_tf(spark, sf_dir), "tf")  # texts are tokenised once, for tf and for df
     out = fe.tf_idf(tf, "doc_id", n_docs=n_docs)
     return out.select("doc_id", "term", "tf", "doc_freq", F.round("tfidf", 6).alias("tfidf"))
 

@@ -38,3 +38,7 @@ def test_null_tokens_and_empty_tables_have_no_terms(spark):
 
 def test_ngrams_shuffle_partial_counts_alone(spark):
     assert plan(ent.queries()["ngrams"](spark, SF)).count("Exchange hashpartitioning") == 1
+
+
+def test_term_frequency_shuffles_no_term(spark):
+    assert "Exchange hashpartitioning" not in plan(ent.queries()["term_frequency"](spark, SF))
