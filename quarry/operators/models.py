@@ -12,16 +12,20 @@ and engine.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.clustering import LDA
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from quarry.functions.sampling import hash_bucket, hash_split_flag
 from quarry.plans.strategies import broadcast_if_small
+from quarry.session import stored
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -70,18 +74,19 @@ def naive_bayes_fit_score(
     """
     lam, k = float(smoothing), len(classes)
     lt = train.join(train_labels.select(id_col, label_col), id_col)
-    per_term = lt.groupBy("term").pivot(label_col, list(classes)).agg(F.sum(value))
+    # the sizes of the classes come from this table too, not from the rows again
+    per_term = stored(lt.groupBy("term").pivot(label_col, list(classes)).agg(F.sum(value)), "class-sums")
     logs = [F.log(F.coalesce(F.col(f"`{c}`"), F.lit(0)) + F.lit(lam)).alias(f"_l{i}") for i, c in enumerate(classes)]
     known = per_term.select("term", *logs)
     doc = test.join(known, "term").groupBy(id_col).agg(
         *[F.sum(F.col(value) * F.col(f"_l{i}")).alias(f"_s{i}") for i in range(k)], F.sum(value).alias("_tot")
     )
-    v = lt.select(F.count_distinct("term")).scalar()
+    v = per_term.select(F.count("term")).scalar()
     n = train_labels.select(F.count(F.lit(1))).scalar()
     out = test_docs.join(doc, id_col, "left")
     for i, c in enumerate(classes):
         n_c = train_labels.where(F.col(label_col) == F.lit(c)).select(F.count(F.lit(1))).scalar()
-        big_n = lt.where(F.col(label_col) == F.lit(c)).select(F.sum(value)).scalar()
+        big_n = per_term.select(F.sum(f"`{c}`")).scalar()
         pi = F.log(n_c + F.lit(lam)) - F.log(n + F.lit(k * lam))
         denom = F.log(F.coalesce(big_n, F.lit(0)) + F.lit(lam) * v)
         score = pi + F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) - F.coalesce(F.col("_tot"), F.lit(0)) * denom
@@ -109,9 +114,9 @@ def naive_bayes_sweep(
     value on every hash split: the models of ``naive_bayes_fit_score``, and none is fitted (M15).
 
     The smoothing enters a score only through the logarithms of a term's class sums, so one
-    table (seed, term) -> class sums, with the difference of the logarithms under each value as
-    an array, is joined with the test rows once.  A document's scores are as many sums as there
-    are values, in one aggregate.  ``label_col`` is 0 or 1, ``tf`` is (id, term, value); terms
+    table (seed, term) -> class sums is joined with the test rows once.  The joined rows are dealt
+    by document, and the sums under all values are made behind that exchange: before it they would
+    be as many numbers for every document and task.  ``label_col`` is 0 or 1, ``tf`` is (id, term, value); terms
     that no training document has are left out, ties go to class 0, an empty test part has no
     row.
     """
@@ -122,13 +127,13 @@ def naive_bayes_sweep(
     one = F.col(label_col) == 1
     total = lambda only: F.coalesce(F.sum(F.when(only, F.col(value))), F.lit(0)).cast("double")
     per_term = train.groupBy("seed", "term").agg(total(~one).alias("n0"), total(one).alias("n1"))
-    gains = [F.log(F.col("n1") + F.lit(x)) - F.log(F.col("n0") + F.lit(x)) for x in grid]
-    known = per_term.select("seed", "term", F.array(*gains).alias("gain"))
     size = per_term.groupBy("seed").agg(F.count(F.lit(1)).alias("v"), F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
     sizes = docs.where("train").groupBy("seed").agg(F.count_if(~one).alias("d0"), F.count_if(one).alias("d1")).join(size, "seed", "left")
-    test = tf.join(docs.where("not train").select(id_col, "seed"), id_col).join(known, ["seed", "term"])
-    sums = [F.sum(F.col(value) * F.get("gain", i)).alias(f"g{i}") for i in range(len(grid))]
-    scored = test.groupBy("seed", id_col).agg(F.sum(value).alias("length"), *sums)
+    test = tf.join(docs.where("not train").select(id_col, "seed"), id_col).join(per_term, ["seed", "term"])
+    test = test.select("seed", id_col, F.col(value).cast("double").alias("value"), "n0", "n1").repartition("seed", id_col)
+    parts = _gains(test.sortWithinPartitions("seed", id_col), id_col, grid)
+    sums = [F.sum(F.get("gain", i)).alias(f"g{i}") for i in range(len(grid))]
+    scored = parts.groupBy("seed", id_col).agg(F.sum("length").alias("length"), *sums)
     found = docs.where("not train").join(scored, ["seed", id_col], "left").join(broadcast_if_small(sizes, len(seeds)), "seed")
 
     def margin(i: int, x: float):
@@ -142,6 +147,29 @@ def naive_bayes_sweep(
     return found.groupBy("seed").agg(*right).select("seed", F.inline(rows)).select("smoothing", "seed", "accuracy")
 
 
+def _gains(rows: DataFrame, id_col: str, grid: Sequence[float]) -> DataFrame:
+    """(seed, id, length, gain): sums over a document's rows (seed, id, value, n0, n1), which stand
+    together; ``gain`` has one for each smoothing value.  A document has a row for each batch."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.array(grid)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            seed, ids = (b.column(i).dictionary_encode().indices.to_numpy() for i in (0, 1))
+            new = (seed[1:] != seed[:-1]) | (ids[1:] != ids[:-1])
+            at = np.flatnonzero(np.concatenate([[True], new]))
+            value, n0, n1 = (b.column(i).to_numpy()[:, None] for i in (2, 3, 4))
+            gain = np.add.reduceat(value * (np.log(n1 + x) - np.log(n0 + x)), at)
+            first = b.select([0, 1]).take(pa.array(at))
+            sums = [pa.array(np.add.reduceat(value[:, 0], at)), pa.array(list(gain), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*first.columns, *sums], ["seed", id_col, "length", "gain"])
+
+    kept = rows.schema
+    schema = StructType([kept["seed"], kept[id_col], StructField("length", DoubleType()), StructField("gain", ArrayType(DoubleType()))])
+    return rows.mapInArrow(add, schema)
+
+
 def naive_bayes_exact(
     tf: DataFrame, labels: DataFrame, id_col: str, label_col: str, classes: Sequence, smoothing: float = 1.0
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from quarry.operators import features as fe
 from quarry.operators import models, sgd
 from quarry.plans.q_features import _TF_SQL
 from quarry.plans.registry import query
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import stored
 from quarry.tables import read_table
 
 # Model parameters as stated for each program.
@@ -161,12 +161,12 @@ select doc_id, quality, case when score_1 > score_0 then 1 else 0 end as predict
 def q_naive_bayes(spark, sf_dir):
     """TF-IDF weights and classes from the training split, scores of the other split."""
     docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", "quality")
-    ensure_checkpoint_dir(spark)
-    terms = fe.exploded_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
-    tf = fe.term_counts(terms, "doc_id").checkpoint()  # tokenised once
+    terms = fe.document_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
+    tf = stored(terms, "tf")  # tokenised once
     train_docs, test_docs = models.hash_split(docs.select("doc_id", "quality"), "doc_id", 0.7, 777)
     train = tf.join(train_docs.select("doc_id"), "doc_id", "left_semi")
-    weighted = fe.tf_idf(train, "doc_id", train_docs.select(F.count(F.lit(1))).scalar()).checkpoint()
+    weighted = fe.tf_idf(train, "doc_id", train_docs.select(F.count(F.lit(1))).scalar())
+    weighted = stored(weighted, "weighted")
     idf = weighted.groupBy("term").agg(F.max("idf").alias("idf"))
     test = tf.join(test_docs.select("doc_id"), "doc_id", "left_semi").join(idf, "term")
     test = test.select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("tfidf"))
@@ -288,9 +288,8 @@ def q_nb_smoothing_sweep(spark, sf_dir):
     """Mean accuracy of every smoothing value over three splits; vocabularies come from the
     training parts."""
     docs = _labelled_docs(spark, sf_dir).select("doc_id", "text", "quality")
-    ensure_checkpoint_dir(spark)
-    terms = fe.exploded_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
-    tf = fe.term_counts(terms, "doc_id").checkpoint()  # tokenised once
+    terms = fe.document_terms(docs, "doc_id", fe.whitespace_tokens("text"), fe.default_stop_words())
+    tf = stored(terms, "tf")  # tokenised once
     trials = models.naive_bayes_sweep(tf, docs.select("doc_id", "quality"), "doc_id", "quality", models.SMOOTHING_GRID, SWEEP_SEEDS)
     mean = trials.groupBy("smoothing").agg(F.round(F.avg("accuracy"), 9).alias("mean_accuracy"))
     return mean.orderBy(F.desc("mean_accuracy"), "smoothing")

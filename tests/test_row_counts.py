@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as ent
-from quarry.operators import features
+from quarry.operators import features, models
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +42,34 @@ def test_ngrams_shuffle_partial_counts_alone(spark):
 
 def test_term_frequency_shuffles_no_term(spark):
     assert "Exchange hashpartitioning" not in plan(ent.queries()["term_frequency"](spark, SF))
+
+
+def test_the_class_sums_are_written_once(spark):
+    tf = spark.createDataFrame([(1, "good", 2), (2, "bad", 2), (3, "good", 1)], "doc_id long, term string, tf long")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    out = models.naive_bayes_fit_score(tf, labels, tf, spark.createDataFrame([(3,)], "doc_id long"), "doc_id", "quality", [0, 1])
+    assert any("class-sums" in f for f in out.inputFiles()) and out.first().prediction == 1
+
+
+def test_a_sweep_shuffles_no_row_of_sums(spark):
+    """Sums under all values are made behind the exchange of a document's rows, in any number of batches."""
+    rows = [(i, f"t{(i * 7 + j) % 11}", 1 + j % 3) for i in range(60) for j in range(i % 5)]
+    tf = spark.createDataFrame(rows, "doc_id long, term string, tf long")
+    labels = spark.createDataFrame([(i, i * 3 % 2) for i in range(60)], "doc_id long, quality int")
+    grid, kept = (0.1, 0.5, 2.0), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    for size in ("3", kept):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            swept = models.naive_bayes_sweep(tf, labels, "doc_id", "quality", grid, (1, 2))
+            assert "MapInArrow" in plan(swept)
+            found.append({(r.smoothing, r.seed): r.accuracy for r in swept.collect()})
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert found[0] == found[1] and len(found[0]) == 6
+    for (x, seed), accuracy in found[0].items():
+        train, test = models.hash_split(labels, "doc_id", 0.7, seed)
+        part = tf.join(train.select("doc_id"), "doc_id", "left_semi")
+        scored = models.naive_bayes_fit_score(part, train, tf, test, "doc_id", "quality", [0, 1], x)
+        known = scored.agg(F.avg((F.col("prediction") == F.col("quality")).cast("double"))).first()[0]
+        assert accuracy == pytest.approx(known)
