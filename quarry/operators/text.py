@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ALL_DIGITS, char_class, jvm_trim
-from quarry.plans.strategies import broadcast_if_small
+from quarry.plans.strategies import broadcast_if_small, is_small
+
+#: bounds of a dictionary that is looked up inside each row
+LOOKUP_ROWS, LOOKUP_BYTES = 100_000, 16 << 20
 
 
 def count_tokens(df: DataFrame, token_array: Column, alias: str = "word") -> DataFrame:
@@ -70,15 +73,21 @@ def dictionary_substitute(
     ``dictionary`` has ``(word, canonical, entry_order)``; for a word listed twice the
     entry with the smallest ``entry_order`` wins.  Unmatched all-digit tokens are
     dropped, other unmatched tokens kept; tokens are re-joined in their original
-    order, each prefixed by ``sep``.  Each row is regrouped on a number of its own (rows
-    may share an id), so a group is never larger than the document it came from.  The
-    compact documents are dealt by that number first: the broadcast join keeps the
-    partitioning, so regrouping the tokens needs no exchange.
+    order, each prefixed by ``sep``.
+
+    A dictionary of ``LOOKUP_ROWS`` words and ``LOOKUP_BYTES`` bytes at most is looked up inside
+    each row, and no token is shuffled or sorted.  For a larger one the tokens become rows and
+    are joined.  Each row is regrouped on a number of its own then (rows may share an id), so a
+    group is never larger than the document it came from.  The compact documents are dealt by
+    that number first: the broadcast join keeps the partitioning, so regrouping the tokens needs
+    no exchange.
     """
     first = (
         dictionary.groupBy("word")
         .agg(F.min_by("canonical", "entry_order").alias("canonical"))
     )
+    if is_small(first, min(max_broadcast_rows, LOOKUP_ROWS), LOOKUP_BYTES):
+        return _substitute_in_rows(docs, id_col, token_array, first, sep)
     rows = docs.select(id_col, token_array.alias("_toks"), F.monotonically_increasing_id().alias("_row"))
     dealt = rows.repartition("_row")
     toks = dealt.select(id_col, "_row", F.posexplode_outer("_toks").alias("pos", "word"))
@@ -93,3 +102,25 @@ def dictionary_substitute(
     return regrouped.select(
         id_col, F.when(F.size("_ws") > 0, text).otherwise(F.lit("")).alias("substituted")
     )
+
+
+def _substitute_in_rows(docs: DataFrame, id_col: str, token_array: Column, first: DataFrame, sep: str) -> DataFrame:
+    """``dictionary_substitute`` with the dictionary as one value: an array of small maps, a word
+    in the map that its hash gives (Spark reads a map from front to back)."""
+    n = max(1, 2 * first.count())
+    place = lambda w: F.pmod(F.xxhash64(w), F.lit(n)).cast("int")
+    entries = first.where("word is not null").groupBy(place(F.col("word")).alias("slot")).agg(
+        F.collect_list(F.struct("word", "canonical")).alias("e")
+    )
+    slots = first.sparkSession.range(n).select(F.col("id").cast("int").alias("slot")).join(entries, "slot", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "e")))
+    table = slots.agg(F.transform(ordered, lambda s: F.map_from_entries(s["e"])).alias("maps")).scalar()
+    rows = docs.select(id_col, token_array.alias("_toks"), table.alias("_maps"))
+
+    def replaced(w: Column) -> Column:
+        known = F.try_element_at(F.get("_maps", place(w)), w)
+        return F.coalesce(known, F.when(~w.rlike(ALL_DIGITS), w))
+
+    words = rows.select(id_col, F.array_compact(F.transform("_toks", replaced)).alias("_ws"))
+    text = F.concat(F.lit(sep), F.array_join("_ws", sep))
+    return words.select(id_col, F.when(F.size("_ws") > 0, text).otherwise(F.lit("")).alias("substituted"))

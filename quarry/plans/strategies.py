@@ -40,9 +40,14 @@ def broadcast_if_small(
     """``F.broadcast(df)`` within ``max_rows`` rows and ``max_bytes`` bytes, else ``df``."""
     if known_max_rows is not None and known_max_rows <= max_rows:
         return F.broadcast(df)
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """At most ``max_rows`` rows and ``max_bytes`` bytes; reads ``max_rows + 1`` rows at most."""
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    return F.broadcast(df) if row["n"] <= max_rows and (row["b"] or 0) <= max_bytes else df
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
 def _num_slices(df: DataFrame, num_partitions: int | None) -> int:

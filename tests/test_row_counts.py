@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as ent
-from quarry.operators import features, models
+from quarry.operators import features, models, text
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +73,17 @@ def test_a_sweep_shuffles_no_row_of_sums(spark):
         scored = models.naive_bayes_fit_score(part, train, tf, test, "doc_id", "quality", [0, 1], x)
         known = scored.agg(F.avg((F.col("prediction") == F.col("quality")).cast("double"))).first()[0]
         assert accuracy == pytest.approx(known)
+
+
+def test_dictionary_words_are_found_inside_the_rows(spark):
+    texts = [(1, ["b", "7", "x", "b", "é"]), (1, ["12", "3"]), (None, []), (3, None), (4, [None, "7", "", "b c"])]
+    d = spark.createDataFrame(texts, "doc_id long, t array<string>")
+    entries = [("b", "B", 2), ("b", "late", 3), ("7", "seven", 1), ("é", "e", 4), (None, "none", 5), ("x", None, 6)]
+    words = spark.createDataFrame(entries, "word string, canonical string, entry_order int")
+    inside = text.dictionary_substitute(d, "doc_id", F.col("t"), words)
+    joined = text.dictionary_substitute(d, "doc_id", F.col("t"), words, max_broadcast_rows=0)
+    assert sorted(map(str, inside.collect())) == sorted(map(str, joined.collect()))
+    assert "#B#seven#x#B#e" in [r.substituted for r in inside.collect()]
+    assert plan(inside).split("Subquery")[0].count("Exchange") == 0
+    none = text.dictionary_substitute(d, "doc_id", F.col("t"), words.limit(0))
+    assert "#b#x#b#é" in [r.substituted for r in none.collect()]
