@@ -34,6 +34,21 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int) -> tuple[Dat
     return df.where(flag), df.where(~flag)
 
 
+#: rows a part of a tree's training data holds; as dense bins of a few hundred features, 100 MB
+ROWS_PER_PART = 100_000
+
+
+def in_bounded_parts(df: DataFrame, key: str, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The rows in parts of about ``rows_per_part``, for fits that keep a wide copy of every part.
+
+    A part of the scan is bounded in bytes of the file, and its rows may be a hundred times wider
+    as features.  The parts are hashes of ``key``, sorted by it, so that what a fit samples does not
+    depend on the files.  Tables within the bound stay as they are.
+    """
+    parts = -(-df.count() // rows_per_part)
+    return df.repartition(parts, key).sortWithinPartitions(key) if parts > 1 else df
+
+
 def coefficients_frame(spark: SparkSession, names: Sequence[str], model) -> DataFrame:
     """Model weights as ``(feature, weight)`` rows plus the intercept."""
     rows = [(n, float(w)) for n, w in zip(names, model.coefficients.toArray())]

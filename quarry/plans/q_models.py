@@ -308,4 +308,5 @@ def q_ctr_gbt(spark, sf_dir):
     pipe = fe.categorical_pipeline(["p_brand", "p_type"], ["l_quantity", "l_discount", "l_tax"])
     pipe.getStages()[0].setHandleInvalid("keep")
     full = Pipeline(stages=[*pipe.getStages(), GBTClassifier(maxIter=10, maxDepth=4, seed=42)])
-    return full.fit(train).transform(test).select("l_orderkey", "l_linenumber", "label", "prediction")
+    fitted = full.fit(models.in_bounded_parts(train, "row_key"))
+    return fitted.transform(test).select("l_orderkey", "l_linenumber", "label", "prediction")

@@ -87,3 +87,10 @@ def test_dictionary_words_are_found_inside_the_rows(spark):
     assert plan(inside).split("Subquery")[0].count("Exchange") == 0
     none = text.dictionary_substitute(d, "doc_id", F.col("t"), words.limit(0))
     assert "#b#x#b#é" in [r.substituted for r in none.collect()]
+
+
+def test_parts_hold_a_bounded_number_of_rows(spark):
+    d = spark.range(0, 5000, 1, 1).withColumn("key", F.col("id").cast("string"))
+    sizes = [r["count"] for r in models.in_bounded_parts(d, "key", 500).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 5000 and len(sizes) == 10 and max(sizes) < 1000
+    assert models.in_bounded_parts(d, "key") is d
