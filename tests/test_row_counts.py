@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as ent
-from quarry.operators import features, models, text
+from quarry.operators import cooccurrence, features, models, text
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,3 +94,9 @@ def test_parts_hold_a_bounded_number_of_rows(spark):
     sizes = [r["count"] for r in models.in_bounded_parts(d, "key", 500).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 5000 and len(sizes) == 10 and max(sizes) < 1000
     assert models.in_bounded_parts(d, "key") is d
+
+
+def test_pairs_are_counted_once_for_all_that_reads_them(spark):
+    pairs = cooccurrence.pair_counts(spark.createDataFrame([("a b a c",)], "t string"), F.split("t", " "))
+    matrix = cooccurrence.mutual_information(pairs)
+    assert "Generate" not in plan(matrix) and any("pair-counts" in f for f in matrix.inputFiles())
