@@ -67,6 +67,7 @@ def dictionary_substitute(
     dictionary: DataFrame,
     sep: str = "#",
     max_broadcast_rows: int = 1_000_000,
+    lookup_rows: int = 0,
 ) -> DataFrame:
     """Replace tokens by their canonical word.
 
@@ -75,9 +76,9 @@ def dictionary_substitute(
     dropped, other unmatched tokens kept; tokens are re-joined in their original
     order, each prefixed by ``sep``.
 
-    A dictionary of ``LOOKUP_ROWS`` words and ``LOOKUP_BYTES`` bytes at most is looked up inside
-    each row, and no token is shuffled or sorted.  For a larger one the tokens become rows and
-    are joined.  Each row is regrouped on a number of its own then (rows may share an id), so a
+    A dictionary of ``lookup_rows`` words (``LOOKUP_ROWS`` is a sound bound) and ``LOOKUP_BYTES``
+    bytes at most is looked up inside each row, and no token is shuffled or sorted.  For a larger
+    one, and by default, the tokens become rows and are joined.  Each row is regrouped on a number of its own then (rows may share an id), so a
     group is never larger than the document it came from.  The compact documents are dealt by
     that number first: the broadcast join keeps the partitioning, so regrouping the tokens needs
     no exchange.
@@ -86,7 +87,7 @@ def dictionary_substitute(
         dictionary.groupBy("word")
         .agg(F.min_by("canonical", "entry_order").alias("canonical"))
     )
-    if is_small(first, min(max_broadcast_rows, LOOKUP_ROWS), LOOKUP_BYTES):
+    if lookup_rows and is_small(first, lookup_rows, LOOKUP_BYTES):
         return _substitute_in_rows(docs, id_col, token_array, first, sep)
     rows = docs.select(id_col, token_array.alias("_toks"), F.monotonically_increasing_id().alias("_row"))
     dealt = rows.repartition("_row")

@@ -305,4 +305,4 @@ select d.doc_id, coalesce(k.substituted, '') as substituted from documents d lef
 def q_dictionary_substitute(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     toks = F.regexp_extract_all(F.lower("text"), F.lit(_TOKEN), 0)
-    return text.dictionary_substitute(d, "doc_id", toks, _dictionary(spark, sf_dir))
+    return text.dictionary_substitute(d, "doc_id", toks, _dictionary(spark, sf_dir), lookup_rows=text.LOOKUP_ROWS)

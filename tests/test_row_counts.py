@@ -80,12 +80,12 @@ def test_dictionary_words_are_found_inside_the_rows(spark):
     d = spark.createDataFrame(texts, "doc_id long, t array<string>")
     entries = [("b", "B", 2), ("b", "late", 3), ("7", "seven", 1), ("é", "e", 4), (None, "none", 5), ("x", None, 6)]
     words = spark.createDataFrame(entries, "word string, canonical string, entry_order int")
-    inside = text.dictionary_substitute(d, "doc_id", F.col("t"), words)
-    joined = text.dictionary_substitute(d, "doc_id", F.col("t"), words, max_broadcast_rows=0)
+    inside = text.dictionary_substitute(d, "doc_id", F.col("t"), words, lookup_rows=100)
+    joined = text.dictionary_substitute(d, "doc_id", F.col("t"), words, max_broadcast_rows=0, lookup_rows=4)
     assert sorted(map(str, inside.collect())) == sorted(map(str, joined.collect()))
     assert "#B#seven#x#B#e" in [r.substituted for r in inside.collect()]
     assert plan(inside).split("Subquery")[0].count("Exchange") == 0
-    none = text.dictionary_substitute(d, "doc_id", F.col("t"), words.limit(0))
+    none = text.dictionary_substitute(d, "doc_id", F.col("t"), words.limit(0), lookup_rows=100)
     assert "#b#x#b#é" in [r.substituted for r in none.collect()]
 
 
