@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.features import token_slices
 from quarry.session import stored
 
 #: Spark ML's defaults
 OFFSET, DECAY, GAMMA_SHAPE, TOLERANCE = 1024.0, 0.51, 100, 1e-3
-#: tokens and documents of a block, from which another is begun
-BLOCK_TOKENS, BLOCK_DOCS = 1_000_000, 8_192
+#: tokens of a block; its documents are at most those of an Arrow batch
+BLOCK_TOKENS = 1_000_000
 #: terms of documents that are inferred together
 CACHED = 1 << 15
 
@@ -66,16 +67,8 @@ def blocks(docs: DataFrame, id_col: str, tokens: str) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            lists = b.column("t")
-            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            first = 0
-            while first < b.num_rows:
-                before = ends[first - 1] if first else 0
-                last = max(first + 1, min(first + BLOCK_DOCS, int(np.searchsorted(ends, before + BLOCK_TOKENS, "right"))))
-                yield _block(b.slice(first, last - first))
-                first = last
+            for part in token_slices(b, "t", BLOCK_TOKENS):
+                yield _block(part)
 
     rows = docs.select(F.monotonically_increasing_id().alias("block"), F.col(id_col).alias("id"), F.col(tokens).alias("t"))
     shape = f"block long, ids array<{kind}>, terms array<string>, starts array<int>, at array<int>, n array<int>"
