@@ -55,7 +55,7 @@ from pyspark.sql import functions as F
 from quarry.llm.bpe import batch_texts, parts, texts_to_python
 from quarry.llm.graph import connected_components
 from quarry.llm.sketch import bloom, may_contain
-from quarry.session import scratch_path
+from quarry.session import scratch_path, stored
 
 SHINGLE, PERCENT = 5, 80
 BINS, ROWS, BANDS = 256, 4, 42
@@ -65,7 +65,9 @@ PARTS = 64
 #: partners a row may propose up to, wave by wave
 WAVES = (8, 1 << 62)
 #: texts that a task holds at a time to compare others with
-HELD = 64
+HELD = 128
+#: rows that meet them there, and pairs of a text that meet in a task
+VISITS = 256
 BLOCK = 16_384
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -205,10 +207,16 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int, rows: int, bands:
     own = texts_to_python(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("rid", F.monotonically_increasing_id())
     shape = f"doc_id {kept_type}, text string, rid long, n long, sid binary, b0 long, b1 long, marks binary, bands array<bigint>"
     path = scratch_path(docs.sparkSession, "sets")
-    own.mapInArrow(measure, shape).write.parquet(path)
+    # the only copy of the texts, kept to the end
+    own.mapInArrow(measure, shape).write.parquet(path, compression="zstd")
     return docs.sparkSession.read.parquet(path)
 
 
+def _log2_bits(n: int) -> int:
+    """Of a Bloom filter for ``n`` keys."""
+    return min(27, max(16, (16 * n).bit_length()))
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     new = np.ones(len(columns[0]), bool)
     new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
@@ -259,15 +267,20 @@ def _star_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
 
 
 def _buckets(firsts: DataFrame, total: int) -> DataFrame:
-    """Rows of all buckets with company: key, salt, rid, code, and their part's first row."""
+    """Rows of all buckets with company: key, salt, rid, code, and their part's first row.
+
+    Most buckets hold one row; keys alone are counted first, and rows of other buckets travel.
+    """
     spark = firsts.sparkSession
     rows = firsts.select(F.explode("bands").alias("key"), "rid", "b0", "b1")
     most = max(1_000, total // 1_000)  # rows of a bucket from which it is split
-    top = rows.agg(F.expr("approx_top_k(key, 1000, 100000)").alias("top")).first().top or []
-    hot = spark.createDataFrame([(t["item"],) for t in top if t["count"] > most], "key long")  # 1,000 at most
+    counts = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "keys")
+    hot = counts.where(F.col("times") > most).orderBy(F.desc("times"), "key").limit(1_000)
+    is_hot = F.col("key").isin([r.key for r in hot.collect()])
+    log2 = _log2_bits(counts.count())
+    rows = rows.where(may_contain(bloom(counts, "key", log2), F.col("key"), log2))
     salted = F.pmod(F.xxhash64("rid"), F.lit(PARTS)).cast("int")
-    marked = rows.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
-    dealt = marked.select("key", F.when(F.col("is_hot"), salted).otherwise(F.lit(-1)).alias("salt"), "rid", "b0", "b1")
+    dealt = rows.select("key", F.when(is_hot, salted).otherwise(F.lit(-1)).alias("salt"), "rid", "b0", "b1")
     path = scratch_path(spark, "buckets")
     (
         dealt.repartition("key", "salt")
@@ -295,24 +308,31 @@ def _star_pairs(buckets: DataFrame, apart: int) -> DataFrame:
 # ---- verification ----------------------------------------------------------------------
 
 
+def _wanted(sets: DataFrame, ids: DataFrame, n: int, name: str) -> DataFrame:
+    """(rid, text, n) of the rows ``ids`` (``n`` of them) and a few others, written out: the texts
+    of the rest do not travel to the joins."""
+    log2 = _log2_bits(n)
+    path = scratch_path(sets.sparkSession, name)
+    sets.where(may_contain(bloom(ids, "rid", log2), F.col("rid"), log2)).select("rid", "text", "n").write.parquet(path, compression="zstd")
+    return sets.sparkSession.read.parquet(path)
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, size: int, percent: int, every: bool = False) -> DataFrame:
     """(a, b, common, linked): how many shingles the two texts share, and whether that is
     enough; without ``every`` pairs that sizes alone rule out are left out.
 
-    An ``a`` in very many pairs is split over ``PARTS`` parts, each with its text once.
+    An ``a`` has a part for about ``VISITS`` of its pairs, each with its text once.
     """
     spark = pairs.sparkSession
-    path = scratch_path(spark, "pairs")
-    pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(PARTS)).cast("int")).write.parquet(path)
-    pairs = spark.read.parquet(path)
+    pairs = stored(pairs, "pairs")
     n = pairs.count()
     if not n:
         return pairs.select("a", "b", F.lit(0).cast("long").alias("common"), F.lit(False).alias("linked"))
     ids = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid")))
-    log2 = min(27, max(16, (16 * n).bit_length()))
-    wanted = scratch_path(spark, "pair-texts")
-    sets.where(may_contain(bloom(ids, "rid", log2), F.col("rid"), log2)).select("rid", "text", "n").write.parquet(wanted)
-    texts = spark.read.parquet(wanted)
+    texts = _wanted(sets, ids, n, "pair-texts")
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / VISITS).cast("int").alias("parts")).where("parts > 1")
+    many = F.broadcast(many) if n < VISITS * 100_000 else many  # n / VISITS rows at most
+    pairs = pairs.join(many, "a", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
     right = pairs.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("tb"), F.col("n").alias("nb")), "b")
     left = pairs.select("a", "part").distinct().join(texts.select(F.col("rid").alias("a"), F.col("text").alias("ta"), F.col("n").alias("na")), "a")
     both = right.join(left, ["a", "part"])
@@ -361,28 +381,40 @@ def _cells(open_rows: DataFrame, block: int) -> DataFrame:
     return placed.select("key", F.explode(to).alias("to"), "rid", "marks", "n", "common", "center", own.alias("own")).select("key", "to.*", *_ROW)
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The numbers in the lists of a batch, each once."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0).flatten().unique()], ["rid"])
+
+
 def _linked_lists(lists: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b) of the rows ``rid`` and their ``others`` whose sets are as similar as asked.
 
     Others are dealt into blocks by a hash; a row goes to the blocks that its list touches, and
-    there to one of ``PARTS`` parts, each of which holds the block's texts.
+    there to one of the block's parts, each of which holds the block's texts.  A block has a part
+    for about ``VISITS`` rows.
     """
     spark = lists.sparkSession
-    path = scratch_path(spark, "lists")
-    lists.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others")).write.parquet(path)
-    lists = spark.read.parquet(path)
-    others = lists.select(F.explode("others").alias("rid")).distinct() if not lists.isEmpty() else lists.select("rid")
-    path = scratch_path(spark, "others")
-    others.write.parquet(path)
-    others = spark.read.parquet(path)
-    blocks = max(1, -(-others.count() // HELD))
+    lists = lists.groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+    lists = stored(lists, "lists")
+    n = lists.count()
+    if not n:
+        return lists.select(F.col("rid").alias("a"), F.col("rid").alias("b"))
+    others = stored(lists.select("others").mapInArrow(_members, "rid long").distinct(), "others")
+    n_others = others.count()
+    blocks = max(1, -(-n_others // HELD))
     block = lambda rid: F.pmod(F.xxhash64(rid, F.lit("held")), F.lit(blocks)).cast("int")
-    texts = sets.select("rid", "text")
-    held = others.join(texts, "rid").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    held = held.select(block(F.col("rid")).alias("block"), "part", F.lit(0).alias("kind"), "rid", "text", F.array().cast("array<bigint>").alias("others"))
-    to = F.explode(F.array_distinct(F.transform("others", block)))
-    rows = lists.join(texts, "rid").withColumn("block", to).withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(PARTS)).cast("int"))
-    rows = rows.select("block", "part", F.lit(1).alias("kind"), "rid", "text", "others")
+    visits = lists.select("rid", F.explode(F.array_distinct(F.transform("others", block))).alias("block"))
+    sizes = visits.groupBy("block").agg(F.count(F.lit(1)).alias("visits"))
+    sizes = stored(sizes.select("block", F.ceil(F.col("visits") / VISITS).cast("int").alias("parts")), "list-blocks")
+    texts = _wanted(sets, lists.select("rid").union(others), n + n_others, "list-texts").select("rid", "text")
+    held = others.withColumn("block", block(F.col("rid"))).join(sizes, "block").join(texts, "rid")
+    held = held.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = held.select("block", "part", F.lit(0).alias("kind"), "rid", "text", F.array().cast("array<bigint>").alias("others"))
+    part = F.pmod(F.xxhash64("rid"), F.col("parts")).cast("int").alias("part")
+    to = visits.join(sizes, "block").groupBy("rid").agg(F.collect_list(F.struct("block", part)).alias("to"))
+    rows = lists.join(to, "rid").join(texts, "rid").withColumn("to", F.explode("to"))
+    rows = rows.select("to.block", "to.part", F.lit(1).alias("kind"), "rid", "text", "others")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, held = None, {}
@@ -522,6 +554,16 @@ def _rest(buckets: DataFrame, stars: DataFrame, links: DataFrame, roots: DataFra
     return roots
 
 
+def _firsts(sets: DataFrame, same: DataFrame) -> DataFrame:
+    """The rows of ``sets`` that stand for their set: those whose set occurs once stay where they
+    are, any others are looked up."""
+    sets, several = sets.where("n > 0"), same.where("times > 1")
+    log2 = _log2_bits(several.count())
+    copied = may_contain(bloom(several, "sid", log2), F.col("sid"), log2)
+    found = sets.where(copied).join(same.where(copied).select(F.col("rep").alias("rid")), "rid", "left_semi")
+    return sets.where(~copied).unionByName(found)
+
+
 def _grouped(
     docs: DataFrame, doc_id: str, text: str, shingle: int, percent: int, rows: int, bands: int, apart: int, block: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -534,23 +576,19 @@ def _grouped(
     sets = _sets(docs, doc_id, text, shingle, rows, bands)
     spark = docs.sparkSession
     least = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rid")).alias("least")
-    same = sets.where("n > 0").groupBy("sid").agg(F.min("rid").alias("rep"), least)
-    path = scratch_path(spark, "equal")
-    same.write.parquet(path)
-    same = spark.read.parquet(path)
-    firsts = sets.join(same.select(F.col("rep").alias("rid")), "rid", "left_semi")
+    same = stored(sets.where("n > 0").groupBy("sid").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("times"), least), "equal")
+    firsts = _firsts(sets, same)
     buckets = _buckets(firsts.select("rid", "b0", "b1", "bands"), same.count() * bands)
     stars = _compared(_star_pairs(buckets, apart), sets, shingle, percent, every=True)
     links = stars.where("linked").select("a", "b")
     roots = _rest(buckets, stars, links, _roots(links), sets, shingle, percent, FAR, block)
-    named = _labelled(same.withColumnRenamed("rep", "rid"), roots)
+    named = _labelled(same.withColumnRenamed("rep", "rid").drop("times"), roots)
     best = named.groupBy("root").agg(F.min("least").alias("best"))
     of_set = named.select("sid", "root").join(best, "root").select("sid", "best")
     alone = sets.where("n = 0").select("rid", F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "rid").alias("best"))
     # a set that a third of the rows share is one key: its rows are dealt over parts
     parts_ = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part")
-    sizes = sets.where("n > 0").groupBy("sid").agg(F.count(F.lit(1)).alias("times"))
-    hot = sizes.where(F.col("times") > 10_000).select("sid")
+    hot = same.where(F.col("times") > 10_000).select("sid")
     keyed = sets.where("n > 0").select("sid", "rid")
     spread = of_set.join(hot, "sid").select("sid", parts_, "best")
     big = keyed.join(hot, "sid", "left_semi").withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(PARTS)).cast("int"))

@@ -5,10 +5,12 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import minhash, queries
+from quarry.session import stored
 from llm_helpers import SCHEMA, awkward, clashing, components, prose
 
 SF = "/root/testdata/sf0.01"
@@ -196,6 +198,53 @@ def test_hot_buckets_are_split(spark):
     assert hot.count() == 1500 and hot.select("root").distinct().count() == 1
 
 
+def test_rows_of_lone_buckets_do_not_travel(spark, monkeypatch):
+    names = minhash._CELL
+
+    def travelling(batches):
+        for b in batches:
+            own = [b.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*own, *own[2:]], [*names, "center", "c0", "c1"])
+
+    monkeypatch.setattr(minhash, "_stars", travelling)
+    rows = [(i, 0, 0, [7 if i < 3 else -i, *(1000 * i + j for j in range(1, 10))]) for i in range(1, 200)]
+    firsts = spark.createDataFrame(rows, "rid long, b0 long, b1 long, bands array<bigint>")
+    sent = minhash._buckets(firsts, 1990)
+    assert {r.rid for r in sent.where("key = 7").collect()} == {1, 2}
+    assert sent.count() < 200  # of 1,990
+
+
+def test_equal_sets_have_one_row_and_others_stay(spark):
+    texts = ["a b c", "a b c", "A b c", "d e", None, "", *(f"x{i} y z" for i in range(50))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    sets = stored(minhash._sets(docs, "doc_id", "text", 2, minhash.ROWS, minhash.BANDS), "sets")
+    same = stored(sets.where("n > 0").groupBy("sid").agg(F.min("rid").alias("rep"), F.count("rid").alias("times")), "same")
+    firsts = minhash._firsts(sets, same)
+    assert sorted(r.rid for r in firsts.collect()) == sorted(r.rep for r in same.collect())
+    assert firsts.count() == 52
+
+
+def test_texts_are_copied_to_the_parts_that_rows_visit(spark, monkeypatch):
+    """A text that few rows are compared with is sent once, not to 64 parts."""
+    sent, inner = [], minhash.texts_to_python
+    texts = [prose(1, 30), prose(1, 30), prose(2, 30)]
+    sets = spark.createDataFrame([(i, t, 29) for i, t in enumerate(texts)], "rid long, text string, n long")
+    lists = spark.createDataFrame([(0, [1, 2]), (0, [2])], "rid long, others array<bigint>")
+    monkeypatch.setattr(minhash, "texts_to_python", lambda df: sent.append(df.count()) or inner(df))
+    links = minhash._linked_lists(lists, sets, 2, 80)
+    assert [tuple(r) for r in links.collect()] == [(0, 1)]
+    assert sent[0] <= 4  # two texts, and one row in two blocks at most
+
+
+@pytest.mark.parametrize("visits", [1, 5])
+def test_parts_of_stars_and_blocks_lose_no_link(spark, visits, monkeypatch):
+    monkeypatch.setattr(minhash, "VISITS", visits)
+    monkeypatch.setattr(minhash, "HELD", 4)
+    rows = families(11, 60, 15)
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], SCHEMA)
+    assert got(minhash.components(docs, shingle=2)) == brute(rows)
+
+
 def test_refuses_bands_that_miss(spark):
     docs = spark.createDataFrame(awkward(), SCHEMA)
     with pytest.raises(ValueError):
