@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.sampling import hash_split_sql
 from quarry.operators import features as fe
-from quarry.operators import lda, models, sgd
+from quarry.operators import lda, models, sgd, term_logistic
 from quarry.plans.q_features import _TF_SQL
 from quarry.plans.registry import query
 from quarry.session import stored
@@ -103,9 +103,8 @@ def _tokens(docs):
 def q_text_classify_lr(spark, sf_dir):
     docs = _tokens(_labelled_docs(spark, sf_dir).withColumn("label", F.col("quality").cast("double")))
     train, test = models.hash_split(docs, "doc_id", 0.7, 777)
-    counts = fe.count_vectorizer_model(train, "filtered")  # the vocabulary of the training part, whole
-    model = models.logistic(features="counts").fit(counts.transform(train))
-    return model.transform(counts.transform(test)).select("doc_id", "label", "prediction")
+    model = term_logistic.fit(train, "filtered", "label")  # on the vocabulary of the training part, whole
+    return model.scored(test, "filtered", ["doc_id", "label"]).select("doc_id", "label", "prediction")
 
 
 @query(
