@@ -74,3 +74,19 @@ def test_the_query_keeps_no_vocabulary_on_the_driver(spark, monkeypatch):
     monkeypatch.setattr(models, "logistic", refuse)
     got = {r.doc_id: r.prediction for r in ent.queries()["text_classify_lr"](spark, SF).collect()}
     assert len(got) == test.count() and want.items() <= got.items()
+
+
+def test_the_facts_score_every_held_out_row(spark, monkeypatch, tmp_path):
+    """Rows that share their id too, and without a vocabulary on the driver."""
+    texts = [(i, f"word{i % 7} other{i % 5} {'good' if i % 2 else 'bad'}") for i in range(40)] + [(3, "again")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    _, test = models.hash_split(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", 0.7, 777)
+
+    def refuse(*args, **kw):
+        raise AssertionError("a vocabulary on the driver")
+
+    monkeypatch.setattr(features, "count_vectorizer_model", refuse)
+    rows = ent.queries()["text_classify_lr_facts"](spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in test.collect()) and all(r.valid for r in rows)
