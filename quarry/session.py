@@ -16,6 +16,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Spark deletes a job's shuffle files once it has ended; else they stay until the driver collects garbage
+FREE = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def local_session(
@@ -82,15 +84,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once under ``scratch_path`` and read back, so that several uses share it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+def _written(df: DataFrame, path: str, rows_a_file: int | None, during: dict[str, str] | None) -> DataFrame:
+    conf, during = df.sparkSession.conf, during or {}
+    before = {k: conf.get(k, None) for k in during}
+    for k, v in during.items():
+        conf.set(k, v)
+    try:
+        (df.write.options(maxRecordsPerFile=rows_a_file, compression="zstd") if rows_a_file else df.write).parquet(path)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str, rows_a_file: int | None = None, during: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written once under ``scratch_path`` and read back, so that several uses share it.  Where
+    rows are large, ``rows_a_file`` bounds what Spark's reader holds at once; ``during`` are settings
+    that hold while it is written."""
+    return _written(df, scratch_path(df.sparkSession, name), rows_a_file, during)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Latest:
+    """A stored table of which only the last version is kept: ``put`` writes the next one, which may
+    be made from the one before, and then deletes that."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path = spark, name, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, self.name)
+        out = _written(df, path, None, FREE)
+        if self.path:
+            _delete(self.spark, self.path)
+        self.path = path
+        return out
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application has left under ``scratch_path``; other applications'
     folders stay."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    _delete(spark, _scratch_root(spark))

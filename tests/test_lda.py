@@ -127,3 +127,61 @@ def test_queries_keep_words_off_the_driver(spark, monkeypatch):
     monkeypatch.setattr(CountVectorizer, "fit", lambda *a, **k: pytest.fail("a vocabulary on the driver"))
     rows = ent.queries()["lda_topics"](spark, "/root/testdata/sf0.001").collect()
     assert sorted((r.topic, r["rank"]) for r in rows) == [(t, i) for t in range(3) for i in range(5)]
+
+
+def test_blocks_reach_across_batches(spark, monkeypatch):
+    """Small Arrow batches make neither small blocks nor another setting for the session."""
+    monkeypatch.setattr(lda, "BATCH_ROWS", 3)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs, before = planted(spark), spark.conf.get(name)
+    rows = lda.blocks(docs.coalesce(1), "id", "tokens").collect()
+    assert len(rows) == 1 and len(rows[0].ids) == docs.count() and spark.conf.get(name) == before
+
+
+def test_iterations_leave_no_tables_and_no_row_for_each_term(spark):
+    import os
+
+    from quarry.session import scratch_path
+
+    held = lda.blocks(planted(spark).repartition(3), "id", "tokens")
+    root = os.path.dirname(scratch_path(spark, "x"))
+    made = []
+    for n in (1, 4):
+        before = set(os.listdir(root))
+        topics = lda.fit(held, n, [0.4, 0.2], 0.1)
+        made.append(sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before))
+    assert made[0] == made[1] and made[0].count("lda-weights") == 1
+    rows = lda._statistics(topics.seen, topics.weights, np.array(topics.totals), np.array(topics.alpha))
+    assert "Generate" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == 2 * held.where("size(terms) > 0").count()  # one bucket, and the documents' sums
+    assert topics.table.count() == held.select(F.explode("terms")).distinct().count()
+
+
+def test_documents_of_all_sizes_are_inferred_alike(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = rng.permutation([0, 0, 1, 1, 2, 3, 5, 8, 40, 41])
+    starts = np.append(0, np.cumsum(sizes))
+    beta, alpha = rng.gamma(1.0, 1.0, (50, 3)), np.array([0.4, 0.2, 0.3])
+    at, n = rng.integers(0, 50, starts[-1]), rng.integers(1, 4, starts[-1])
+    want = np.ones((len(sizes), 3))
+    for i in np.flatnonzero(sizes):
+        own, moved = slice(starts[i], starts[i + 1]), True
+        while moved:
+            theta = np.exp(lda.digamma(want[i]) - lda.digamma(want[i].sum()))
+            new = theta * ((n[own] / (beta[at[own]] @ theta)) @ beta[at[own]]) + alpha
+            moved, want[i] = np.abs(new - want[i]).mean() > 1e-3, new
+    for cached in (1, 10, lda.CACHED):
+        monkeypatch.setattr(lda, "CACHED", cached)
+        assert np.allclose(lda.inferred(beta, alpha, starts, at, n), want)
+
+
+def test_bytes_come_back_as_they_were():
+    import pyarrow as pa
+
+    x = np.arange(12, dtype=np.int32)
+    t = pa.table({"x": pa.concat_arrays([lda.bytes_of(x, np.array([0, 5, 5, 12])), pa.array([None], pa.binary())]).slice(1)})
+    assert lda.numbers(t, "x", np.int32).tolist() == x[5:].tolist()
+    assert lda.numbers(t.slice(0, 0), "x", np.int32).size == 0
+    for values in ([], [0, 255], [7, 70_000, 2**40]):
+        got = lda.unpacked(pa.table({"x": lda.packed(np.array(values, np.int64))}), "x")
+        assert got.tolist() == values
