@@ -185,3 +185,16 @@ def test_bytes_come_back_as_they_were():
     for values in ([], [0, 255], [7, 70_000, 2**40]):
         got = lda.unpacked(pa.table({"x": lda.packed(np.array(values, np.int64))}), "x")
         assert got.tolist() == values
+
+
+def test_facts_of_every_document(spark, monkeypatch, tmp_path):
+    """Over many blocks and buckets, with ids that repeat or are null and texts without words."""
+    import __spark_entry__ as ent
+
+    monkeypatch.setattr(lda, "BUCKET_PAIRS", 20)
+    monkeypatch.setattr(lda, "BLOCK_TOKENS", 60)
+    texts = [(i % 25 if i % 7 else None, f"word{i % 11} other{i % 5} only{i} again{i % 3}" if i % 9 else "") for i in range(40)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(lda, "_met", lambda *a: pytest.fail("a row for each term of a block"))
+    rows = ent.queries()["lda_doc_topics_facts"](spark, str(tmp_path)).collect()
+    assert all(r.valid for r in rows) and sorted(str(r.doc_id) for r in rows) == sorted(str(t[0]) for t in texts)
