@@ -198,3 +198,15 @@ def test_facts_of_every_document(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(lda, "_met", lambda *a: pytest.fail("a row for each term of a block"))
     rows = ent.queries()["lda_doc_topics_facts"](spark, str(tmp_path)).collect()
     assert all(r.valid for r in rows) and sorted(str(r.doc_id) for r in rows) == sorted(str(t[0]) for t in texts)
+
+
+def test_heaviest_terms_are_those_of_the_whole_table(spark, monkeypatch):
+    """Over many buckets, with ties."""
+    monkeypatch.setattr(lda, "BUCKET_PAIRS", 2)
+    topics = lda.fit(lda.blocks(planted(spark), "id", "tokens"), 2, [0.4, 0.2], 0.1)
+    assert topics.weights.where("bucket >= 0").count() > 2
+    for most in (1, 3, 20):
+        assert topics.described(most) == lda.Topics(topics.table, topics.totals, topics.alpha).described(most)
+    tied = topics.weights.withColumn("x", F.when(F.col("bucket") >= 0, F.unhex(F.repeat(F.lit("000000000000F03F"), (F.length("x") / 8).cast("int")))))
+    even = lda.Topics(lda._terms(topics.seen, tied, 2), (1.0, 1.0), topics.alpha, topics.seen, tied)
+    assert [d[2] for d in even.described(3)] == ["bank", "bird", "bond"] * 2
