@@ -11,7 +11,8 @@ to the driver in each step.  Here
    a residual for each document.  So a block keeps, for each gradient, its product with the block's
    documents (one number a document), and the driver the products of the gradients with each other;
    direction and line search need nothing else;
-3. a step sends the residuals' sums from blocks to buckets, an array for each two, and totals back.
+3. a step sends the residuals' sums from blocks to buckets, an array of bytes for each two, and totals
+   back; the state and the shuffle files of the step before are deleted.
 
 Labels are 0 and 1; rows with a null label are left out.  The result does not depend on the layout
 of the data but for rounding.
@@ -24,12 +25,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarry.operators import lda
-from quarry.session import stored
+from quarry.session import FREE, Latest, stored
 
 #: Spark ML's defaults
 ITERATIONS, TOLERANCE, CORRECTIONS, REMEMBERED = 100, 1e-6, 10, 20
@@ -112,13 +114,23 @@ def line_search(at: Callable[[float], tuple[float, float]], value: float, slope:
 # ---- documents, terms and products -----------------------------------------------------
 
 
+#: what the columns of bytes hold; others are doubles
+_KINDS = {"blocks": np.int64} | dict.fromkeys(("starts", "at", "n", "buckets", "cuts", "pos"), np.int32)
+
+
 def _flat(t: pa.Table, name: str) -> np.ndarray:
-    return t.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    column = t.column(name)
+    if pa.types.is_binary(column.type):
+        return lda.numbers(t, name, _KINDS.get(name, np.float64))
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
 
 
 def _row(columns: dict[str, np.ndarray | pa.Array], **single) -> pa.Table:
-    """One row: numbers and arrays."""
-    lists = {k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v)) for k, v in columns.items()}
+    """One row: numbers, bytes of NumPy arrays, and lists of others."""
+    lists = {
+        k: lda.bytes_of(v.astype(_KINDS.get(k, np.float64))) if isinstance(v, np.ndarray) else pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+        for k, v in columns.items()
+    }
     return pa.table({**{k: pa.array([v]) for k, v in single.items()}, **lists})
 
 
@@ -126,10 +138,6 @@ def _added(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, values, size).astype(float)  # of nothing NumPy gives whole numbers
 
 
-def _parted(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values))
-
-
 def _sized(at: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The document of each entry."""
     return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
@@ -140,57 +148,54 @@ def _summed(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _term_sums(t: pa.Table) -> pa.Table:
-    """(block, pos, term, s, q) of a block: sums of a term's counts and of their squares."""
-    at, n = _flat(t, "at"), _flat(t, "n").astype(float)
-    terms = t.column("terms").combine_chunks().flatten()
-    size = len(terms)
-    of, pos = np.full(size, t.column("block")[0].as_py()), np.arange(size, dtype=np.int32)
-    return pa.table({"block": of, "pos": pos, "term": terms, "s": _added(at, n, size), "q": _added(at, n * n, size)})
+    """(block, bucket, term, pos, s, q) of a block: sums of its terms' counts and of their squares."""
+    at, n, to = _flat(t, "at"), _flat(t, "n").astype(float), _flat(t, "to")
+    order = np.argsort(to, kind="stable")
+    found, first = np.unique(to[order], return_index=True)
+    cuts = np.append(first, len(to))
+    terms = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), t.column("terms").combine_chunks().flatten().take(pa.array(order)))
+    of = np.full(len(found), t.column("block")[0].as_py(), np.int64)
+    sums = {k: lda.bytes_of(_added(at, x, len(to))[order], cuts) for k, x in (("s", n), ("q", n * n))}
+    return pa.table({"block": of, "bucket": pa.array(found, pa.int32()), "term": terms, "pos": lda.bytes_of(order.astype(np.int32), cuts), **sums})
 
 
 #: the terms of a bucket, and which of them (``at``) stands at which place (``pos``) of each of ``blocks``
-_BUCKET = (
-    "bucket int, term array<string>, mean array<double>, inverse array<double>, "
-    "blocks array<long>, cuts array<int>, pos array<int>, at array<int>"
-)
+_BUCKET = "bucket int, around double, term array<string>, mean binary, inverse binary, blocks binary, cuts binary, pos binary, at binary"
 
 
 def _buckets(blocks: DataFrame, count: int, n: int) -> DataFrame:
     """Terms dealt to ``count`` buckets by hash; ``inverse`` is one over the variance in ``n`` documents,
-    0 without spread."""
+    0 without spread; ``around`` is the square of the means."""
 
     def deal(t: pa.Table) -> pa.Table:
-        block, pos = t.column("block").to_numpy(), t.column("pos").to_numpy()
-        order = np.lexsort((pos, block))
-        block, pos, coded = block[order], pos[order], t.column("term").combine_chunks().dictionary_encode()
+        t = t.sort_by("block")
+        lists = t.column("term").combine_chunks()
+        coded = lists.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
-        s, q = (_added(at, t.column(c).to_numpy(), len(coded.dictionary)) for c in ("s", "q"))
+        s, q = (_added(at, _flat(t, c), len(coded.dictionary)) for c in ("s", "q"))
         variance = (q - s * s / n) / max(n - 1, 1)
-        spread = variance > 0
-        inverse = np.divide(1.0, variance, out=np.zeros(len(s)), where=spread)
-        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-        arrays = {"term": coded.dictionary, "mean": s / n, "inverse": inverse, "blocks": block[first]}
-        arrays |= {"cuts": np.append(first, len(block)).astype(np.int32), "pos": pos, "at": at[order]}
-        return _row(arrays, bucket=t.column("bucket")[0].as_py()).cast(shape)
+        inverse = np.divide(1.0, variance, out=np.zeros(len(s)), where=variance > 0)
+        arrays = {"term": coded.dictionary, "mean": s / n, "inverse": inverse, "blocks": t.column("block").to_numpy()}
+        arrays |= {"cuts": np.append(0, np.cumsum(lists.value_lengths().to_numpy())), "pos": _flat(t, "pos"), "at": at}
+        return _row(arrays, bucket=t.column("bucket")[0].as_py(), around=float((s / n) ** 2 @ inverse)).cast(shape)
 
     shape = pa.schema(
-        [pa.field("bucket", pa.int32()), pa.field("term", pa.list_(pa.string()))]
-        + [pa.field(c, pa.list_(pa.float64())) for c in ("mean", "inverse")]
-        + [pa.field("blocks", pa.list_(pa.int64()))]
-        + [pa.field(c, pa.list_(pa.int32())) for c in ("cuts", "pos", "at")]
+        [pa.field("bucket", pa.int32()), pa.field("around", pa.float64()), pa.field("term", pa.list_(pa.string()))]
+        + [pa.field(c, pa.binary()) for c in ("mean", "inverse", "blocks", "cuts", "pos", "at")]
     )
-    cells = blocks.groupBy("block").applyInArrow(_term_sums, "block long, pos int, term string, s double, q double")
-    bucket = F.pmod(F.xxhash64("term"), F.lit(count)).cast("int")
-    return stored(cells.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(deal, _BUCKET), "term-buckets")
+    to = F.transform("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(count)).cast("int"))
+    rows = blocks.select("block", "terms", "at", "n", to.alias("to")).groupBy("block")
+    cells = rows.applyInArrow(_term_sums, "block long, bucket int, term array<string>, pos binary, s binary, q binary")
+    return stored(cells.groupBy("bucket").applyInArrow(deal, _BUCKET), "term-buckets", lda.ROWS_A_FILE, FREE)
 
 
 def _places(t: pa.Table) -> pa.Table:
     """(block, bucket, pos, mean, inverse): what a bucket knows of each block's terms."""
     cuts, at = _flat(t, "cuts"), _flat(t, "at")
-    parts = {c: _parted(_flat(t, c)[at], cuts) for c in ("mean", "inverse")}
+    parts = {c: lda.bytes_of(_flat(t, c)[at], cuts) for c in ("mean", "inverse")}
     of = _flat(t, "blocks")
     bucket = np.full(len(of), t.column("bucket")[0].as_py(), np.int32)
-    return pa.table({"block": of, "bucket": bucket, "pos": _parted(_flat(t, "pos"), cuts), **parts})
+    return pa.table({"block": of, "bucket": bucket, "pos": lda.bytes_of(_flat(t, "pos"), cuts), **parts})
 
 
 def _numbered(block: pa.Table, places: pa.Table) -> pa.Table:
@@ -201,18 +206,15 @@ def _numbered(block: pa.Table, places: pa.Table) -> pa.Table:
     place = np.empty(len(pos), np.int32)
     place[pos] = np.arange(len(pos), dtype=np.int32)
     starts, at, n = _flat(block, "starts"), place[_flat(block, "at")], _flat(block, "n")
-    cuts = np.append(0, np.cumsum(places.column("pos").combine_chunks().value_lengths().to_numpy()))
+    cuts = np.append(0, np.cumsum(pc.binary_length(places.column("pos")).to_numpy() // 4))
     arrays = {"y": _flat(block, "ids"), "c": _summed(n * (mean * inverse)[at], starts), "starts": starts, "at": at, "n": n}
     arrays |= {"buckets": places.column("bucket").to_numpy(), "cuts": cuts.astype(np.int32)}
     return _row(arrays, block=block.column("block")[0].as_py())
 
 
-_NUMBERED = (
-    "block long, y array<double>, c array<double>, starts array<int>, at array<int>, n array<int>, "
-    "buckets array<int>, cuts array<int>"
-)
+_NUMBERED = "block long, y binary, c binary, starts binary, at binary, n binary, buckets binary, cuts binary"
 #: ``m``: the products of the gradients with the documents, gradient by gradient; ``g``: with the last residual
-_STATE = "block long, y array<double>, c array<double>, m array<double>, g array<double>"
+_STATE = "block long, y binary, c binary, m binary, g array<double>"
 
 
 def _margins(y: np.ndarray, m: np.ndarray, point: np.ndarray) -> np.ndarray:
@@ -235,15 +237,16 @@ def _parts(held: DataFrame, state: DataFrame, points: Sequence[tuple[float, np.n
         starts, at, n, buckets, cuts = (_flat(block, c) for c in ("starts", "at", "n", "buckets", "cuts"))
         value = _added(at, n * r[_sized(at, starts)], cuts[-1])
         of = np.full(len(buckets), block.column("block")[0].as_py())
-        return pa.table({"block": of, "bucket": buckets, "value": _parted(value, cuts)})
+        return pa.table({"block": of, "bucket": buckets, "value": lda.bytes_of(value, cuts)})
 
-    cells = held.groupBy("block").cogroup(state.groupBy("block"))
-    return cells.applyInArrow(parts, "block long, bucket int, value array<double>")
+    rows = held.select("block", "starts", "at", "n", "buckets", "cuts")
+    cells = rows.groupBy("block").cogroup(state.select("block", "y", "m").groupBy("block"))
+    return cells.applyInArrow(parts, "block long, bucket int, value binary")
 
 
 def _bucket_sums(bucket: pa.Table, parts: pa.Table) -> np.ndarray:
     """Of each term of the bucket, over all blocks."""
-    return _added(_flat(bucket, "at"), _flat(parts.sort_by("block"), "value"), len(bucket.column("term")[0]))
+    return _added(_flat(bucket, "at"), _flat(parts.sort_by("block"), "value"), len(_flat(bucket, "inverse")))
 
 
 def _with_gradient(
@@ -256,7 +259,7 @@ def _with_gradient(
     def back(bucket: pa.Table, parts: pa.Table) -> pa.Table:
         u = (_bucket_sums(bucket, parts) * _flat(bucket, "inverse"))[_flat(bucket, "at")]
         of = _flat(bucket, "blocks")
-        return pa.table({"block": of, "bucket": np.full(len(of), bucket.column("bucket")[0].as_py(), np.int32), "u": _parted(u, _flat(bucket, "cuts"))})
+        return pa.table({"block": of, "bucket": np.full(len(of), bucket.column("bucket")[0].as_py(), np.int32), "u": lda.bytes_of(u, _flat(bucket, "cuts"))})
 
     def added(block: pa.Table, given: pa.Table) -> pa.Table:
         given = given.sort_by("bucket")  # the state's row has none and is the last
@@ -264,12 +267,14 @@ def _with_gradient(
         starts, at, n, y, c = (_flat(block, x) for x in ("starts", "at", "n", "y", "c"))
         new = _summed(n * u[at], starts) - along - c * total + around * total
         r, m = _residual(y, m, point), np.concatenate([m, new])
-        return _row({"y": y, "c": c, "m": m, "g": m.reshape(-1, len(y)) @ r}, block=block.column("block")[0].as_py())
+        return _row({"y": y, "c": c, "m": m, "g": pa.array(m.reshape(-1, len(y)) @ r)}, block=block.column("block")[0].as_py())
 
     parts = _parts(held, state, [(1.0, point)])
-    sums = buckets.groupBy("bucket").cogroup(parts.groupBy("bucket")).applyInArrow(back, "block long, bucket int, u array<double>")
+    known = buckets.select("bucket", "inverse", "blocks", "cuts", "at").groupBy("bucket")
+    sums = known.cogroup(parts.groupBy("bucket")).applyInArrow(back, "block long, bucket int, u binary")
     given = sums.unionByName(state.select("block", "m"), allowMissingColumns=True)
-    return stored(held.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(added, _STATE), "gradients")
+    rows = held.select("block", "starts", "at", "n", "y", "c").groupBy("block")
+    return rows.cogroup(given.groupBy("block")).applyInArrow(added, _STATE)
 
 
 def _totals(rows: DataFrame, width: int) -> np.ndarray:
@@ -283,7 +288,7 @@ def _measured(state: DataFrame, point: np.ndarray, toward: np.ndarray) -> np.nda
     def measure(batches):
         for b in batches:
             for i in range(b.num_rows):
-                y, c, m = (b.column(x)[i].values.to_numpy(zero_copy_only=False) for x in ("y", "c", "m"))
+                y, c, m = (np.frombuffer(b.column(x)[i].as_py()) for x in ("y", "c", "m"))
                 margin, r = _margins(y, m, point), _residual(y, m, point)
                 loss = np.logaddexp(0, np.where(y > 0, -margin, margin)).sum()
                 sums = [loss, r @ _margins(y, m, toward), r.sum(), r @ c]
@@ -341,14 +346,14 @@ def fit(docs: DataFrame, tokens: str, label: str, iterations: int = ITERATIONS,
 
     count = max(1, -(-sizes.pairs // BUCKET_PAIRS))
     buckets = _buckets(blocks, count, n)
-    around = F.aggregate(F.arrays_zip("mean", "inverse"), F.lit(0.0), lambda a, x: a + x["mean"] * x["mean"] * x["inverse"])
-    around = buckets.agg(F.sum(around)).first()[0] or 0.0
-    places = buckets.groupBy("bucket").applyInArrow(_places, "block long, bucket int, pos array<int>, mean array<double>, inverse array<double>")
-    held = stored(blocks.groupBy("block").cogroup(places.groupBy("block")).applyInArrow(_numbered, _NUMBERED), "numbered")
+    around = buckets.agg(F.sum("around")).first()[0] or 0.0
+    places = buckets.drop("term").groupBy("bucket").applyInArrow(_places, "block long, bucket int, pos binary, mean binary, inverse binary")
+    numbered = blocks.drop("terms").groupBy("block").cogroup(places.groupBy("block")).applyInArrow(_numbered, _NUMBERED)
+    held = stored(numbered, "numbered", lda.ROWS_A_FILE, FREE)
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # dealt once, not in each step
     held = held.repartition(min(sizes.parts, most), "block").persist()
-    buckets = buckets.repartition(min(count, most), "bucket").persist()
+    buckets = buckets.drop("pos").repartition(min(count, most), "bucket").persist()
     try:
         return _descended(held, buckets, n, np.log(ones / (n - ones)), around, iterations, tolerance)
     finally:
@@ -363,14 +368,14 @@ def _descended(held: DataFrame, buckets: DataFrame, n: int, intercept: float, ar
     dot = lambda a, b: float(a @ products @ b)
     point = np.zeros(width)
     point[-1] = intercept
-    none = F.array().cast("array<double>")
-    state = stored(held.select("block", "y", "c", none.alias("m"), none.alias("g")), "gradients")
+    latest = Latest(held.sparkSession, "gradients")
+    state = latest.put(held.select("block", "y", "c", F.lit(b"").alias("m"), F.array().cast("array<double>").alias("g")))
     seen, points, totals = _measured(state, point, np.zeros(width)) / n, [], []
 
     def gradient() -> np.ndarray:
         """At ``point``, where ``seen`` was measured."""
         nonlocal state
-        state = _with_gradient(held, buckets, state, point, around, seen[2] * n, seen[3] * n)
+        state = latest.put(_with_gradient(held, buckets, state, point, around, seen[2] * n, seen[3] * n))
         k = len(points)
         # a gradient in the state is the sum over documents; here it is their mean
         products[k, : k + 1] = products[: k + 1, k] = _totals(state.select("g"), k + 1) / n**2

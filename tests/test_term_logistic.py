@@ -90,3 +90,19 @@ def test_the_facts_score_every_held_out_row(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(features, "count_vectorizer_model", refuse)
     rows = ent.queries()["text_classify_lr_facts"](spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in test.collect()) and all(r.valid for r in rows)
+
+
+def test_steps_send_bytes_and_keep_one_state(spark):
+    """Arrays between blocks and buckets go as bytes; the states of past steps are deleted."""
+    import os
+
+    from quarry.session import scratch_path
+
+    root = os.path.dirname(scratch_path(spark, "x"))
+    before = set(os.listdir(root))
+    model = term_logistic.fit(_docs(spark), "tokens", "label", iterations=3)
+    made = sorted(x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before)
+    assert len(model.objective) == 4 and made.count("gradients") == 1
+    numbered = next(x for x in set(os.listdir(root)) - before if x.startswith("numbered"))
+    kinds = dict(spark.read.parquet(f"{root}/{numbered}").dtypes)
+    assert {kinds[c] for c in kinds if c != "block"} == {"binary"}
