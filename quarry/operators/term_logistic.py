@@ -37,6 +37,8 @@ from quarry.session import FREE, Latest, stored
 ITERATIONS, TOLERANCE, CORRECTIONS, REMEMBERED = 100, 1e-6, 10, 20
 #: terms of blocks that one task adds up
 BUCKET_PAIRS = 200_000
+#: entries of documents, or terms of blocks, that one task of a step reads where all cores have work
+TASK_ENTRIES = 4_000_000
 #: of the line search: decrease, curvature, tries
 DECREASE, CURVATURE, TRIES = 1e-4, 0.9, 10
 
@@ -337,7 +339,7 @@ def fit(docs: DataFrame, tokens: str, label: str, iterations: int = ITERATIONS,
     kept = docs.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), tokens)
     blocks = lda.blocks(kept, "y", tokens)
     of = blocks.select(F.explode("ids").alias("y"))
-    sizes = blocks.select(F.count(F.lit(1)).alias("parts"), F.sum(F.size("terms")).alias("pairs")).first()
+    sizes = blocks.select(F.count(F.lit(1)).alias("parts"), F.sum(F.size("terms")).alias("pairs"), F.sum(F.size("at")).alias("entries")).first()
     n, ones, other = of.select(F.count(F.lit(1)), F.sum("y"), F.count_if(~F.col("y").isin(0.0, 1.0))).first()
     if not n or other:
         raise ValueError("no labelled rows" if not n else "labels must be 0 or 1")
@@ -350,10 +352,10 @@ def fit(docs: DataFrame, tokens: str, label: str, iterations: int = ITERATIONS,
     places = buckets.drop("term").groupBy("bucket").applyInArrow(_places, "block long, bucket int, pos binary, mean binary, inverse binary")
     numbered = blocks.drop("terms").groupBy("block").cogroup(places.groupBy("block")).applyInArrow(_numbered, _NUMBERED)
     held = stored(numbered, "numbered", lda.ROWS_A_FILE, FREE)
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # dealt once, not in each step
-    held = held.repartition(min(sizes.parts, most), "block").persist()
-    buckets = buckets.drop("pos").repartition(min(count, most), "bucket").persist()
+    # dealt once, not in each step, whose tasks cost more than what few blocks take
+    least = 2 * spark.sparkContext.defaultParallelism
+    held = held.repartition(min(sizes.parts, max(least, -(-sizes.entries // TASK_ENTRIES))), "block").persist()
+    buckets = buckets.drop("pos").repartition(min(count, max(least, -(-sizes.pairs // TASK_ENTRIES))), "bucket").persist()
     try:
         return _descended(held, buckets, n, np.log(ones / (n - ones)), around, iterations, tolerance)
     finally:

@@ -106,3 +106,32 @@ def test_steps_send_bytes_and_keep_one_state(spark):
     numbered = next(x for x in set(os.listdir(root)) - before if x.startswith("numbered"))
     kinds = dict(spark.read.parquet(f"{root}/{numbered}").dtypes)
     assert {kinds[c] for c in kinds if c != "block"} == {"binary"}
+
+
+@pytest.fixture
+def dealt_parts(spark, monkeypatch):
+    """Parts of blocks and of buckets that a fit reads in each step, with 40 shuffle partitions and many blocks."""
+    seen, whole = [], term_logistic._descended
+
+    def watched(held, buckets, *args):
+        seen.append((held.rdd.getNumPartitions(), buckets.rdd.getNumPartitions()))
+        return whole(held, buckets, *args[:-2], 2, args[-1])
+
+    monkeypatch.setattr(term_logistic, "_descended", watched)
+    monkeypatch.setattr(term_logistic, "BUCKET_PAIRS", 5)
+    monkeypatch.setattr(term_logistic.lda, "BLOCK_TOKENS", 14)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "40")
+    yield seen
+    spark.conf.set(name, before)
+
+
+def test_steps_have_no_task_for_each_block(spark, dealt_parts, monkeypatch):
+    least = 2 * spark.sparkContext.defaultParallelism
+    docs = _docs(spark)
+    few = term_logistic.fit(docs, "tokens", "label")
+    monkeypatch.setattr(term_logistic, "TASK_ENTRIES", 50)
+    many = term_logistic.fit(docs, "tokens", "label")
+    assert dealt_parts[0] == (least, least) and all(n > least for n in dealt_parts[1])
+    assert np.allclose(few.objective, many.objective)
