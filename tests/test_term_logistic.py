@@ -135,3 +135,12 @@ def test_steps_have_no_task_for_each_block(spark, dealt_parts, monkeypatch):
     many = term_logistic.fit(docs, "tokens", "label")
     assert dealt_parts[0] == (least, least) and all(n > least for n in dealt_parts[1])
     assert np.allclose(few.objective, many.objective)
+
+
+def test_the_facts_have_no_task_for_each_block(spark, dealt_parts, tmp_path):
+    texts = [(i, f"word{i % 7} other{i % 5} only{i} {'good' if i % 2 else 'bad'}") for i in range(90)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(90)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = ent.queries()["text_classify_lr_facts"](spark, str(tmp_path)).collect()
+    assert rows and all(r.valid for r in rows)
+    assert max(dealt_parts[0]) == 2 * spark.sparkContext.defaultParallelism
